@@ -17,9 +17,11 @@ from .common import extended
 
 #: Unicode white space, as the tokenizer's pattern has it.
 _SPACE = "".join(map(re.escape, map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
-#: Pieces that the tokenizer never merges across: a word with the one space before it, or a run of white space.
-_CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_CACHE_MOST = 400_000
+_LETTERS = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F)))
+#: Pieces that the tokenizer never merges across: letters with the one space before them, up to white space or an
+#: ASCII character that is none; another run without white space; or a run of white space.
+_CHUNK = re.compile(f" ?[{_LETTERS}]++(?=[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_CACHE_MOST = 1_000_000
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -35,22 +37,38 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
+def _learn(tok, cache: dict[str, bytes], chunks: list[str]) -> None:
+    """Encode new chunks. Those without white space go together, a line feed between them: it is a token of its own."""
+    blank = [c for c in chunks if c.isspace() or "\n" in c]
+    for c in blank:
+        cache[c] = np.array(tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
+    rest = list(set(chunks) - set(blank))
+    feed = tok.encode("\n", add_special_tokens=False).ids[0]
+    parts = [rest[at : at + 64] for at in range(0, len(rest), 64)]
+    for part, made in zip(parts, tok.encode_batch_fast(["\n".join(p) for p in parts], add_special_tokens=False), strict=True):
+        ids = np.array(made.ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == feed), len(ids)).tolist()
+        raw, start = ids.tobytes(), 0
+        for c, end in zip(part, ends, strict=True):
+            cache[c] = raw[4 * start : 4 * end]
+            start = end + 1
+
+
 def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
     """Each text's ids as little-endian unsigned 32-bit integers.
 
-    White space bounds the tokenizer's merges, so ids of equal chunks are looked up and only chunks not seen
-    before are encoded; the ids equal those of encoding the whole text.
+    White space, and the end of a run of letters, bound the tokenizer's merges; so ids of equal chunks are looked
+    up, only chunks not seen before are encoded, and the ids equal those of encoding the whole text.
     """
     tok, cache = _tokenizer(path)
-    for text in texts:
-        chunks = _CHUNK.findall(text)
-        fresh = [c for c in dict.fromkeys(chunks) if c not in cache]
-        if fresh:
-            if len(cache) + len(fresh) > _CACHE_MOST:
-                cache.clear()
-                fresh = list(dict.fromkeys(chunks))
-            for c, e in zip(fresh, tok.encode_batch(fresh, add_special_tokens=False), strict=True):
-                cache[c] = np.array(e.ids, "<u4").tobytes()
+    chunked = [_CHUNK.findall(t) for t in texts]
+    fresh = {c for chunks in chunked for c in chunks}.difference(cache)
+    if len(cache) + len(fresh) > _CACHE_MOST:
+        cache.clear()
+        fresh = {c for chunks in chunked for c in chunks}
+    if fresh:
+        _learn(tok, cache, list(fresh))
+    for chunks in chunked:
         yield b"".join(map(cache.__getitem__, chunks))
 
 
@@ -67,8 +85,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), ([], [], [], [], [])
             texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 64):
-                for i, raw in zip(ids[at : at + 64], token_bytes(texts[at : at + 64], tokenizer_path), strict=True):
+            for at in range(0, len(texts), 512):
+                for i, raw in zip(ids[at : at + 512], token_bytes(texts[at : at + 512], tokenizer_path), strict=True):
                     raw += end
                     n, start, piece = len(raw) // 4, 0, 0
                     while start < n:
