@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import prices  # noqa: F401
+from . import prices, realtime  # noqa: F401
