@@ -53,7 +53,7 @@ class Bands:
         spare = (t + 1) // 3
         if t + 1 + spare <= _SEGMENTS:
             return t + 1 + spare, t + 1 + spare, spare
-        return t, _SEGMENTS, _SEGMENTS // 4
+        return max(t, _SEGMENTS), _SEGMENTS, _SEGMENTS // 4
 
 
 def segments(tokens: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray, int]:
@@ -155,10 +155,30 @@ def _screened(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return x.select("a", "b", "ka", "kb", "na", "nb", "a0", "a1", "b0", "b1").mapInArrow(screen, "a long, b long, ka long, kb long")
 
 
+def only(rows: DataFrame, keys: DataFrame, bits: int = 24) -> DataFrame:
+    """rows (key first) less most of those whose key isn't among keys: by one hash into 2**bits bits, 2 MB whatever the data.
+
+    Spares the shuffle of texts that no candidate needs; a join on the key follows, so false hits do no harm.
+    """
+    slot = F.col("key").bitwiseAND((1 << bits) - 1)
+    maps = keys.select(slot.alias("s")).distinct().groupBy(F.expr("bitmap_bucket_number(s + 1)").alias("b")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s + 1))").alias("m"))
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
+    for r in maps.collect():  # at most 2**bits / 32768 rows
+        bitmap[(r.b - 1) * 4096 : r.b * 4096] = np.frombuffer(r.m, np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def keep(batches):
+        for batch in batches:
+            s = batch.column(0).to_numpy() & ((1 << bits) - 1)
+            yield batch.filter(pa.array((shared.value[s >> 3] >> (s & 7).astype(np.uint8)) & 1 > 0))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) of set hashes whose sets reach the threshold, checked on the texts' own shingles."""
     x = materialize(_screened(pairs, sets, percent), "screened")
-    texts = rows.dropDuplicates(["key"]).select("key", "text")
+    texts = only(rows.select("key", "text"), x.select(F.explode(F.array("ka", "kb")).alias("key")))
     x = x.join(texts.select(F.col("key").alias("kb"), F.col("text").alias("tb")), "kb").join(texts.select(F.col("key").alias("ka"), F.col("text").alias("ta")), "ka")
 
     def check(batches):
