@@ -12,7 +12,7 @@ from tidemill.operators import clean
 from tidemill.schemas import conform, may_overwrite
 
 
-def read_drifting(spark: SparkSession, paths: Sequence[str], schema: T.StructType, aliases: dict[str, str] | None = None) -> DataFrame:
+def read_drifting(spark: SparkSession, paths: Sequence[str], schema: str | T.StructType, aliases: dict[str, str] | None = None) -> DataFrame:
     """IO1, IO2, U1: sources whose columns drift, each cleaned and cast to the contract, then united by name."""
     out = None
     for path in paths:
@@ -23,7 +23,7 @@ def read_drifting(spark: SparkSession, paths: Sequence[str], schema: T.StructTyp
     return out
 
 
-def read_keyed(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+def read_keyed(spark: SparkSession, root: str, schema: str | T.StructType | None = None) -> DataFrame:
     """IO3: a tree of key=value folders; keys become columns."""
     reader = spark.read.option("basePath", root)
     return (reader.schema(schema) if schema is not None else reader).parquet(root)
