@@ -61,6 +61,19 @@ def usable(vec, label):
     return label.isNotNull() & vec.isNotNull() & (F.size(vec) > 0) & F.coalesce(F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))), F.lit(False)) & F.coalesce(F.exists(vec, lambda v: v != 0), F.lit(False))
 
 
+def _roots(close: np.ndarray) -> np.ndarray:
+    """The first row of each row's component, by breadth-first search over a symmetric matrix."""
+    root = np.full(len(close), -1)
+    root[~close.any(axis=1)] = np.flatnonzero(~close.any(axis=1))
+    for i in range(len(close)):
+        if root[i] < 0:
+            front = np.array([i])
+            while len(front):
+                root[front] = i
+                front = np.flatnonzero(close[front].any(axis=0) & (root < 0))
+    return root
+
+
 def near_vectors(
     vectors: DataFrame, cosine: float = 0.93, trees: int = 6, leaf: int = 2048, spill: float = 0.2, sample: int = 20000, block: int = 2048, seed: int = 11,
     vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
@@ -141,15 +154,16 @@ def near_vectors(
             for y in x:
                 if y < leaf_name:
                     member[i, at[y]] = 1
-        links, root = np.zeros(len(m), np.int64), np.arange(len(m))
+        links, close = np.zeros(len(m), np.int64), np.zeros((len(m), len(m)), bool)
         for s in range(0, len(m), 256):
             near = (m[s : s + 256] @ m.T) / (norm[s : s + 256, None] * norm[None, :]) >= cosine
             near &= (own[s : s + 256, None] == lo) & (own[None, :] == hi) | (own[s : s + 256, None] == hi) & (own[None, :] == lo)
             near &= point[s : s + 256, None] != point[None, :]
-            root[s : s + 256] = np.minimum(root[s : s + 256], np.where(near.any(axis=1), near.argmax(axis=1), len(m)))
+            close[s : s + 256] = near
             if before:
                 near &= ~((member[s : s + 256] @ member.T) > 0)
             links[s : s + 256] += near @ weight
+        root = _roots(close)
         return pd.DataFrame({"point": point, "links": links, "root": point[root]})
 
     found = rows.groupBy("leaf", "lo", "hi").applyInPandas(compare, "point long, links long, root long")
