@@ -90,7 +90,7 @@ def sketch(tokens: np.ndarray, level: int) -> np.ndarray:
     h = mix(tokens + np.uint64(0x1234567))
     h = h[(h >> np.uint64(64 - level)) == 0] if level else h
     n = np.bincount((h & np.uint64(_BITS - 1)).astype(np.int64), minlength=_BITS)
-    return np.packbits((n & 1).astype(np.uint8))
+    return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
 
 
 def describe(rows: DataFrame, bands: Bands, width: int) -> DataFrame:
@@ -111,8 +111,8 @@ def describe(rows: DataFrame, bands: Bands, width: int) -> DataFrame:
                     sid = mix(np.array([np.bitwise_xor.reduce(mix(x)) + np.uint64(n) * np.uint64(0x9E3779B97F4A7C15)], np.uint64))
                 out[1].append(int(sid.view(np.int64)[0]))
                 level = _level(n)
-                out[2].append(sketch(x, level).tobytes())
-                out[3].append(sketch(x, level + 1).tobytes())
+                out[2].append(level)
+                out[3].append(np.concatenate((sketch(x, level), sketch(x, level + 1))))
                 keys, tags = [], []
                 band = bands.of(n)
                 for b in (band, band - 1):
@@ -122,37 +122,38 @@ def describe(rows: DataFrame, bands: Bands, width: int) -> DataFrame:
                         tags.append(np.full(len(k), b * 256 + left + 1, np.int32))
                 out[4].append(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))
                 out[5].append(np.concatenate(tags) if tags else np.zeros(0, np.int32))
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], ["key", "doc_id", "n", "sid", "sketch0", "sketch1", "keys", "tags"])
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], ["key", "doc_id", "n", "sid", "level", "sketch", "keys", "tags"])
 
-    return rows.mapInArrow(sets, "key long, doc_id long, n long, sid long, sketch0 binary, sketch1 binary, keys array<long>, tags array<int>")
+    return rows.mapInArrow(sets, "key long, doc_id long, n long, sid long, level int, sketch array<long>, keys array<long>, tags array<int>")
 
 
-def _screened(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes and sketches allow: the sketches' Hamming distance can't exceed the symmetric difference.
+_WORDS = _BITS // 64
+_SKETCH = [f"p{i}" for i in range(_WORDS)] + [f"q{i}" for i in range(_WORDS)]
 
-    Beyond level 0 the sketch holds a share of the tokens; six standard deviations are allowed for.
+
+def _named(sets: DataFrame, side: str) -> DataFrame:
+    """Every column but the row key's own name, marked with the pair's side."""
+    return sets.select(*(F.col(c).alias(f"{side}_{c}") for c in sets.columns))
+
+
+def _may_link(percent: int) -> str:
+    """Whether sizes and sketches allow a pair: their Hamming distance can't exceed the symmetric difference.
+
+    p words are of a set's own level, q words of the next, and levels of a pair differ by one at most. Beyond level 0
+    a sketch holds a share of the tokens; six standard deviations are allowed for.
     """
-    a = sets.select(F.col("sid").alias("a"), F.col("n").alias("na"), F.col("key").alias("ka"), F.col("sketch0").alias("a0"), F.col("sketch1").alias("a1"))
-    b = sets.select(F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("key").alias("kb"), F.col("sketch0").alias("b0"), F.col("sketch1").alias("b1"))
-    x = pairs.join(a, "a").join(b, "b").where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent))
+    apart = lambda a, b: " + ".join(f"bit_count(a_{a}{i} ^ b_{b}{i})" for i in range(_WORDS))
+    most = f"({100 - percent} * (a_n + b_n) / {100 + percent} * power(0.5, greatest(a_level, b_level)))"
+    slack = f"(case when a_level = 0 and b_level = 0 then 0 else 6 * sqrt({most}) + 6 end)"
+    d = f"(case when a_level = b_level then {apart('p', 'p')} when a_level < b_level then {apart('q', 'p')} else {apart('p', 'q')} end)"
+    return f"(a_n * 100 >= b_n * {percent} and b_n * 100 >= a_n * {percent} and {d} <= {most} + {slack})"
 
-    def screen(batches):
-        for batch in batches:
-            na, nb = (batch.column(i).to_numpy() for i in (4, 5))
-            la, lb = (np.array([_level(int(n)) for n in x], np.int64) for x in (na, nb))
-            level = np.maximum(la, lb)
-            bits = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, _BITS // 8) for i in (6, 7, 8, 9)]
-            a = np.where((la == level)[:, None], bits[0], bits[1])
-            b = np.where((lb == level)[:, None], bits[2], bits[3])
-            apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-            most = (100 - percent) * (na + nb) / (100 + percent)
-            part = 0.5**level
-            ok = apart <= np.where(level == 0, most, most * part + 6 * np.sqrt(most * part) + 6)
-            keep = pa.array(ok)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(4)], ["a", "b", "ka", "kb"])
-
-    return x.select("a", "b", "ka", "kb", "na", "nb", "a0", "a1", "b0", "b1").mapInArrow(screen, "a long, b long, ka long, kb long")
+
+def screened(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that _may_link, with their rows' keys."""
+    x = pairs.join(_named(sets, "a"), F.col("a") == F.col("a_sid")).join(_named(sets, "b"), (F.col("b") == F.col("b_sid")) & F.expr(_may_link(percent)))
+    return x.select("a", "b", F.col("a_key").alias("ka"), F.col("b_key").alias("kb"))
 
 
 def only(rows: DataFrame, keys: DataFrame, bits: int = 24) -> DataFrame:
@@ -175,9 +176,9 @@ def only(rows: DataFrame, keys: DataFrame, bits: int = 24) -> DataFrame:
     return rows.mapInArrow(keep, rows.schema)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) of set hashes whose sets reach the threshold, checked on the texts' own shingles."""
-    x = materialize(_screened(pairs, sets, percent), "screened")
+def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
+    """Of the screened pairs those whose sets reach the threshold, checked on the texts' own shingles: (a, b)."""
+    x = materialize(pairs, "screened")
     texts = only(rows.select("key", "text"), x.select(F.explode(F.array("ka", "kb")).alias("key")))
     x = x.join(texts.select(F.col("key").alias("kb"), F.col("text").alias("tb")), "kb").join(texts.select(F.col("key").alias("ka"), F.col("text").alias("ta")), "ka")
 
@@ -198,12 +199,14 @@ def verified(pairs: DataFrame, sets: DataFrame, rows: DataFrame, percent: int, w
     return x.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: int = 24, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), pivots: int = 6, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of docs with n_shingles and component_id: the smallest id reachable by links of Jaccard >= percent.
 
-    Equal sets are one node. Sets that share a segment key of their size band are candidates; a key that more than
-    `hot` sets hold is left out wherever a set has spare segments, and kept between sets that have none to spare.
-    Candidates are compared in two rounds: each set with the smallest holder of its key, then, only where a key
+    Equal sets are one node. Sets that share a segment key of their size band are candidates. Keys that many sets
+    hold are left out as far as a set has spare segments, by the lowest of the limits `hot` that they allow, and
+    kept where they don't.
+    Candidates are compared in two rounds: each set with the smallest holder of its key (and in keys that many
+    hold with a few more), then, only where a key
     still holds several components, its members of other components than that of the smallest with all the rest.
     So a family of n near copies needs about n comparisons, and every link is still either checked or implied.
     Null and empty texts link with nothing. Rows with a null id link as others do but give no component its id; a
@@ -214,29 +217,41 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: i
     keyed = docs.select(*own, row_key(doc_id, text).alias("_key"))
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     described = materialize(describe(rows, bands, width), "sets")
-    sets = described.where("sid is not null").groupBy("sid").agg(F.min_by(F.struct("n", "key", "sketch0", "sketch1"), "key").alias("s")).select("sid", "s.*")
+    sets = described.where("sid is not null").groupBy("sid").agg(F.min_by(F.struct("n", "key", "level", "sketch"), "key").alias("s")).select("sid", "s.n", "s.key", "s.level", *(F.col("s.sketch")[i].alias(c) for i, c in enumerate(_SKETCH)))
     sets = materialize(sets, "distinct")
 
     seg = described.where("sid is not null").select("sid", F.explode(F.arrays_zip("keys", "tags")).alias("z")).select(F.col("z.keys").alias("key"), "sid", F.col("z.tags").alias("tag"))
     seg = seg.repartition("key").groupBy("key", "sid").agg(F.max("tag").alias("tag"))
     held = Window.partitionBy("key")
-    live = seg.withColumn("c", F.count("*").over(held)).withColumn("pivot", F.min("sid").over(held)).where("c > 1")
+    live = seg.withColumn("c", F.count("*").over(held)).where("c > 1")
     live = materialize(live, "live")
-    deep = live.where(F.col("c") > hot).groupBy("sid", "tag").agg(F.count("*").alias("used")).where(F.col("used") > F.col("tag") % 256 - 1).select("sid", "tag")
-    deeper = live.where(F.col("c") > hot).join(deep, ["sid", "tag"], "left_semi").select("key", "sid")
-    low = deeper.groupBy("key").agg(F.min("sid").alias("pivot"))
-    used = materialize(live.where(F.col("c") <= hot).select("key", "sid", "pivot").unionByName(deeper.join(low, "key")), "used")
-
-    first = materialize(verified(used.where("sid <> pivot").select(F.col("pivot").alias("a"), F.col("sid").alias("b")).distinct(), sets, rows, percent, width), "links")
+    # Each set leaves out keys above the lowest limit that its spare segments allow; of a pair, the set with the lower
+    # limit has a segment alike within it, which the other keeps too.
+    own_keys, spare = Window.partitionBy("sid", "tag"), F.col("tag") % 256 - 1
+    limit = F.lit((1 << 62))
+    for h in sorted(hot, reverse=True):
+        limit = F.when(F.count_if(F.col("c") > h).over(own_keys) <= spare, F.lit(h)).otherwise(limit)
+    used = live.withColumn("limit", limit).where("c <= limit").select("key", "sid")
+    used = used.withColumns({"c": F.count("*").over(held), "pivot": F.min("sid").over(held)}).where("c > 1")
+    # Members of a large family need not all be like one of it: there, each meets several, chosen by hashes.
+    several = F.array_distinct(F.array(F.col("pivot"), *(F.min_by("sid", F.xxhash64("sid", F.lit(k))).over(held) for k in range(pivots - 1))))
+    used = materialize(used.withColumn("pivots", F.when(F.col("c") > min(hot) * 2, several).otherwise(F.array("pivot"))), "used")
+    pairs = used.select("sid", F.explode("pivots").alias("p")).where("sid <> p").select(F.least("sid", "p").alias("a"), F.greatest("sid", "p").alias("b")).distinct()
+
+    first = materialize(verified(screened(pairs, sets, percent), rows, percent, width), "links")
     label = components(first)
     known = used.join(label.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "pivot", F.coalesce("label", "sid").alias("label"))
     varied = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(F.when(F.col("sid") == F.col("pivot"), F.col("label"))).alias("top")).where("lo <> hi")
-    known = materialize(known.join(varied.select("key", "top"), "key").select("key", "sid", "label", "top"), "varied")
-    odd = known.where("label <> top").select("key", F.col("sid").alias("x"), F.col("label").alias("lx"))
-    rest = known.select("key", F.col("sid").alias("y"), F.col("label").alias("ly"), (F.col("label") == F.col("top")).alias("main"))
+    known = known.join(varied.select("key", "top"), "key").select(F.col("key").alias("segment"), "sid", "label", (F.col("label") == F.col("top")).alias("main")).join(sets, "sid")
+    known = materialize(known, "varied")
     # Pairs with the pivot's component come once; pairs of odd ones would come twice, so only one order is kept.
-    more = odd.join(rest, "key").where("lx <> ly and (main or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = verified(more, sets, rows, percent, width)
+    met = "a_segment = b_segment and a_label <> b_label and (b_main or a_sid < b_sid)"
+    more = _named(known.where("not main"), "a").join(_named(known, "b"), F.expr(f"{met} and {_may_link(percent)}"))
+    low = F.col("a_sid") < F.col("b_sid")
+    pick = lambda c: (F.when(low, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")), F.when(low, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")))
+    (a, b), (ka, kb) = pick("sid"), pick("key")
+    more = more.select(a.alias("a"), b.alias("b"), ka.alias("ka"), kb.alias("kb")).distinct()
+    more = verified(more, rows, percent, width)
     label = components(first.unionByName(more)).withColumnRenamed("node", "sid")
 
     named = described.select("key", "doc_id", "n", "sid").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
