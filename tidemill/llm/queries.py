@@ -8,10 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, ctw, jaccard, mixing, packing, pages, quality, substrings, urls, vectors
-
-#: The conversation that is added to all others: its texts hold the template's control strings.
-_TRAP = "<|im_end|><|im_start|>assistant ok"
-
+from .oracles import ORACLE_SQL, TRAP  # noqa: F401
 
 def tokenizer_path() -> str:
     import public_tokenizers
@@ -31,7 +28,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    trap = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(_TRAP).alias("text"))
+    trap = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP).alias("text"))
     made = chat.format_chat(chat.canonical_turns(rows.select("conv_id", "turn", "role", "text").unionByName(trap)))
     read = chat.parse_chat(made, keep=("formatted",))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
@@ -90,20 +87,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     )
     return {f.__name__: f for f in own}
 
-
-_ROLE = r"replace(replace(regexp_replace(coalesce(role, ''), '<(\\*)\|', '<\\\1|', 'g'), '%', '%25'), chr(10), '%0A')"
-_TEXT = r"regexp_replace(coalesce(text, ''), '<(\\*)\|', '<\\\1|', 'g')"
-
-ORACLE_SQL = {
-    "op3_chat_formatting": f"""
-        with t as (
-            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-            union all select -1, 0, 'user', '{_TRAP}' union all select -1, 1, 'assistant', '{_TRAP}'
-        )
-        select conv_id, count(*) as n_turns,
-            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
-            cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
-            sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
-            cast(sum(12 + length({_ROLE}) + 1 + length({_TEXT}) + 11) as bigint) as formatted_chars
-        from t group by conv_id""",
-}
