@@ -199,7 +199,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> Dat
     return x.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), pivots: int = 6, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), pivots: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of docs with n_shingles and component_id: the smallest id reachable by links of Jaccard >= percent.
 
     Equal sets are one node. Sets that share a segment key of their size band are candidates. Keys that many sets
@@ -239,7 +239,11 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     pairs = used.select("sid", F.explode("pivots").alias("p")).where("sid <> p").select(F.least("sid", "p").alias("a"), F.greatest("sid", "p").alias("b")).distinct()
 
     first = materialize(verified(screened(pairs, sets, percent), rows, percent, width), "links")
-    label = components(first)
+    # Sets with one label are linked, by two links at most; that is all the second round needs to know.
+    both = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
+    label = both.join(near.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
+    label = materialize(label.select(F.col("a").alias("node"), "label"), "labels")
     known = used.join(label.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "pivot", F.coalesce("label", "sid").alias("label"))
     varied = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(F.when(F.col("sid") == F.col("pivot"), F.col("label"))).alias("top")).where("lo <> hi")
     known = known.join(varied.select("key", "top"), "key").select(F.col("key").alias("segment"), "sid", "label", (F.col("label") == F.col("top")).alias("main")).join(sets, "sid")
@@ -252,7 +256,13 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     (a, b), (ka, kb) = pick("sid"), pick("key")
     more = more.select(a.alias("a"), b.alias("b"), ka.alias("ka"), kb.alias("kb")).distinct()
     more = verified(more, rows, percent, width)
-    label = components(first.unionByName(more)).withColumnRenamed("node", "sid")
+    # Links between labels alone are left to follow.
+    ends = first.unionByName(more)
+    for c in ("a", "b"):
+        ends = ends.join(label.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left").withColumn(f"l{c}", F.coalesce(f"l{c}", c))
+    whole = components(ends.where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    merged = label.select(F.col("node").alias("sid"), "label").unionByName(whole.select(F.col("node").alias("sid"), F.col("node").alias("label"))).groupBy("sid").agg(F.min("label").alias("l"))
+    label = merged.join(whole.select(F.col("node").alias("l"), F.col("label").alias("w")), "l", "left").select("sid", F.coalesce("w", "l").alias("label"))
 
     named = described.select("key", "doc_id", "n", "sid").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     lowest = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
