@@ -487,6 +487,18 @@ def test_model_nears_the_entropy_of_held_out_text(spark):
     assert x.n > 30 and 1.65 < x.bits < 1.85
 
 
+def test_scores_use_every_node_whatever_is_broadcast(docs, spark):
+    df, c = docs
+    raw = [(t or "").encode() for _, t, _ in c]
+    train = [(b,) for (d, _, _), b in zip(c, raw, strict=True) if d is None or zlib.crc32(str(d).encode()) % 5 != 1]
+    whole = ctw.Scorer(ctw.grow_tree(spark.createDataFrame(train, "t binary"), depth=3, most_nodes=1 << 40)).texts(raw)
+    want = sorted((t or "", s) for (_, t, _), s in zip(c, whole, strict=True))
+    for most in (0, 50, 2_000_000):
+        got = sorted((r.text or "", r.score) for r in ctw.score_texts(df, depth=3, most_nodes=most).collect())
+        assert [t for t, _ in got] == [t for t, _ in want]
+        assert [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-5)
+
+
 def test_hashes():
     words = "a bb ccc a bb ccc dd".split()
     text = " \t".join(words).encode()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, materialize, mix, row_key
+from .common import materialize, mix, row_key
 
 _END = 0xFF  # no byte of UTF-8; pads the first contexts and ends each text
 
@@ -44,6 +44,20 @@ def count_grams(texts: DataFrame, depth: int) -> DataFrame:
     return texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def count_both(rows: DataFrame, depth: int) -> DataFrame:
+    """(code, n, seen) from (text, held_out): as count_grams over the rows that are not held out, and over all."""
+
+    def count(batches):
+        for batch in batches:
+            out, texts = np.array(batch.column(1).to_pylist(), bool), [t or b"" for t in batch.column(0).to_pylist()]
+            for held in (False, True):
+                for part in _blocks([t for t, o in zip(texts, out, strict=True) if o == held], 2_000_000):
+                    code, n = np.unique(_codes(part, depth)[0], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(np.zeros_like(n) if held else n), pa.array(n)], ["code", "n", "seen"])
+
+    return rows.mapInArrow(count, "code long, n long, seen long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
+
+
 def _blocks(texts: list[bytes], most: int = 4_000_000):
     """Texts in order, about `most` bytes at a time."""
     part, size = [], 0
@@ -99,9 +113,106 @@ def tree_levels(grams: DataFrame, depth: int) -> list[DataFrame]:
     return levels[::-1]
 
 
+def mixed_levels(levels: list[DataFrame]) -> list[DataFrame]:
+    """Nodes of each depth: (node, one, acc, rem), one the probability of a one where no deeper node is there.
+
+    p = (beta * own + deeper) / (beta + 1), unrolled from the root down: acc is what the nodes up to this one give,
+    rem the weight left for deeper ones. A node meets its parent, and a parent has at most 256 children.
+    """
+    out: list[DataFrame] = []
+    for d, x in enumerate(levels):
+        x = x.select("node", ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)).alias("own"), F.expr("1 / (1 + exp(-log_beta))").alias("w"))
+        if d:
+            parent = out[-1].select(F.col("node").alias("up"), "acc", "rem")
+            x = x.join(parent, F.col("node").bitwiseAND((1 << (8 * d)) - 1) == F.col("up"))
+        else:
+            x = x.withColumns({"acc": F.lit(0.0), "rem": F.lit(1.0)})
+        x = x.select("node", F.expr("acc + rem * own").alias("one"), F.expr("acc + rem * w * own").alias("acc"), F.expr("rem * (1 - w)").alias("rem"))
+        out.append(materialize(x, "mixed"))
+    return out
+
+
+def code_values(codes: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(code, seen, value): log10 probability of each code's last byte after its context, by every counted node.
+
+    Each of the eight decisions takes its deepest node: those that a level lacks are looked up in the next one. A
+    node of the deepest level meets 256 codes at most; the two topmost levels have at most 65,280 nodes and are broadcast.
+    """
+    todo, out = codes.select("code", "seen", F.lit(0.0).alias("value"), F.lit(255).alias("lack")), None
+    for d in range(len(levels) - 1, -1, -1):
+        x = todo.withColumn("j", F.explode(F.expr("filter(sequence(0, 7), j -> (lack >> j) & 1 = 1)")))
+        x = x.withColumn("node", F.expr(f"(((code >> 8) & {(1 << (8 * d)) - 1}L) << 8) | (1L << j) | ((code & 255) >> (8 - j))"))
+        level = levels[d].select("node", "one")
+        x = x.join(F.broadcast(level) if d < 2 else level, "node", "left")
+        p = F.expr("log10(case when (code >> (7 - j)) & 1 = 1 then one else 1 - one end)")
+        gain, lack = F.sum(F.coalesce(p, F.lit(0.0))), F.sum(F.when(F.col("one").isNull(), F.expr("1 << j")).otherwise(0)).cast("int")
+        x = x.groupBy("code").agg(F.max("seen").alias("seen"), (F.max("value") + gain).alias("value"), lack.alias("lack"))
+        x = materialize(x, "values")
+        done, todo = x.where("lack = 0").select("code", "seen", "value"), x.where("lack <> 0")
+        out = done if out is None else out.unionByName(done)
+    return out.unionByName(todo.select("code", "seen", F.expr("value + bit_count(lack) * log10(0.5)").alias("value")))
+
+
+def _head(counts: DataFrame, n: str, most: int) -> int:
+    """The least count at which rows are among the most frequent: a rung of powers of 2**(1/4) with at most `most` at or above it."""
+    have, least, total = sorted(counts.groupBy(F.floor(F.log2(n) * 4).alias("r")).agg(F.count("*").alias("c")).collect(), reverse=True), 1 << 40, 0
+    for r in have:
+        total += r.c
+        if total > most:
+            break
+        least = r.r
+    return least
+
+
+def byte_scores(docs: DataFrame, values: DataFrame, depth: int, most_head: int) -> DataFrame:
+    """From (key, text) to one row a key: (key, n_bytes, score), the sum of the text's codes' values.
+
+    The values of the most frequent codes (at most most_head) go to every task; what a document has of other codes is
+    joined with their values, so every code has its own value whatever their number.
+    """
+    values = materialize(values, "codes")
+    rung, least = F.floor(F.log2("seen") * 4), _head(values, "seen", most_head)
+    head = values.where(rung >= least).select("code", "value").toArrow()
+    codes, scores = head.column(0).to_numpy().view(np.uint64), head.column(1).to_numpy()
+    order = np.argsort(codes)
+    table = docs.sparkSession.sparkContext.broadcast((codes[order], scores[order]))  # bounded by most_head
+
+    def rare(batches):
+        known, worth = table.value
+        for batch in batches:
+            keys, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            start = 0
+            for part in _blocks([t or b"" for t in texts], 1_000_000):
+                own = keys[start : start + len(part)]
+                start += len(part)
+                code, of = _codes(part, depth)
+                at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
+                hit = known[at] == code if len(known) else np.zeros(len(code), bool)
+                s = np.bincount(of[hit], weights=worth[at[hit]] if len(known) else None, minlength=len(part))
+                # One row for each of a text's other codes, one (without code) for the text.
+                left, text = code[~hit], of[~hit]
+                by = np.lexsort((left, text))
+                left, text = left[by], text[by]
+                first = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (text[1:] != text[:-1])))) if len(left) else np.zeros(0, np.int64)
+                times = np.diff(np.append(first, len(left)))
+                code_of = pa.concat_arrays([pa.array(left[first].view(np.int64)), pa.nulls(len(part), pa.int64())])
+                cols = [np.concatenate((own[text[first]], own)), code_of, np.concatenate((times, [len(t) + 1 for t in part])).astype(np.int64), np.concatenate((np.zeros(len(first)), s))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in cols], ["key", "code", "times", "sum"])
+
+    parts = materialize(docs.mapInArrow(rare, "key long, code long, times long, sum double"), "scores")
+    tail = parts.where("code is not null").select("key", "code", "times").join(values.where(rung < least).select("code", "value"), "code")
+    tail = tail.groupBy("key").agg(F.sum(F.col("times") * F.col("value")).alias("s2"))
+    # Rows that repeat whole share a key: the tail then holds their codes as often as there are rows.
+    x = parts.where("code is null").groupBy("key").agg(F.count("*").alias("rows"), F.max("times").alias("n_bytes"), F.max("sum").alias("sum")).join(tail, "key", "left")
+    return x.select("key", "n_bytes", (F.col("sum") + F.coalesce("s2", F.lit(0.0)) / F.col("rows")).alias("score"))
+
+
 @dataclass
 class Tree:
-    """The nodes that scoring reads, by depth: sorted node numbers, own weight and estimate of a one. Bounded by most_nodes."""
+    """A tree in one process, by depth: sorted node numbers, own weight and estimate of a one. Bounded by most_nodes.
+
+    score_texts doesn't use it: there every counted node is joined.
+    """
 
     depth: int
     nodes: list[np.ndarray]
@@ -136,7 +247,7 @@ class Tree:
 def grow_tree(texts: DataFrame, depth: int = 5, most_nodes: int = 2_000_000) -> Tree:
     """Count all texts, weight the tree bottom-up in Spark, and gather its most visited nodes.
 
-    The counts and weights cover every byte. The tree that scoring carries holds at most most_nodes nodes (16 bytes
+    The counts and weights cover every byte. The tree that is gathered holds at most most_nodes nodes (16 bytes
     each): those visited at least as often as the least power of 2**(1/4) that keeps within it; a context that isn't
     there is scored by the longest one that is.
     """
@@ -281,25 +392,17 @@ def score_texts(docs: DataFrame, held_out: Column | None = None, depth: int = 5,
 
     score is the log10 probability of the text's bytes and its end under the tree grown from the rows that are not
     held out (by default those whose crc32(doc_id) mod 5 is not 1; a null id is not held out). Null texts are empty.
+    Every node of the tree counts; most_nodes bounds only how many codes' scores are broadcast rather than joined.
     Without training rows every bit has probability 1/2. Columns of docs with the added names are replaced.
     """
     added = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
     own = [c for c in docs.columns if c not in (*added, "_key", "_raw")]
     out = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 1 if held_out is None else held_out
     x = docs.select(*own, F.coalesce(out, F.lit(False)).alias("held_out"), row_key(doc_id, text).alias("_key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_raw"))
-    training = x.where("not held_out").select("_raw")
-    tree = docs.sparkSession.sparkContext.broadcast(grow_tree(training, depth, most_nodes))  # bounded by most_nodes
-    keep = [*own, "held_out", "_key"]
-
-    def apply(batches):
-        scorer = Scorer(tree.value)
-        for batch in batches:
-            raw = batch.column(batch.schema.get_field_index("_raw")).to_pylist()
-            got = [scorer.texts(part) for part in _blocks(raw, 2_000_000)]
-            got = np.concatenate(got) if got else np.zeros(0)
-            bits = -got / np.log10(2) / np.array([len(t) + 1 for t in raw])
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), pa.array(got), pa.array(bits)], [*keep, "score", "bits_per_byte"])
-
-    scored = x.select(*keep, "_raw").mapInArrow(apply, extended(x.select(*keep).schema, "score double, bits_per_byte double"))
-    words = word_scores(x.select(F.col("_key").alias("key"), F.col("_raw").alias("text")), training)
-    return scored.join(words.withColumnRenamed("key", "_key"), "_key").select(*own, *added)
+    grams = materialize(count_both(x.select("_raw", "held_out"), depth), "grams")
+    levels = mixed_levels(tree_levels(grams.where("n > 0").select("code", "n"), depth))
+    texts = x.select(F.col("_key").alias("key"), F.col("_raw").alias("text"))
+    got = byte_scores(texts, code_values(grams.select("code", "seen"), levels), depth, most_nodes)
+    words = word_scores(texts, x.where("not held_out").select("_raw"))
+    both = words.join(got, "key").withColumn("bits_per_byte", -F.col("score") / float(np.log10(2)) / F.col("n_bytes")).withColumnRenamed("key", "_key")
+    return x.select(*own, "held_out", "_key").join(both, "_key").select(*own, *added)
