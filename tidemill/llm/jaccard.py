@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from .common import Sequence, components, materialize, mix, row_key, span_hashes, word_spans
 
-#: Segments that a document sends for a size band, and bits of the sketch that screens candidates.
-_SEGMENTS, _BITS = 48, 512
+#: Bits of the sketch that screens candidates.
+_BITS = 512
 _SKETCHED = 256
+#: A tag is a band (under 77 of them) times _TAG and one more than the spares that are left.
+_TAG = 1 << 24
 
 
 def shingles(text: bytes, width: int = 5) -> np.ndarray:
@@ -27,10 +29,9 @@ def shingles(text: bytes, width: int = 5) -> np.ndarray:
 class Bands:
     """Size bands. A pair's sizes lie in one band or in neighbouring ones; band b joins sizes of b and b + 1.
 
-    limit[b] is the largest symmetric difference of a pair at the threshold there. A set sends `parts` segments
-    of which `spare` may be uninformative. Up to that many segments all parts are sent and differences can't reach
-    all of them (pigeonhole); beyond, _SEGMENTS of limit[b] equal parts are sent, of which fewer than 1 in 10**7
-    pairs at the very threshold have none alike, and far fewer above it.
+    limit[b] is the largest symmetric difference t of a pair at the threshold there. A set sends t + 1 + spare
+    segments, of which `spare` may be uninformative or left out: a difference reaches t segments at most, so at least
+    one that is alike is left in every pair (pigeonhole), whatever the family and its sizes.
     """
 
     def __init__(self, percent: int):
@@ -51,9 +52,7 @@ class Bands:
         """Number of parts, how many are sent, how many of these may go unused."""
         t = self.limit(band)
         spare = (t + 1) // 3
-        if t + 1 + spare <= _SEGMENTS:
-            return t + 1 + spare, t + 1 + spare, spare
-        return max(t, _SEGMENTS), _SEGMENTS, _SEGMENTS // 4
+        return t + 1 + spare, t + 1 + spare, spare
 
 
 def segments(tokens: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray, int]:
@@ -119,7 +118,7 @@ def describe(rows: DataFrame, bands: Bands, width: int) -> DataFrame:
                     if b >= 0 and bands.limit(b) > 0:
                         k, left = segments(x, b, bands)
                         keys.append(k)
-                        tags.append(np.full(len(k), b * 256 + left + 1, np.int32))
+                        tags.append(np.full(len(k), b * _TAG + left + 1, np.int32))
                 out[4].append(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))
                 out[5].append(np.concatenate(tags) if tags else np.zeros(0, np.int32))
             types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
@@ -227,7 +226,7 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     live = materialize(live, "live")
     # Each set leaves out keys above the lowest limit that its spare segments allow; of a pair, the set with the lower
     # limit has a segment alike within it, which the other keeps too.
-    own_keys, spare = Window.partitionBy("sid", "tag"), F.col("tag") % 256 - 1
+    own_keys, spare = Window.partitionBy("sid", "tag"), F.col("tag") % _TAG - 1
     limit = F.lit((1 << 62))
     for h in sorted(hot, reverse=True):
         limit = F.when(F.count_if(F.col("c") > h).over(own_keys) <= spare, F.lit(h)).otherwise(limit)
