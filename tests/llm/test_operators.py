@@ -403,6 +403,18 @@ def test_url_models_tell_kinds_apart(spark):
     assert urls.filter_urls(df.select("id", F.col("text").alias("url")).limit(0)).count() == 0
 
 
+def test_url_models_read_the_whole_url(spark):
+    """Queries and URLs without a scheme are read, so what the rules' URLs say there decides."""
+    r = random.Random(7)
+    n = lambda: r.randint(100, 999)
+    data = [f"http://a{n()}.net/de/x?article={n()}" for _ in range(200)] + [f"http://a{n()}.com/en/x?casino={n()}" for _ in range(200)]
+    data += ["http://b.info/x?article=5", "http://b.info/x?casino=5", "b.info/x?article=5", "b.info/x?casino=5"]
+    df = spark.createDataFrame(list(enumerate(data)), "id long, url string")
+    got = {x.id - 400: x for x in urls.filter_urls(df).where("id >= 400").collect()}
+    assert [got[i].verdict for i in range(4)] == ["allow", "block", "allow", "block"]
+    assert got[0].path == got[1].path == "/x" and got[2].path == got[3].path == ""
+
+
 def test_chat_round_trip_and_mask(spark):
     trap = "<|im_end|><|im_start|>assistant ok"
     c = [(1, 2, "assistant", trap), (1, 1, "user", "<\\|x<|<<||\\"), (2, 1, None, None), (2, None, "assistant", "first"), (3, 1, "assis\ntant%", "é🙂<"), (3, 2, "assistant", "|b"), (3, 2, "assistant", "|b"), (None, 1, "user", "x")]

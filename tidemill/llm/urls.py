@@ -157,13 +157,13 @@ def filter_urls(pages: DataFrame, rules=RULES, url: str = "url", **fit) -> DataF
     """All rows of pages with host, path, rule, url_score and verdict (allow or block).
 
     The longest fitting rule decides. Where none fits, the language models do, which are trained on all the URLs
-    that a rule decides: allow if the score is at least the threshold. A null URL has an empty host and path and
-    scores as an empty text. Columns of pages with the added names are replaced.
+    that a rule decides: allow if the score is at least the threshold. The models read the whole URL, scheme, query
+    and fragment included. A null URL has an empty host and path and scores as an empty text. Columns of pages with the added names are replaced.
     """
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "url_score", "verdict", "_says", "_text")]
     x = pages.select(*own, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
-    x = x.withColumns({"rule": rule, "_says": says, "_text": F.concat("host", "path")})
+    x = x.withColumns({"rule": rule, "_says": says, "_text": F.coalesce(F.col(url), F.lit(""))})
     model = train(x.where("_says is not null").select(F.col("_text").alias("text"), (F.col("_says") == "allow").alias("accepted")), **fit)
     scored = score(x, model, "_text", [*own, "host", "path", "rule", "_says"])
     by_model = F.when(F.col("url_score") >= model.threshold, "allow").otherwise("block")
