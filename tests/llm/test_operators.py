@@ -305,6 +305,15 @@ def test_templates_deplete_but_copies_do_not(spark):
     assert got == {"thin": 0.0, "good": 1.0, "copy": 1.0}
 
 
+def test_every_line_of_a_block_is_a_template(spark):
+    r = random.Random(12)
+    line = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    footer = [line(12) for _ in range(10)]
+    df = spark.createDataFrame([(i, "\n".join([line(20), *footer]), "h") for i in range(30)], "doc_id long, text string, source string")
+    got = quality.judge_quality(df).collect()
+    assert {(x.n_template, x.base_failed, x.kept) for x in got} == {(120, False, False)}
+
+
 def test_vectors(spark):
     r = np.random.default_rng(4)
     data, label = [], []

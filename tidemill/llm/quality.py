@@ -46,9 +46,9 @@ def _normal(line: bytes) -> bytes:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """From (key, host, text) to one row for each different line of a document: (key, host, line, n_words, around).
+    """From (key, host, text) to one row for each different line of a document: (key, host, line, n_words, whole).
 
-    line hashes host and normalised line together; around hashes the lines before and after its first place.
+    line hashes host and normalised line together; whole hashes the document's text.
     """
 
     def lines(batches):
@@ -62,37 +62,36 @@ def document_lines(docs: DataFrame) -> DataFrame:
                 ends = np.cumsum(long)
                 h = span_hashes(b"".join(normal), ends - long, ends)
                 n = np.array([x.count(b" ") + 1 for x in normal])
-                near = np.zeros(len(h) + 2, np.uint64)
-                near[1:-1] = h
-                near = mix(near[:-2]) ^ mix(mix(near[2:]))
-                one, first, back = np.unique(h, return_index=True, return_inverse=True)
+                one, back = np.unique(h, return_inverse=True)
+                whole = span_hashes(text, np.array([0]), np.array([len(text)]))
                 salt = mix(np.array([host]).view(np.uint64))
-                for col, x in zip(out, (np.full(len(one), key), np.full(len(one), host), mix(one ^ salt), np.bincount(back, weights=n).astype(np.int64), near[first]), strict=True):
+                for col, x in zip(out, (np.full(len(one), key), np.full(len(one), host), mix(one ^ salt), np.bincount(back, weights=n).astype(np.int64), np.full(len(one), whole[0])), strict=True):
                     col.append(x)
             cat = [np.concatenate(c).view(np.int64) if c else np.zeros(0, np.int64) for c in out]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cat], ["key", "host", "line", "n_words", "around"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cat], ["key", "host", "line", "n_words", "whole"])
 
-    return docs.mapInArrow(lines, "key long, host long, line long, n_words long, around long")
+    return docs.mapInArrow(lines, "key long, host long, line long, n_words long, whole long")
 
 
-def template_words(docs: DataFrame, most_docs: int = 10, share: float = 0.001, varied: float = 0.5, doc_id: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
+def template_words(docs: DataFrame, most_docs: int = 10, share: float = 0.001, doc_id: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
     """How many words of each document stand in lines above its host's limits: (key, n_template); key is row_key.
 
-    A line is above the limits if more than most_docs documents of its host hold it, more than `share` of them, and
-    its neighbour lines vary: at least `varied` times as many different surroundings as documents. Lines of copied
-    documents keep their surroundings and so don't count as templates; finding copies is other operators' work.
+    A line is above the limits if more than most_docs documents of its host hold it, and more than `share` of them.
+    Documents with equal texts count once: copies alone make no template; finding them is other operators' work.
     Null texts have no lines; null hosts are one host. Each count is over all documents, summed before it is
     shuffled; the lines found are written, and Spark's own size threshold decides whether they are broadcast.
     """
     name = F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("\x00")))
     rows = docs.select(row_key(doc_id, text).alias("key"), name.alias("host"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     lines = document_lines(rows)
-    sizes = rows.groupBy("host").agg(F.count("*").alias("host_docs"))
+    sizes = rows.select("host", F.xxhash64("text").alias("whole")).distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
+    # Copies are counted out only for lines that are common enough with them.
     often = lines.groupBy("line", "host").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs)
     often = often.join(sizes, "host").where(F.col("docs") > share * F.col("host_docs"))
-    often = materialize(often.select("line", "docs"), "often")
-    around = lines.select("line", "around").join(often, "line").groupBy("line", "around").agg(F.max("docs").alias("docs"))
-    found = around.groupBy("line").agg(F.count("*").alias("n"), F.max("docs").alias("docs")).where(F.col("n") >= varied * F.col("docs"))
+    often = materialize(often.select("line", "host_docs"), "often")
+    whole = lines.select("line", "whole").join(often, "line").groupBy("line", "whole").agg(F.max("host_docs").alias("host_docs"))
+    found = whole.groupBy("line").agg(F.count("*").alias("n"), F.max("host_docs").alias("host_docs"))
+    found = found.where((F.col("n") > most_docs) & (F.col("n") > share * F.col("host_docs")))
     found = materialize(found.select("line"), "templates")
     return lines.select("key", "line", "n_words").join(found, "line").groupBy("key").agg(F.sum("n_words").alias("n_template"))
 
