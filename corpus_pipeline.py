@@ -15,8 +15,10 @@ _COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
-    return quality.judge_quality(docs).where("kept").select(*_COLUMNS)
+    """Documents that pass the quality rules, without the lines above their hosts' limits."""
+    x = quality.judge_quality(docs).where("kept")
+    n = F.when(F.col("n_template") > 0, F.length("cleaned").cast("long")).otherwise(F.col("n_chars"))
+    return x.select("doc_id", F.col("cleaned").alias("text"), "lang", "source", n.alias("n_chars"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

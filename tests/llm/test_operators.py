@@ -312,6 +312,20 @@ def test_every_line_of_a_block_is_a_template(spark):
     df = spark.createDataFrame([(i, "\n".join([line(20), *footer]), "h") for i in range(30)], "doc_id long, text string, source string")
     got = quality.judge_quality(df).collect()
     assert {(x.n_template, x.base_failed, x.kept) for x in got} == {(120, False, False)}
+    assert {x.doc_id: x.cleaned for x in got} == {x.doc_id: x.text.split("\n")[0] for x in got}
+
+
+def test_pipeline_passes_texts_on_without_templates(spark):
+    import corpus_pipeline
+
+    r = random.Random(13)
+    line = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    own = [(line(40), line(40)) for _ in range(20)]
+    df = spark.createDataFrame([(i, f"{a}\n\n Menu  {i} HOME\n{b}\nfooter {i}", "en", "h", 9) for i, (a, b) in enumerate(own)] + [(99, "x y " + line(60), "en", "h", 7)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {x.doc_id: x for x in corpus_pipeline.quality_rules(spark, df.unionByName(df.where("doc_id = 0")), "").collect()}
+    assert len(got) == 21 and got[99].n_chars == 7
+    for i, (a, b) in enumerate(own):
+        assert got[i].text == f"{a}\n\n{b}" and got[i].n_chars == len(got[i].text)
 
 
 def test_vectors(spark):

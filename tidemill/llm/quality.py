@@ -73,8 +73,21 @@ def document_lines(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(lines, "key long, host long, line long, n_words long, whole long")
 
 
+def _without(text: str, host: int, found: list[int]) -> str:
+    """The text without its lines whose (host, line) hashes are found."""
+    lines = text.split("\n")
+    normal = [_normal(x.encode()) for x in lines]
+    long = np.array([len(x) for x in normal])
+    ends = np.cumsum(long)
+    h = mix(span_hashes(b"".join(normal), ends - long, ends) ^ mix(np.array([host], np.int64).view(np.uint64)))
+    gone = np.isin(h.view(np.int64), found)
+    return "\n".join(x for x, y, g in zip(lines, normal, gone, strict=True) if not (y and g))
+
+
 def template_words(docs: DataFrame, most_docs: int = 10, share: float = 0.001, doc_id: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
-    """How many words of each document stand in lines above its host's limits: (key, n_template); key is row_key.
+    """How many words of each document stand in lines above its host's limits: (key, n_template, host_hash, found).
+
+    key is row_key; found are the hashes of these lines, with host_hash in them.
 
     A line is above the limits if more than most_docs documents of its host hold it, and more than `share` of them.
     Documents with equal texts count once: copies alone make no template; finding them is other operators' work.
@@ -93,20 +106,24 @@ def template_words(docs: DataFrame, most_docs: int = 10, share: float = 0.001, d
     found = whole.groupBy("line").agg(F.count("*").alias("n"), F.max("host_docs").alias("host_docs"))
     found = found.where((F.col("n") > most_docs) & (F.col("n") > share * F.col("host_docs")))
     found = materialize(found.select("line"), "templates")
-    return lines.select("key", "line", "n_words").join(found, "line").groupBy("key").agg(F.sum("n_words").alias("n_template"))
+    # Rows that repeat whole share a key, so each line is taken once.
+    x = lines.select("key", "host", "line", "n_words").join(found, "line").groupBy("key", "host").agg(F.collect_set(F.struct("line", "n_words")).alias("x"))
+    words = F.aggregate("x", F.lit(0).cast("long"), lambda n, y: n + y.n_words)
+    return x.select("key", words.alias("n_template"), F.col("host").alias("host_hash"), F.col("x.line").alias("found"))
 
 
 def judge_quality(
     docs: DataFrame, least_words: int = 50, most_repeat: float = 0.5, least_left: float = 0.3, doc_id: str = "doc_id", host: str = "source", text: str = "text", **limits
 ) -> DataFrame:
-    """All rows of docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_template and kept.
+    """All rows of docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_template, kept and cleaned.
 
     A document fails the base rules with fewer than least_words words or more than most_repeat of its words in
     repeated 3-word windows; it is depleted if less than least_left of its words are left without template lines.
+    cleaned is the text without these lines; a text that loses none stays as it is.
     Null and empty texts measure 0 and fail. Columns of docs with the added names are replaced.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    own = [c for c in docs.columns if c not in (*names, "base_failed", "n_template", "kept", "_key", "_raw")]
+    own = [c for c in docs.columns if c not in (*names, "base_failed", "n_template", "kept", "cleaned", "_key", "_raw")]
     x = docs.select(*own, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_raw"), row_key(doc_id, text).alias("_key"))
 
     def measure(batches):
@@ -120,7 +137,9 @@ def judge_quality(
     x = x.mapInArrow(measure, schema)
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") > most_repeat * F.col("n_words"))
     x = x.withColumn("base_failed", failed)
-    x = x.join(template_words(docs, doc_id=doc_id, host=host, text=text, **limits).withColumnRenamed("key", "_key"), "_key", "left")
+    found = template_words(docs, doc_id=doc_id, host=host, text=text, **limits)
+    x = x.join(found.select(F.col("key").alias("_key"), F.col("host_hash").alias("_host"), "n_template", F.col("found").alias("_found")), "_key", "left")
     x = x.withColumn("n_template", F.coalesce("n_template", F.lit(0).cast("long")))
     kept = ~F.col("base_failed") & (F.col("n_words") - F.col("n_template") >= least_left * F.col("n_words"))
-    return x.withColumn("kept", kept).select(*own, *names, "base_failed", "n_template", "kept")
+    drop = F.udf(lambda t, h, f: t if t is None or f is None else _without(t, h, f), "string")
+    return x.withColumn("kept", kept).select(*own, *names, "base_failed", "n_template", "kept", drop(text, "_host", "_found").alias("cleaned"))
