@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm import jaccard, mixing, packing, quality, substrings
@@ -22,8 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
-    return jaccard.similar_documents(docs).where("component_id <=> doc_id").select(*_COLUMNS)
+    """One row of each group of near duplicates stays: the one with the smallest id, then the least text hash."""
+    first = Window.partitionBy("component_label").orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
+    return jaccard.similar_documents(docs).withColumn("_at", F.row_number().over(first)).where("_at = 1").select(*_COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -231,6 +231,17 @@ def test_jaccard_takes_repeated_rows_and_null_ids(docs, spark):
     assert jaccard.similar_documents(df.limit(0)).count() == 0
 
 
+def test_one_row_of_a_component_stays(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{k}{i}" for i in range(80)) for k in "abc")
+    near = a + " more"
+    data = [(1, a), (1, a), (1, near), (None, b), (None, b), (None, b + " x"), (1, c)]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((x.doc_id or 0, x.text[0]) for x in corpus_pipeline.near_duplicates(spark, df, "").collect())
+    assert got == [(0, "b"), (1, "a"), (1, "c")]
+
+
 def fill(sizes, weights):
     total, target, open_ = sum(sizes.values()), {}, set(sizes)
     while open_:

@@ -199,7 +199,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> Dat
 
 
 def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), pivots: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows of docs with n_shingles and component_id: the smallest id reachable by links of Jaccard >= percent.
+    """All rows of docs with n_shingles, component_id and component_label: the smallest id reachable by links of Jaccard >= percent, and the component's own name, which null or repeated ids don't blur.
 
     Equal sets are one node. Sets that share a segment key of their size band are candidates. Keys that many sets
     hold are left out as far as a set has spare segments, by the lowest of the limits `hot` that they allow, and
@@ -212,7 +212,7 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     component of such rows alone has a null id. Columns of docs with the added names are replaced.
     """
     bands = Bands(percent)
-    own = [c for c in docs.columns if c not in ("n_shingles", "component_id", "_key")]
+    own = [c for c in docs.columns if c not in ("n_shingles", "component_id", "component_label", "_key")]
     keyed = docs.select(*own, row_key(doc_id, text).alias("_key"))
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     described = materialize(describe(rows, bands, width), "sets")
@@ -266,5 +266,5 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     named = described.select("key", "doc_id", "n", "sid").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     lowest = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(lowest, "label", "left").withColumn("component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    named = named.groupBy(F.col("key").alias("_key")).agg(F.min("n").alias("n_shingles"), F.min("component_id").alias("component_id"))
-    return keyed.join(named, "_key").select(*own, "n_shingles", "component_id")
+    named = named.groupBy(F.col("key").alias("_key")).agg(F.min("n").alias("n_shingles"), F.min("component_id").alias("component_id"), F.min(F.coalesce("label", "key")).alias("component_label"))
+    return keyed.join(named, "_key").select(*own, "n_shingles", "component_id", "component_label")
