@@ -489,7 +489,7 @@ def test_words_and_model(docs, spark):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(train[w] > 0 for w in words), n)
         assert r.base_score == pytest.approx(sum(math.log10((train[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words))
         assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 1) and r.score < 0
-    small = ctw.score_texts(df, depth=2, most_nodes=50).collect()
+    small = ctw.score_texts(df, depth=2, most_head=50).collect()
     assert len(small) == len(c)
     assert ctw.score_texts(df.limit(0)).count() == 0
 
@@ -502,46 +502,68 @@ def kt(n0, n1):
     return p
 
 
-def test_tree_weights_equal_the_recursion(spark):
-    texts = ["abracadabra", "abba", "cab"]
-    df = spark.createDataFrame([(t.encode(),) for t in texts], "t binary")
-    tree = ctw.grow_tree(df, depth=2)
+def byte_model(texts, depth):
+    """Context-tree weighting by plain recursion over counted contexts: the log10 probability of a byte after a context."""
     counts = defaultdict(lambda: [0, 0])
     for t in texts:
-        s = b"\xff\xff" + t.encode() + b"\xff"
-        for i in range(2, len(s)):
-            for d in range(3):
+        s = b"\xff" * depth + t + b"\xff"
+        for i in range(depth, len(s)):
+            for d in range(depth + 1):
                 for j in range(8):
                     counts[(d, s[i - d : i], (1 << j) | (s[i] >> (8 - j)))][(s[i] >> (7 - j)) & 1] += 1
-
-    def pw(d, ctx, prefix):
-        own = kt(*counts[(d, ctx, prefix)])
-        if d == 2:
-            return own, own, 0.0
-        kids = sum(pw(d + 1, c, prefix)[0] for (e, c, p) in list(counts) if e == d + 1 and p == prefix and c[1:] == ctx)
-        return math.log(0.5 * math.exp(own) + 0.5 * math.exp(kids)), own, kids
+    kids_of, memo = defaultdict(list), {}
+    for d, c, p in counts:
+        if d:
+            kids_of[(d - 1, c[1:], p)].append((d, c, p))
+
+    def pw(key):
+        if key not in memo:
+            own = kt(*counts[key])
+            if key[0] == depth:
+                memo[key] = own, own, own
+            else:
+                kids = sum(pw(k)[0] for k in kids_of[key])
+                memo[key] = np.logaddexp(own, kids) - math.log(2), own, kids
+        return memo[key]
 
     def probability(ctx, byte):
         total = 0.0
         for j in range(8):
             prefix, bit, path = (1 << j) | (byte >> (8 - j)), (byte >> (7 - j)) & 1, []
-            for d in range(3):
-                if (key := (d, ctx[2 - d :], prefix)) in counts:
-                    path.append((key, pw(*key)))
+            for d in range(depth + 1):
+                if (key := (d, ctx[depth - d :], prefix)) in counts:
+                    path.append(key)
             p = 0.5
-            for i, (key, (_, own, kids)) in enumerate(reversed(path)):
+            for i, key in enumerate(reversed(path)):
                 n0, n1 = counts[key]
                 one = (n1 + 0.5) / (n0 + n1 + 1)
+                _, own, kids = pw(key)
                 p = one if i == 0 else (math.exp(own - kids) * one + p) / (math.exp(own - kids) + 1)
             total += math.log10(p if bit else 1 - p)
         return total
 
-    for text in ("abra", "zz", ""):
-        s = b"\xff\xff" + text.encode() + b"\xff"
-        want = sum(probability(s[i - 2 : i], s[i]) for i in range(2, len(s)))
-        assert ctw.Scorer(tree).texts([text.encode()])[0] == pytest.approx(want, rel=1e-5)
-    all_bytes = np.array([(97 << 16) | (98 << 8) | b for b in range(256)], np.uint64)
-    assert (10 ** tree.gram_scores(all_bytes)).sum() == pytest.approx(1.0)
+    def score(text):
+        s = b"\xff" * depth + text + b"\xff"
+        return sum(probability(s[i - depth : i], s[i]) for i in range(depth, len(s)))
+
+    score.byte = probability
+    return score
+
+
+@pytest.mark.parametrize("depth,top,most_head", [(2, 3, 50), (3, 1, 0), (5, 3, 1000), (5, 2, 1_000_000), (4, 0, 10)])
+def test_scores_equal_the_recursion(spark, depth, top, most_head):
+    """Held-out texts bring contexts that no training text has; what is broadcast or a task's changes nothing."""
+    r = random.Random(depth)
+    texts = ["abracadabra", "abba", "cab", None, "", "é🙂", "zz top abra"] + ["".join(r.choice("ab cé") for _ in range(r.randint(0, 40))) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(3, None), (0, "abracadabra")], "doc_id long, text string")
+    got = ctw.score_texts(df, F.col("doc_id") % 3 == 1, depth=depth, most_head=most_head, top=top).collect()
+    train = [(r.text or "").encode() for r in got if r.doc_id % 3 != 1]
+    score = byte_model(train, depth)
+    for x in got:
+        assert x.score == pytest.approx(score((x.text or "").encode()), rel=1e-6)
+        assert x.bits_per_byte == pytest.approx(-x.score / math.log10(2) / (len((x.text or "").encode()) + 1))
+    ctx = b"abracab"[-depth:]
+    assert sum(10 ** score.byte(ctx, b) for b in range(256)) == pytest.approx(1.0)
 
 
 def test_model_nears_the_entropy_of_held_out_text(spark):
@@ -554,18 +576,6 @@ def test_model_nears_the_entropy_of_held_out_text(spark):
     assert x.n > 30 and 1.65 < x.bits < 1.85
 
 
-def test_scores_use_every_node_whatever_is_broadcast(docs, spark):
-    df, c = docs
-    raw = [(t or "").encode() for _, t, _ in c]
-    train = [(b,) for (d, _, _), b in zip(c, raw, strict=True) if d is None or zlib.crc32(str(d).encode()) % 5 != 1]
-    whole = ctw.Scorer(ctw.grow_tree(spark.createDataFrame(train, "t binary"), depth=3, most_nodes=1 << 40)).texts(raw)
-    want = sorted((t or "", s) for (_, t, _), s in zip(c, whole, strict=True))
-    for most in (0, 50, 2_000_000):
-        got = sorted((r.text or "", r.score) for r in ctw.score_texts(df, depth=3, most_nodes=most).collect())
-        assert [t for t, _ in got] == [t for t, _ in want]
-        assert [s for _, s in got] == pytest.approx([s for _, s in want], rel=1e-5)
-
-
 def test_hashes():
     words = "a bb ccc a bb ccc dd".split()
     text = " \t".join(words).encode()

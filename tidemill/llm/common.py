@@ -20,29 +20,41 @@ _WORD_BASE = 0xC2B2AE3D27D4EB4F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a temporary one where it is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder that driver and executors share: spark.checkpoint.dir, or the checkpoint folder set on the context.
+
+    Where neither is set, only a session in one process may have a temporary folder: elsewhere executors could not read it.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
-        have = spark.sparkContext.getCheckpointDir()
-        if have:
-            return have
-        base = tempfile.mkdtemp(prefix="tidemill-")
-        spark.sparkContext.setCheckpointDir(base)
-        return spark.sparkContext.getCheckpointDir()
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemill-"))
+        base = spark.sparkContext.getCheckpointDir()
     return base
 
 
-def materialize(df: DataFrame, hint: str) -> DataFrame:
+def materialize(df: DataFrame, hint: str, scratch: list[str] | None = None) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage and survives lost executors.
 
-    The files stay until the folder is cleared, as checkpoint files do by default.
+    The files stay until the folder is cleared, as checkpoint files do by default, or until `discard` removes those
+    whose paths were added to scratch.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{hint}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, scratch: list[str]) -> None:
+    """Remove tables that no plan reads any more."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while scratch:
+        path = jvm.org.apache.hadoop.fs.Path(scratch.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 class _Powers:
     """Powers of an odd base and of its inverse modulo 2**64, grown on demand."""
 
@@ -134,10 +146,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
 
     Large-star and small-star rounds: every node hands its smallest neighbour to its larger, then to its
     smaller ones, until each node points at the root alone. A round is two shuffles over the edges; what
-    grows large is split by the join, and each round is written to the shared folder.
+    grows large is split by the join, and each round is written to the shared folder, the round before it removed.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
-    pairs, before = materialize(pairs, "edges"), None
+    old: list[str] = []
+    pairs, before = materialize(pairs, "edges", old), None
     for _ in range(rounds):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -147,9 +160,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         small = large.join(low, "u").select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")
         )
-        pairs = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
+        made: list[str] = []
+        pairs = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), "edges", made)
         # A star forest has one edge for each node and no node both below and above; then a round changes nothing.
         after = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        discard(pairs.sparkSession, old)
+        old = made
         if after == before:
             break
         before = after

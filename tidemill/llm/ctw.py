@@ -2,63 +2,82 @@
 
 from __future__ import annotations
 
-from collections import Counter
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, mix, row_key
+from .common import discard, materialize, row_key, span_hashes, word_spans
 
 _END = 0xFF  # no byte of UTF-8; pads the first contexts and ends each text
 
 
-def _codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+def _byte_codes(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Each byte of each text, and its end, behind the depth bytes before it: one integer; and the text it is of."""
     pad = bytes([_END]) * depth
     flat = np.frombuffer(b"".join(pad + t + b"\xff" for t in texts), np.uint8)
     n = np.array([len(t) + 1 for t in texts], np.int64)
     code = np.zeros(max(len(flat) - depth, 0), np.uint64)
     for k in range(depth + 1):
-        code = (code << np.uint64(8)) | flat[k : len(flat) - depth + k]
+        code <<= np.uint64(8)
+        code |= flat[k : len(flat) - depth + k]
     ends = np.cumsum(n + depth)
-    drop = np.ones(len(code), bool)
+    keep = np.ones(len(code), bool)
     for k in range(depth):  # windows that end in a padding byte of the next text
-        at = ends[:-1] - depth + k
-        drop[at] = False
-    return code[drop], np.repeat(np.arange(len(texts)), n)
+        keep[ends[:-1] - depth + k] = False
+    return code[keep], np.repeat(np.arange(len(texts)), n)
 
 
-def count_grams(texts: DataFrame, depth: int) -> DataFrame:
-    """(code, n): how often each byte follows each context of depth bytes, over all texts."""
+def _word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of each text, A-Z lower-cased, and 0 for its end; and the text it is of."""
+    flat = b"\n".join(texts).lower()
+    starts, ends = word_spans(flat)
+    begin = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+    of = np.searchsorted(begin, starts, "right") - 1
+    return np.concatenate((span_hashes(flat, starts, ends), np.zeros(len(texts), np.uint64))), np.concatenate((of, np.arange(len(texts))))
 
-    def count(batches):
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(0).to_pylist()]
-            for part in _blocks(texts):
-                code, n = np.unique(_codes(part, depth)[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(n)], ["code", "n"])
 
-    return texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+def count_codes(rows: DataFrame, codes_of: Callable, most: int = 2_000_000) -> DataFrame:
+    """(code, n, seen) from (text, held_out): how often each code is in rows that are not held out, and in all.
 
+    A task adds up what it has counted, and hands it on whenever that comes to more than `most` different codes.
+    """
+
+    def added(parts: list[tuple]) -> tuple:
+        code, n, seen = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(code)
+        code = code[order]
+        first = np.flatnonzero(np.concatenate((np.ones(min(len(code), 1), bool), code[1:] != code[:-1])))
+        return code[first], *(np.add.reduceat(x[order], first) for x in (n, seen))
 
-def count_both(rows: DataFrame, depth: int) -> DataFrame:
-    """(code, n, seen) from (text, held_out): as count_grams over the rows that are not held out, and over all."""
+    def record(part: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(part[0].view(np.int64)), pa.array(part[1]), pa.array(part[2])], ["code", "n", "seen"])
 
     def count(batches):
+        parts, size = [], 0
         for batch in batches:
             out, texts = np.array(batch.column(1).to_pylist(), bool), [t or b"" for t in batch.column(0).to_pylist()]
             for held in (False, True):
-                for part in _blocks([t for t, o in zip(texts, out, strict=True) if o == held], 2_000_000):
-                    code, n = np.unique(_codes(part, depth)[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.array(np.zeros_like(n) if held else n), pa.array(n)], ["code", "n", "seen"])
+                for part in _blocks([t for t, o in zip(texts, out, strict=True) if o == held]):
+                    code, n = np.unique(codes_of(part)[0], return_counts=True)
+                    parts.append((code, np.zeros_like(n) if held else n, n))
+                    size += len(code)
+                    if size > 2 * most:
+                        parts = [added(parts)]
+                        size = len(parts[0][0])
+                        if size > most:
+                            yield record(parts[0])
+                            parts, size = [], 0
+        if parts:
+            yield record(added(parts))
 
     return rows.mapInArrow(count, "code long, n long, seen long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
-def _blocks(texts: list[bytes], most: int = 4_000_000):
+def _blocks(texts: list[bytes], most: int = 1_000_000):
     """Texts in order, about `most` bytes at a time."""
     part, size = [], 0
     for t in texts:
@@ -84,36 +103,123 @@ def _log_kt(n0: Column, n1: Column) -> Column:
     return _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1) - 1.1447298858494002
 
 
-def tree_levels(grams: DataFrame, depth: int) -> list[DataFrame]:
-    """Nodes of each depth: (node, n0, n1, log_beta), node the context bytes and the bits of the byte so far.
+def _log_kt_of(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    """As _log_kt, over arrays."""
+
+    def log_gamma(x: np.ndarray) -> np.ndarray:
+        y = x + 6.0
+        series = (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+        return series - np.log(x * (x + 1) * (x + 2) * (x + 3) * (x + 4) * (x + 5))
+
+    return log_gamma(n0 + 0.5) + log_gamma(n1 + 0.5) - log_gamma(n0 + n1 + 1) - 1.1447298858494002
+
+
+class _Nodes:
+    """Nodes of one depth for one of the eight decisions: sorted names, counts, and each code's node."""
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray, j: int):
+        shift = np.uint64(8 - j)
+        group = codes >> shift
+        new = np.ones(len(codes), bool)
+        new[1:] = group[1:] != group[:-1]
+        first = np.flatnonzero(new)
+        self.of = np.cumsum(new) - 1
+        head = codes[first]
+        self.name = (head >> np.uint64(8) << np.uint64(8)) | np.uint64(1 << j) | ((head & np.uint64(255)) >> shift)
+        bit = ((codes >> np.uint64(7 - j)) & np.uint64(1)).astype(np.float64)
+        total, self.n1 = (np.add.reduceat(x, first) if len(first) else np.zeros(0) for x in (n, n * bit))
+        self.n0 = total - self.n1
+        self.log_pw = _log_kt_of(self.n0, self.n1)
+        self.log_beta = np.zeros(len(first))
+
+    def weigh(self, children: "_Nodes", up: np.ndarray) -> None:
+        """Against the product of the children's weighted probabilities; up holds each child's parent here."""
+        own, below = self.log_pw, np.bincount(up, weights=children.log_pw, minlength=len(self.name))
+        self.log_beta = own - below
+        self.log_pw = np.logaddexp(own, below) - 0.6931471805599453
+
+    def mixed(self, acc: np.ndarray, rem: np.ndarray) -> None:
+        """one, acc and rem as mixed_levels has them, from the parents' acc and rem."""
+        own, w = (self.n1 + 0.5) / (self.n0 + self.n1 + 1), 1 / (1 + np.exp(-np.clip(self.log_beta, -700, 700)))
+        self.one, self.acc, self.rem = acc + rem * own, acc + rem * w * own, rem * (1 - w)
+
+
+def _subtrees(code: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[list[list[_Nodes]], list[list[np.ndarray]]]:
+    """All nodes of depths top to depth below whole contexts of top bytes, weighted: levels, and parents by level and decision."""
+    order = np.argsort(code)
+    code, n = code[order], n[order].astype(np.float64)
+    levels, ups = [], []
+    for d in range(depth, top - 1, -1):
+        if d < depth:
+            code, back = np.unique(code & np.uint64((1 << (8 * (d + 1))) - 1), return_inverse=True)
+            n = np.bincount(back, weights=n, minlength=len(code))
+        level = [_Nodes(code, n, j) for j in range(8)]
+        if levels:
+            mask = np.uint64((1 << (8 * (d + 1))) - 1)
+            ups.append([np.searchsorted(x.name, y.name & mask) for x, y in zip(level, levels[-1], strict=True)])
+            for x, y, up in zip(level, levels[-1], ups[-1], strict=True):
+                x.weigh(y, up)
+        levels.append(level)
+    return levels[::-1], ups[::-1]
+
+
+def _by_context(batches, most: int = 100_000):
+    """Tables of whole contexts, about `most` rows at a time, of batches in order of their first column."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if size >= most and held:
+            last = held[-1].column(0)[-1].as_py()
+            cut = int(np.searchsorted(batch.column(0).to_numpy(), last, "right"))
+            held.append(batch.slice(0, cut))
+            if cut < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size, batch = [], 0, batch.slice(cut)
+            else:
+                size += batch.num_rows
+                continue
+        held.append(batch)
+        size += batch.num_rows
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _context(name: str, top: int) -> Column:
+    """The top bytes before, of a code or node."""
+    return (F.shiftrightunsigned(F.col(name), 8)).bitwiseAND((1 << (8 * top)) - 1)
+
+
+def tree_levels(grams: DataFrame, depth: int, top: int = 3, scratch: list[str] | None = None) -> list[DataFrame]:
+    """Nodes of the depths 0 to top: (node, n0, n1, log_beta), node the context bytes and the bits of the byte so far.
 
     A byte is eight binary decisions, each with a context tree of its own. log_beta weighs a node's own estimate
-    against its children's: KT block probability over the product of the children's weighted probabilities.
+    against its children's: KT block probability over the product of the children's weighted probabilities. All that
+    hangs below the same top bytes is in one task, which goes up from depth to top by itself: at most
+    256**(depth + 1 - top) codes a context, whatever the corpus. The levels above are sums of the one below.
     """
-    levels, below = [], None
-    for d in range(depth, -1, -1):
-        level = grams.select(F.col("code").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("code"), "n")
-        if d < depth:
-            level = level.groupBy("code").agg(F.sum("n").alias("n"))
-        bit = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j")
-        x = level.select("code", "n", bit).select(
-            F.expr("((code >> 8) << 8) | (1L << j) | ((code & 255) >> (8 - j))").alias("node"), F.expr("(code >> (7 - j)) & 1").alias("bit"), "n"
-        )
-        x = x.groupBy("node").agg(F.sum(F.when(F.col("bit") == 0, F.col("n")).otherwise(0)).alias("n0"), F.sum(F.when(F.col("bit") == 1, F.col("n")).otherwise(0)).alias("n1"))
-        x = x.withColumn("log_kt", _log_kt(F.col("n0"), F.col("n1")))
-        if below is None:
-            x = x.withColumn("log_pw", F.col("log_kt")).withColumn("log_beta", F.lit(0.0))
-        else:
-            child = below.groupBy(F.col("node").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("node")).agg(F.sum("log_pw").alias("log_children"))
-            x = x.join(child, "node").withColumn("log_beta", F.col("log_kt") - F.col("log_children"))
-            most, least = F.greatest("log_kt", "log_children"), F.least("log_kt", "log_children")
-            x = x.withColumn("log_pw", most + F.log1p(F.exp(least - most)) - 0.6931471805599453)
-        below = materialize(x.select("node", "n0", "n1", "log_beta", "log_pw"), "nodes")
+    top = min(top, depth)
+
+    def climb(batches):
+        for t in _by_context(batches):
+            levels, _ = _subtrees(t.column(1).to_numpy().view(np.uint64), t.column(2).to_numpy(), depth, top)
+            for x in levels[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (x.name.view(np.int64), x.n0.astype(np.int64), x.n1.astype(np.int64), x.log_beta, x.log_pw)], ["node", "n0", "n1", "log_beta", "log_pw"])
+
+    dealt = grams.select(_context("code", top).alias("context"), "code", "n").repartition("context").sortWithinPartitions("context")
+    below = materialize(dealt.mapInArrow(climb, "node long, n0 long, n1 long, log_beta double, log_pw double"), "nodes", scratch)
+    levels = [below]
+    for d in range(top - 1, -1, -1):
+        x = below.groupBy(F.col("node").bitwiseAND((1 << (8 * (d + 1))) - 1).alias("node")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("log_pw").alias("log_children"))
+        x = x.withColumn("log_kt", _log_kt(F.col("n0"), F.col("n1"))).withColumn("log_beta", F.col("log_kt") - F.col("log_children"))
+        most, least = F.greatest("log_kt", "log_children"), F.least("log_kt", "log_children")
+        x = x.withColumn("log_pw", most + F.log1p(F.exp(least - most)) - 0.6931471805599453)
+        below = materialize(x.select("node", "n0", "n1", "log_beta", "log_pw"), "nodes", scratch)
         levels.append(below)
     return levels[::-1]
 
 
-def mixed_levels(levels: list[DataFrame]) -> list[DataFrame]:
+def mixed_levels(levels: list[DataFrame], scratch: list[str] | None = None) -> list[DataFrame]:
     """Nodes of each depth: (node, one, acc, rem), one the probability of a one where no deeper node is there.
 
     p = (beta * own + deeper) / (beta + 1), unrolled from the root down: acc is what the nodes up to this one give,
@@ -128,18 +234,70 @@ def mixed_levels(levels: list[DataFrame]) -> list[DataFrame]:
         else:
             x = x.withColumns({"acc": F.lit(0.0), "rem": F.lit(1.0)})
         x = x.select("node", F.expr("acc + rem * own").alias("one"), F.expr("acc + rem * w * own").alias("acc"), F.expr("rem * (1 - w)").alias("rem"))
-        out.append(materialize(x, "mixed"))
+        out.append(materialize(x, "mixed", scratch))
     return out
 
 
-def code_values(codes: DataFrame, levels: list[DataFrame]) -> DataFrame:
+def deep_values(codes: DataFrame, mixed: DataFrame, depth: int, top: int = 3) -> DataFrame:
+    """(code, seen, value, lack) from (code, n, seen) and the mixed nodes of depth top.
+
+    value is the log10 probability of the code's last byte by its decisions' deepest nodes of the depths top to
+    depth; lack has a bit for each decision that has none of them. As in tree_levels a task has whole contexts.
+    """
+    top = min(top, depth)
+
+    def descend(batches):
+        for t in _by_context(batches):
+            code, n, seen, one, acc, rem = (t.column(i).to_numpy() for i in range(1, 7))
+            code, upper = code.view(np.uint64), seen < 0
+            node, by = code[upper], np.argsort(code[upper])
+            node, parts = node[by], [x[upper][by] for x in (one, acc, rem)]
+            code, n, seen = (x[~upper] for x in (code, n, seen))
+            levels, ups = _subtrees(code[n > 0], n[n > 0], depth, top)
+            for x in levels[0]:
+                at = np.searchsorted(node, x.name)
+                x.one, x.acc, x.rem = (p[at] for p in parts)
+            for level, above, up in zip(levels[1:], levels, ups, strict=False):
+                for x, y, u in zip(level, above, up, strict=True):
+                    x.mixed(y.acc[u], y.rem[u])
+            value, lack = np.zeros(len(code)), np.zeros(len(code), np.int32)
+            known = np.flatnonzero(n > 0)
+            known = known[np.argsort(code[known])]
+            new = np.flatnonzero(n == 0)
+            for j in range(8):
+                p = np.full(len(code), -1.0)
+                p[known] = levels[-1][j].one[levels[-1][j].of]
+                left, prefix = new, np.uint64(1 << j) | ((code & np.uint64(255)) >> np.uint64(8 - j))
+                for level, d in zip(levels[::-1], range(depth, top - 1, -1), strict=True):
+                    x = level[j]
+                    if not len(left) or not len(x.name):
+                        continue
+                    want = (((code[left] >> np.uint64(8)) & np.uint64((1 << (8 * d)) - 1)) << np.uint64(8)) | prefix[left]
+                    at = np.minimum(np.searchsorted(x.name, want), len(x.name) - 1)
+                    hit = x.name[at] == want
+                    p[left[hit]] = x.one[at[hit]]
+                    left = left[~hit]
+                lack[left] |= 1 << j
+                bit = ((code >> np.uint64(7 - j)) & np.uint64(1)).astype(bool)
+                value += np.where(p < 0, 0.0, np.log10(np.where(p < 0, 1.0, np.where(bit, p, 1 - p))))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (code.view(np.int64), seen, value, lack)], ["code", "seen", "value", "lack"])
+
+    none = F.lit(0.0)
+    rows = codes.select(_context("code", top).alias("context"), "code", "n", "seen", none.alias("one"), none.alias("acc"), none.alias("rem"))
+    upper = mixed.select(_context("node", top).alias("context"), F.col("node").alias("code"), F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("seen"), "one", "acc", "rem")
+    dealt = rows.unionByName(upper).repartition("context").sortWithinPartitions("context")
+    return dealt.mapInArrow(descend, "code long, seen long, value double, lack int")
+
+
+def code_values(codes: DataFrame, levels: list[DataFrame], depth: int, scratch: list[str] | None = None) -> DataFrame:
     """(code, seen, value): log10 probability of each code's last byte after its context, by every counted node.
 
-    Each of the eight decisions takes its deepest node: those that a level lacks are looked up in the next one. A
-    node of the deepest level meets 256 codes at most; the two topmost levels have at most 65,280 nodes and are broadcast.
+    Each of the eight decisions takes its deepest node: those that a level lacks are looked up in the next one. The
+    two topmost levels have at most 65,280 nodes and are broadcast.
     """
-    todo, out = codes.select("code", "seen", F.lit(0.0).alias("value"), F.lit(255).alias("lack")), None
-    for d in range(len(levels) - 1, -1, -1):
+    x = materialize(deep_values(codes, levels[-1], depth, len(levels) - 1), "values", scratch)
+    out, todo = x.where("lack = 0").select("code", "seen", "value"), x.where("lack <> 0")
+    for d in range(len(levels) - 2, -1, -1):
         x = todo.withColumn("j", F.explode(F.expr("filter(sequence(0, 7), j -> (lack >> j) & 1 = 1)")))
         x = x.withColumn("node", F.expr(f"(((code >> 8) & {(1 << (8 * d)) - 1}L) << 8) | (1L << j) | ((code & 255) >> (8 - j))"))
         level = levels[d].select("node", "one")
@@ -147,262 +305,115 @@ def code_values(codes: DataFrame, levels: list[DataFrame]) -> DataFrame:
         p = F.expr("log10(case when (code >> (7 - j)) & 1 = 1 then one else 1 - one end)")
         gain, lack = F.sum(F.coalesce(p, F.lit(0.0))), F.sum(F.when(F.col("one").isNull(), F.expr("1 << j")).otherwise(0)).cast("int")
         x = x.groupBy("code").agg(F.max("seen").alias("seen"), (F.max("value") + gain).alias("value"), lack.alias("lack"))
-        x = materialize(x, "values")
-        done, todo = x.where("lack = 0").select("code", "seen", "value"), x.where("lack <> 0")
-        out = done if out is None else out.unionByName(done)
+        x = materialize(x, "values", scratch)
+        out, todo = out.unionByName(x.where("lack = 0").select("code", "seen", "value")), x.where("lack <> 0")
     return out.unionByName(todo.select("code", "seen", F.expr("value + bit_count(lack) * log10(0.5)").alias("value")))
 
 
-def _head(counts: DataFrame, n: str, most: int) -> int:
-    """The least count at which rows are among the most frequent: a rung of powers of 2**(1/4) with at most `most` at or above it."""
-    have, least, total = sorted(counts.groupBy(F.floor(F.log2(n) * 4).alias("r")).agg(F.count("*").alias("c")).collect(), reverse=True), 1 << 40, 0
-    for r in have:
-        total += r.c
-        if total > most:
-            break
-        least = r.r
-    return least
+class _Table:
+    """Values by code: the more frequent codes in slots by hash, any others by binary search."""
+
+    def __init__(self, code: np.ndarray, value: np.ndarray, seen: np.ndarray, bits: int = 20):
+        by = np.argsort(code)
+        self.code, self.value, self.shift = code[by], value[by], np.uint64(64 - bits)
+        rank = np.argsort(seen[by], kind="stable")  # of codes that share a slot the most frequent is written last
+        slot = self.slots(self.code[rank])
+        self.slot_code, self.slot_value = np.full(1 << bits, np.uint64(1)), np.full(1 << bits, np.nan)
+        self.slot_code[slot], self.slot_value[slot] = self.code[rank], self.value[rank]
+
+    def slots(self, code: np.ndarray) -> np.ndarray:
+        return ((code * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, code: np.ndarray) -> np.ndarray:
+        """Values, NaN where a code isn't there."""
+        slot = self.slots(code)
+        out = np.where(self.slot_code[slot] == code, self.slot_value[slot], np.nan)
+        miss = np.flatnonzero(np.isnan(out))
+        if len(miss) and len(self.code):
+            at = np.minimum(np.searchsorted(self.code, code[miss]), len(self.code) - 1)
+            out[miss] = np.where(self.code[at] == code[miss], self.value[at], np.nan)
+        return out
 
 
-def byte_scores(docs: DataFrame, values: DataFrame, depth: int, most_head: int) -> DataFrame:
-    """From (key, text) to one row a key: (key, n_bytes, score), the sum of the text's codes' values.
+def code_sums(docs: DataFrame, codes_of: Callable, values: DataFrame, otherwise: float, most_head: int, scratch: list[str] | None = None) -> DataFrame:
+    """From (key, text) to one row a key: (key, n, known, sum), how many codes, how many of them are in values (code, seen, value, known), and the sum of their values.
 
-    The values of the most frequent codes (at most most_head) go to every task; what a document has of other codes is
-    joined with their values, so every code has its own value whatever their number.
+    The values of the most frequent codes (at most most_head, by rungs of powers of 2**(1/4)) go to every task; what
+    a document has of other codes is joined with their values, `otherwise` where there is none; so every code has its
+    own value whatever their number. Rows that repeat whole share a key and one row.
     """
-    values = materialize(values, "codes")
-    rung, least = F.floor(F.log2("seen") * 4), _head(values, "seen", most_head)
-    head = values.where(rung >= least).select("code", "value").toArrow()
-    codes, scores = head.column(0).to_numpy().view(np.uint64), head.column(1).to_numpy()
-    order = np.argsort(codes)
-    table = docs.sparkSession.sparkContext.broadcast((codes[order], scores[order]))  # bounded by most_head
-
-    def rare(batches):
-        known, worth = table.value
+    rung, least, total = F.floor(F.log2("seen") * 4), 1 << 40, 0
+    for r in sorted(values.groupBy(rung.alias("r")).agg(F.count("*").alias("c")).collect(), reverse=True):
+        total += r.c
+        if total > most_head:
+            break
+        least = r.r
+    head = values.where((rung >= least) & F.col("known")).select("code", "value", "seen").toArrow()
+    code, value, seen = (head.column(i).to_numpy() for i in range(3))
+    shared = docs.sparkSession.sparkContext.broadcast((code, value.astype(np.float64), seen))  # bounded by most_head
+
+    def look_up(batches):
+        table = _Table(shared.value[0].view(np.uint64), *shared.value[1:])
         for batch in batches:
-            keys, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            keys, texts = batch.column(0).to_numpy(), [t or b"" for t in batch.column(1).to_pylist()]
             start = 0
-            for part in _blocks([t or b"" for t in texts], 1_000_000):
+            for part in _blocks(texts):
                 own = keys[start : start + len(part)]
                 start += len(part)
-                code, of = _codes(part, depth)
-                at = np.minimum(np.searchsorted(known, code), max(len(known) - 1, 0))
-                hit = known[at] == code if len(known) else np.zeros(len(code), bool)
-                s = np.bincount(of[hit], weights=worth[at[hit]] if len(known) else None, minlength=len(part))
+                code, of = codes_of(part)
+                worth = table.find(code)
+                miss = np.isnan(worth)
+                n, known = np.bincount(of, minlength=len(part)), np.bincount(of[~miss], minlength=len(part))
+                s = np.bincount(of[~miss], weights=worth[~miss], minlength=len(part))
                 # One row for each of a text's other codes, one (without code) for the text.
-                left, text = code[~hit], of[~hit]
+                left, text = code[miss], of[miss]
                 by = np.lexsort((left, text))
                 left, text = left[by], text[by]
                 first = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (text[1:] != text[:-1])))) if len(left) else np.zeros(0, np.int64)
-                times = np.diff(np.append(first, len(left)))
+                times, none = np.diff(np.append(first, len(left))), np.zeros(len(first))
                 code_of = pa.concat_arrays([pa.array(left[first].view(np.int64)), pa.nulls(len(part), pa.int64())])
-                cols = [np.concatenate((own[text[first]], own)), code_of, np.concatenate((times, [len(t) + 1 for t in part])).astype(np.int64), np.concatenate((np.zeros(len(first)), s))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in cols], ["key", "code", "times", "sum"])
+                cols = [np.concatenate(c) for c in ((own[text[first]], own), (times, n), (none.astype(np.int64), known), (none, s))]
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), code_of, *(pa.array(c) for c in cols[1:])], ["key", "code", "n", "known", "sum"])
 
-    parts = materialize(docs.mapInArrow(rare, "key long, code long, times long, sum double"), "scores")
-    tail = parts.where("code is not null").select("key", "code", "times").join(values.where(rung < least).select("code", "value"), "code")
-    tail = tail.groupBy("key").agg(F.sum(F.col("times") * F.col("value")).alias("s2"))
+    parts = materialize(docs.mapInArrow(look_up, "key long, code long, n long, known long, sum double"), "sums", scratch)
+    tail = parts.where("code is not null").select("key", "code", "n").join(values.where((rung < least) | ~F.col("known")).select("code", "value", F.col("known").alias("is")), "code", "left")
+    tail = tail.groupBy("key").agg(F.sum(F.when(F.col("is"), F.col("n")).otherwise(0)).alias("k2"), F.sum(F.col("n") * F.coalesce("value", F.lit(otherwise))).alias("s2"))
     # Rows that repeat whole share a key: the tail then holds their codes as often as there are rows.
-    x = parts.where("code is null").groupBy("key").agg(F.count("*").alias("rows"), F.max("times").alias("n_bytes"), F.max("sum").alias("sum")).join(tail, "key", "left")
-    return x.select("key", "n_bytes", (F.col("sum") + F.coalesce("s2", F.lit(0.0)) / F.col("rows")).alias("score"))
-
-
-@dataclass
-class Tree:
-    """A tree in one process, by depth: sorted node numbers, own weight and estimate of a one. Bounded by most_nodes.
-
-    score_texts doesn't use it: there every counted node is joined.
-    """
-
-    depth: int
-    nodes: list[np.ndarray]
-    weight: list[np.ndarray]
-    one: list[np.ndarray]
-    memo: dict = field(default_factory=dict, repr=False)
-
-    def gram_scores(self, code: np.ndarray) -> np.ndarray:
-        """log10 probability of each code's last byte after its context."""
-        total = np.zeros(len(code))
-        byte = code & np.uint64(255)
-        for j in range(8):
-            prefix = np.uint64(1 << j) | (byte >> np.uint64(8 - j))
-            bit = ((byte >> np.uint64(7 - j)) & np.uint64(1)).astype(bool)
-            # From the deepest node that is there upwards: p = (beta * own + deeper) / (beta + 1).
-            p, deeper = np.full(len(code), 0.5), np.zeros(len(code), bool)
-            for d in range(self.depth, -1, -1):
-                mask = np.uint64((1 << (8 * d)) - 1)
-                node = (((code >> np.uint64(8)) & mask) << np.uint64(8)) | prefix
-                keys = self.nodes[d]
-                if not len(keys):
-                    continue
-                at = np.minimum(np.searchsorted(keys, node), len(keys) - 1)
-                hit = keys[at] == node
-                w = np.where(deeper, self.weight[d][at], 1.0)
-                p = np.where(hit, w * self.one[d][at] + (1 - w) * p, p)
-                deeper |= hit
-            total += np.log10(np.where(bit, p, 1 - p))
-        return total
-
-
-def grow_tree(texts: DataFrame, depth: int = 5, most_nodes: int = 2_000_000) -> Tree:
-    """Count all texts, weight the tree bottom-up in Spark, and gather its most visited nodes.
-
-    The counts and weights cover every byte. The tree that is gathered holds at most most_nodes nodes (16 bytes
-    each): those visited at least as often as the least power of 2**(1/4) that keeps within it; a context that isn't
-    there is scored by the longest one that is.
-    """
-    grams = materialize(count_grams(texts, depth), "grams")
-    levels = tree_levels(grams, depth)
-    rows = None
-    for d, x in enumerate(levels):
-        x = x.select(F.lit(d).alias("d"), "node", "n0", "n1", "log_beta")
-        rows = x if rows is None else rows.unionByName(x)
-    rung = F.floor(F.log2(F.col("n0") + F.col("n1")) * 4)
-    have = sorted(rows.groupBy(rung.alias("r")).agg(F.count("*").alias("c")).collect(), reverse=True)
-    total, least = 0, 0
-    for r in have:
-        total += r.c
-        if total > most_nodes:
-            break
-        least = r.r
-    kept = rows.where(rung >= least).select("d", "node", F.expr("cast(1 / (1 + exp(-log_beta)) as float)").alias("w"), ((F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1)).cast("float").alias("one"))
-    got = kept.toArrow()
-    d, node, w, one = (got.column(i).to_numpy() for i in range(4))
-    out: tuple[list, list, list] = ([], [], [])
-    for k in range(depth + 1):
-        own = np.flatnonzero(d == k)
-        own = own[np.argsort(node[own])]
-        for col, x in zip(out, (node[own].astype(np.uint64), w[own], one[own]), strict=True):
-            col.append(x)
-    return Tree(depth, *out)
-
-
-class Scorer:
-    """Scores texts with a tree; a direct-mapped memory of 2**20 codes saves most look-ups."""
-
-    def __init__(self, tree: Tree, bits: int = 20):
-        self.tree, self.shift = tree, np.uint64(64 - bits)
-        self.code = np.full(1 << bits, np.uint64((1 << 64) - 1))
-        self.value = np.zeros(1 << bits)
-
-    def grams(self, code: np.ndarray) -> np.ndarray:
-        slot = (mix(code) >> self.shift).astype(np.int64)
-        miss = np.flatnonzero(self.code[slot] != code)
-        if not len(miss):
-            return self.value[slot]
-        fresh, back = np.unique(code[miss], return_inverse=True)
-        scored = self.tree.gram_scores(fresh)
-        out = self.value[slot]
-        out[miss] = scored[back]
-        at = (mix(fresh) >> self.shift).astype(np.int64)
-        self.code[at], self.value[at] = fresh, scored
-        # Codes that share a slot: the last one written stays, with its own value.
-        self.value[at] = out_of(fresh, scored, self.code[at])
-        return out
-
-    def texts(self, texts: list[bytes]) -> np.ndarray:
-        code, of = _codes(texts, self.tree.depth)
-        return np.bincount(of, weights=self.grams(code), minlength=len(texts))
-
-
-def out_of(codes: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """values of the wanted codes; codes are sorted."""
-    return values[np.searchsorted(codes, wanted)]
-
-
-def _word_counts(texts: list[bytes]) -> Counter:
-    c: Counter = Counter()
-    for t in texts:
-        c.update(t.lower().split())
-    return c
-
-
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word binary, n) over all texts, A-Z lower-cased; each text's end is the word of one space."""
-
-    def count(batches):
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(0).to_pylist()]
-            for part in _blocks(texts):
-                c = _word_counts(part)
-                c[b" "] = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array(c.keys(), pa.binary()), pa.array(c.values(), pa.int64())], ["word", "n"])
-
-    return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    x = parts.where("code is null").groupBy("key").agg(F.count("*").alias("rows"), *(F.max(c).alias(c) for c in ("n", "known", "sum"))).join(tail, "key", "left")
+    known, total_ = F.col("known") + F.coalesce("k2", F.lit(0)) / F.col("rows"), F.col("sum") + F.coalesce("s2", F.lit(0.0)) / F.col("rows")
+    return x.select("key", "n", known.cast("long").alias("known"), total_.alias("sum"))
 
 
-def word_scores(docs: DataFrame, training: DataFrame, most_head: int = 150_000) -> DataFrame:
-    """From (key, text) to one row a key: (key, n_tokens, n_known, train_tokens, base_score) by the training texts' word counts.
+def word_scores(rows: DataFrame, most_head: int = 300_000, scratch: list[str] | None = None) -> DataFrame:
+    """From (key, text, held_out) to one row a key: (key, n_tokens, n_known, train_tokens, base_score) by the word counts of rows that are not held out."""
+    counts = materialize(count_codes(rows.select("text", "held_out"), _word_codes), "words", scratch)
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    floor = float(np.log10(total.n + 0.5 * (total.v + 1)))
+    values = counts.select("code", "seen", F.log10(F.col("n") + 0.5).alias("value"), (F.col("n") > 0).alias("known"))
+    got = code_sums(rows.select("key", "text"), _word_codes, values, float(np.log10(0.5)), most_head, scratch)
+    return got.select("key", F.col("n").alias("n_tokens"), F.col("known").alias("n_known"), F.lit(total.n).cast("long").alias("train_tokens"), (F.col("sum") - F.col("n") * F.lit(floor)).alias("base_score"))
 
-    The most frequent words (at most most_head, at least as often as a power of 2**(1/4)) go to every task; what
-    a document has of other words is joined with their counts, so any vocabulary is whole.
-    """
-    counts = materialize(count_words(training), "words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    big_n, floor = int(total.n), float(np.log10(total.n + 0.5 * (total.v + 1)))
-    rung = F.floor(F.log2("n") * 4)
-    have, least, seen = sorted(counts.groupBy(rung.alias("r")).agg(F.count("*").alias("c")).collect(), reverse=True), 1 << 40, 0
-    for r in have:
-        seen += r.c
-        if seen > most_head:
-            break
-        least = r.r
-    head = counts.where(rung >= least).toArrow()
-    table = docs.sparkSession.sparkContext.broadcast(dict(zip(head.column(0).to_pylist(), head.column(1).to_pylist(), strict=True)))
 
-    def rare(batches):
-        known = {w: (n, float(np.log10(n + 0.5))) for w, n in table.value.items()}
-        for batch in batches:
-            keys, words, times, n_known, sums = [], [], [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                c = Counter((text or b"").lower().split())
-                c[b" "] += 1
-                hits, s = 0, 0.0
-                for w, n in c.items():
-                    if (k := known.get(w)) is not None:
-                        hits += n
-                        s += n * k[1]
-                    else:
-                        keys.append(key)
-                        words.append(w)
-                        times.append(n)
-                        n_known.append(0)
-                        sums.append(0.0)
-                keys.append(key)
-                words.append(None)
-                times.append(sum(c.values()))
-                n_known.append(hits)
-                sums.append(s)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((keys, words, times, n_known, sums), (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.float64()), strict=True)], ["key", "word", "times", "n_known", "sum"])
-
-    parts = materialize(docs.mapInArrow(rare, "key long, word binary, times long, n_known long, sum double"), "tokens")
-    tail = parts.where("word is not null").select("key", "word", "times").join(counts.where(rung < least), "word", "left")
-    n = F.coalesce("n", F.lit(0))
-    tail = tail.groupBy("key").agg(F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("k2"), F.sum(F.col("times") * F.log10(n + 0.5)).alias("s2"))
-    # Rows that repeat whole share a key: the tail then holds their words as often as there are rows.
-    x = parts.where("word is null").groupBy("key").agg(F.count("*").alias("rows"), *(F.max(c).alias(c) for c in ("times", "n_known", "sum"))).join(tail, "key", "left")
-    return x.select(
-        "key", F.col("times").alias("n_tokens"), (F.col("n_known") + F.coalesce("k2", F.lit(0)) / F.col("rows")).cast("long").alias("n_known"), F.lit(big_n).cast("long").alias("train_tokens"),
-        (F.col("sum") + F.coalesce("s2", F.lit(0.0)) / F.col("rows") - F.col("times") * F.lit(floor)).alias("base_score"),
-    )
-
-
-def score_texts(docs: DataFrame, held_out: Column | None = None, depth: int = 5, most_nodes: int = 2_000_000, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows of docs with held_out, n_tokens, n_known, train_tokens, base_score, score and bytes_bits (bits a byte).
+def score_texts(docs: DataFrame, held_out: Column | None = None, depth: int = 5, most_head: int = 1_000_000, top: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """All rows of docs with held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte.
 
     score is the log10 probability of the text's bytes and its end under the tree grown from the rows that are not
     held out (by default those whose crc32(doc_id) mod 5 is not 1; a null id is not held out). Null texts are empty.
-    Every node of the tree counts; most_nodes bounds only how many codes' scores are broadcast rather than joined.
+    Every node of the tree counts; most_head bounds only how many codes' scores are broadcast rather than joined, and
+    top the depth down to which nodes are Spark's rows rather than a task's arrays. Neither changes a score.
     Without training rows every bit has probability 1/2. Columns of docs with the added names are replaced.
     """
     added = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
     own = [c for c in docs.columns if c not in (*added, "_key", "_raw")]
     out = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 1 if held_out is None else held_out
     x = docs.select(*own, F.coalesce(out, F.lit(False)).alias("held_out"), row_key(doc_id, text).alias("_key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_raw"))
-    grams = materialize(count_both(x.select("_raw", "held_out"), depth), "grams")
-    levels = mixed_levels(tree_levels(grams.where("n > 0").select("code", "n"), depth))
-    texts = x.select(F.col("_key").alias("key"), F.col("_raw").alias("text"))
-    got = byte_scores(texts, code_values(grams.select("code", "seen"), levels), depth, most_nodes)
-    words = word_scores(texts, x.where("not held_out").select("_raw"))
-    both = words.join(got, "key").withColumn("bits_per_byte", -F.col("score") / float(np.log10(2)) / F.col("n_bytes")).withColumnRenamed("key", "_key")
+    codes_of, old = partial(_byte_codes, depth=depth), []
+    grams = materialize(count_codes(x.select("_raw", "held_out"), codes_of), "grams", old)
+    levels = mixed_levels(tree_levels(grams.where("n > 0").select("code", "n"), depth, top, old), old)
+    values = materialize(code_values(grams, levels, depth, old).withColumn("known", F.lit(True)), "codes")
+    discard(docs.sparkSession, old)
+    texts = x.select(F.col("_key").alias("key"), F.col("_raw").alias("text"), "held_out")
+    got = code_sums(texts.select("key", "text"), codes_of, values, 0.0, most_head)
+    both = word_scores(texts).join(got.select("key", F.col("n").alias("n_bytes"), F.col("sum").alias("score")), "key")
+    both = both.withColumn("bits_per_byte", -F.col("score") / float(np.log10(2)) / F.col("n_bytes")).withColumnRenamed("key", "_key")
     return x.select(*own, "held_out", "_key").join(both, "_key").select(*own, *added)
