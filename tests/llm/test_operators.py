@@ -202,6 +202,39 @@ def test_jaccard_of_families_and_shared_passages(spark):
     assert got == want
 
 
+def test_jaccard_of_large_sets_at_the_threshold(spark):
+    """Sets beyond 512 shingles are screened by samples: the default finds what exact=True and brute force do."""
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for n in (520, 700, 1100, 2600):
+        for k in range(8):
+            base = [word() for _ in range(n)]
+            same = round((n - 4) * (0.86 if k % 2 else 0.855)) + 4  # Jaccard a little above or below 0.75
+            texts += [" ".join(base), " ".join(base[:same] + [word() for _ in range(n - same)])]
+    want = brute_components({i: shingle_set(t) for i, t in enumerate(texts)})
+    assert 8 <= len(texts) - len(set(want.values())) <= 24
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for exact in (False, True):
+        assert {x.doc_id: x.component_id for x in jaccard.similar_documents(df, exact=exact).collect()} == want
+
+
+def test_jaccard_follows_chains_that_have_no_hub(spark):
+    """Each text is like its neighbours only, all share one passage, and hubs alone don't find the links."""
+    r = random.Random(22)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    passage, own = [word() for _ in range(40)], [word() for _ in range(160)]
+    texts = []
+    for i in range(40):
+        own = own[8:] + [word() for _ in range(8)]
+        texts.append(" ".join(passage + own))
+    r.shuffle(texts)
+    want = brute_components({i: shingle_set(t) for i, t in enumerate(texts)})
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rounds in (1, 3):
+        assert {x.doc_id: x.component_id for x in jaccard.similar_documents(df, hot=(3, 8), rounds=rounds).collect()} == want
+
+
 def test_a_copy_keeps_a_key_that_its_large_family_holds():
     """Where all that a copy near 0.75 shares with its base is too common, it must not be able to leave all of it out."""
     r = np.random.default_rng(11)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Sequence, components, materialize, mix, row_key, span_hashes, word_spans
+from .common import Sequence, components, discard, materialize, mix, row_key, span_hashes, word_spans
 
 #: Bits of the sketch that screens candidates.
 _BITS = 512
@@ -136,22 +136,22 @@ def _named(sets: DataFrame, side: str) -> DataFrame:
     return sets.select(*(F.col(c).alias(f"{side}_{c}") for c in sets.columns))
 
 
-def _may_link(percent: int) -> str:
+def _may_link(percent: int, exact: bool = False) -> str:
     """Whether sizes and sketches allow a pair: their Hamming distance can't exceed the symmetric difference.
 
     p words are of a set's own level, q words of the next, and levels of a pair differ by one at most. Beyond level 0
-    a sketch holds a share of the tokens; six standard deviations are allowed for.
+    a sketch holds a share of the tokens; six standard deviations are allowed for, or with `exact` such pairs pass.
     """
     apart = lambda a, b: " + ".join(f"bit_count(a_{a}{i} ^ b_{b}{i})" for i in range(_WORDS))
     most = f"({100 - percent} * (a_n + b_n) / {100 + percent} * power(0.5, greatest(a_level, b_level)))"
-    slack = f"(case when a_level = 0 and b_level = 0 then 0 else 6 * sqrt({most}) + 6 end)"
+    slack = f"(case when a_level = 0 and b_level = 0 then 0 else {'1e18' if exact else f'6 * sqrt({most}) + 6'} end)"
     d = f"(case when a_level = b_level then {apart('p', 'p')} when a_level < b_level then {apart('q', 'p')} else {apart('p', 'q')} end)"
     return f"(a_n * 100 >= b_n * {percent} and b_n * 100 >= a_n * {percent} and {d} <= {most} + {slack})"
 
 
-def screened(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def screened(pairs: DataFrame, sets: DataFrame, percent: int, exact: bool = False) -> DataFrame:
     """The pairs (a, b) that _may_link, with their rows' keys."""
-    x = pairs.join(_named(sets, "a"), F.col("a") == F.col("a_sid")).join(_named(sets, "b"), (F.col("b") == F.col("b_sid")) & F.expr(_may_link(percent)))
+    x = pairs.join(_named(sets, "a"), F.col("a") == F.col("a_sid")).join(_named(sets, "b"), (F.col("b") == F.col("b_sid")) & F.expr(_may_link(percent, exact)))
     return x.select("a", "b", F.col("a_key").alias("ka"), F.col("b_key").alias("kb"))
 
 
@@ -175,9 +175,9 @@ def only(rows: DataFrame, keys: DataFrame, bits: int = 24) -> DataFrame:
     return rows.mapInArrow(keep, rows.schema)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
+def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int, scratch: list[str] | None = None) -> DataFrame:
     """Of the screened pairs those whose sets reach the threshold, checked on the texts' own shingles: (a, b)."""
-    x = materialize(pairs, "screened")
+    x = materialize(pairs, "screened", scratch)
     texts = only(rows.select("key", "text"), x.select(F.explode(F.array("ka", "kb")).alias("key")))
     x = x.join(texts.select(F.col("key").alias("kb"), F.col("text").alias("tb")), "kb").join(texts.select(F.col("key").alias("ka"), F.col("text").alias("ta")), "ka")
 
@@ -198,16 +198,18 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> Dat
     return x.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), pivots: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), rounds: int = 2, exact: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of docs with n_shingles, component_id and component_label: the smallest id reachable by links of Jaccard >= percent, and the component's own name, which null or repeated ids don't blur.
 
     Equal sets are one node. Sets that share a segment key of their size band are candidates. Keys that many sets
     hold are left out as far as a set has spare segments, by the lowest of the limits `hot` that they allow, and
     kept where they don't.
-    Candidates are compared in two rounds: each set with the smallest holder of its key (and in keys that many
-    hold with a few more), then, only where a key
-    still holds several components, its members of other components than that of the smallest with all the rest.
-    So a family of n near copies needs about n comparisons, and every link is still either checked or implied.
+    Candidates are compared in rounds. In the first, each set meets its key's hub. Each further round takes the keys
+    that still hold several components and lets all others meet the hub of what the first hub's component lacks.
+    After `rounds` of them, or one without a link, what still shares a key with another component meets all of it. So
+    a family of n near copies needs about n comparisons, and every link is still either checked or implied.
+    Sets of 512 shingles and more are screened by samples with six standard deviations of slack (a link is lost at
+    below 1 in 10^8); exact=True checks all of these candidates on their texts instead.
     Null and empty texts link with nothing. Rows with a null id link as others do but give no component its id; a
     component of such rows alone has a null id. Columns of docs with the added names are replaced.
     """
@@ -215,56 +217,67 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     own = [c for c in docs.columns if c not in ("n_shingles", "component_id", "component_label", "_key")]
     keyed = docs.select(*own, row_key(doc_id, text).alias("_key"))
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    described = materialize(describe(rows, bands, width), "sets")
+    old: list[str] = []
+    described = materialize(describe(rows, bands, width), "sets", old)
     sets = described.where("sid is not null").groupBy("sid").agg(F.min_by(F.struct("n", "key", "level", "sketch"), "key").alias("s")).select("sid", "s.n", "s.key", "s.level", *(F.col("s.sketch")[i].alias(c) for i, c in enumerate(_SKETCH)))
-    sets = materialize(sets, "distinct")
+    sets = materialize(sets, "distinct", old)
 
     seg = described.where("sid is not null").select("sid", F.explode(F.arrays_zip("keys", "tags")).alias("z")).select(F.col("z.keys").alias("key"), "sid", F.col("z.tags").alias("tag"))
     seg = seg.repartition("key").groupBy("key", "sid").agg(F.max("tag").alias("tag"))
     held = Window.partitionBy("key")
     live = seg.withColumn("c", F.count("*").over(held)).where("c > 1")
-    live = materialize(live, "live")
+    live = materialize(live, "live", old)
     # Each set leaves out keys above the lowest limit that its spare segments allow; of a pair, the set with the lower
     # limit has a segment alike within it, which the other keeps too.
     own_keys, spare = Window.partitionBy("sid", "tag"), F.col("tag") % _TAG - 1
     limit = F.lit((1 << 62))
     for h in sorted(hot, reverse=True):
         limit = F.when(F.count_if(F.col("c") > h).over(own_keys) <= spare, F.lit(h)).otherwise(limit)
-    used = live.withColumn("limit", limit).where("c <= limit").select("key", "sid")
-    used = used.withColumns({"c": F.count("*").over(held), "pivot": F.min("sid").over(held)}).where("c > 1")
-    # Members of a large family need not all be like one of it: there, each meets several, chosen by hashes.
-    several = F.array_distinct(F.array(F.col("pivot"), *(F.min_by("sid", F.xxhash64("sid", F.lit(k))).over(held) for k in range(pivots - 1))))
-    used = materialize(used.withColumn("pivots", F.when(F.col("c") > min(hot) * 2, several).otherwise(F.array("pivot"))), "used")
-    pairs = used.select("sid", F.explode("pivots").alias("p")).where("sid <> p").select(F.least("sid", "p").alias("a"), F.greatest("sid", "p").alias("b")).distinct()
-
-    first = materialize(verified(screened(pairs, sets, percent), rows, percent, width), "links")
-    # Sets with one label are linked, by two links at most; that is all the second round needs to know.
-    both = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label"))
-    label = both.join(near.select(F.col("a").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("label"))
-    label = materialize(label.select(F.col("a").alias("node"), "label"), "labels")
-    known = used.join(label.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "pivot", F.coalesce("label", "sid").alias("label"))
-    varied = known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max(F.when(F.col("sid") == F.col("pivot"), F.col("label"))).alias("top")).where("lo <> hi")
-    known = known.join(varied.select("key", "top"), "key").select(F.col("key").alias("segment"), "sid", "label", (F.col("label") == F.col("top")).alias("main")).join(sets, "sid")
-    known = materialize(known, "varied")
-    # Pairs with the pivot's component come once; pairs of odd ones would come twice, so only one order is kept.
+    # What a family's base holds, its copies hold too, while a copy's own changes are nobody else's: the set whose
+    # keys are held most often, the hub, is like most of the others.
+    used = live.repartition("sid").withColumns({"limit": limit, "weight": F.sum("c").over(Window.partitionBy("sid"))}).where("c <= limit").select("key", "sid", "weight")
+    used = materialize(used.withColumn("c", F.count("*").over(held)).where("c > 1").drop("c"), "used", old)
+
+    links, label, here = None, None, used
+    for _ in range(rounds):
+        meet = here.withColumns({"at": F.struct("weight", "sid"), "name": F.coalesce("label", "sid") if label is not None else F.col("sid")})
+        # The hub of what is not of the key's first hub's component meets all that are of other components than its own.
+        meet = meet.withColumn("first", F.max_by("name", "at").over(held))
+        away = F.when(F.col("name") != F.col("first"), F.col("at"))
+        hub = F.max("at" if label is None else away).over(held)
+        meet = meet.withColumn("hub", hub).withColumn("hub_name", F.max(F.when(F.col("at") == F.col("hub"), F.col("name"))).over(held)).where("name <> hub_name")
+        pairs = meet.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct()
+        if links is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs", old)
+        tried = pairs if links is None else tried.unionByName(pairs)
+        new = materialize(verified(screened(pairs, sets, percent, exact), rows, percent, width, old), "links", old)
+        links = new if links is None else links.unionByName(new)
+        label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "labels", old)
+        known = used.join(label, "sid", "left").withColumn("name", F.coalesce("label", "sid"))
+        varied = known.groupBy("key").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo <> hi").select("key")
+        here = materialize(known.join(varied, "key").select("key", "sid", "weight", "label"), "varied", old)
+        if new.isEmpty():
+            break
+
+    # What still shares a key with another component meets all of it but its own; the key's first hub's component is
+    # not compared with itself, and of two others one order is enough.
+    main = F.coalesce("label", "sid") == F.max_by(F.coalesce("label", "sid"), F.struct("weight", "sid")).over(held)
+    left = materialize(here.select(F.col("key").alias("segment"), "sid", F.coalesce("label", "sid").alias("label"), main.alias("main")).join(sets, "sid"), "left", old)
     met = "a_segment = b_segment and a_label <> b_label and (b_main or a_sid < b_sid)"
-    more = _named(known.where("not main"), "a").join(_named(known, "b"), F.expr(f"{met} and {_may_link(percent)}"))
+    more = _named(left.where("not main"), "a").join(_named(left, "b"), F.expr(f"{met} and {_may_link(percent, exact)}"))
     low = F.col("a_sid") < F.col("b_sid")
     pick = lambda c: (F.when(low, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")), F.when(low, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")))
     (a, b), (ka, kb) = pick("sid"), pick("key")
-    more = more.select(a.alias("a"), b.alias("b"), ka.alias("ka"), kb.alias("kb")).distinct()
-    more = verified(more, rows, percent, width)
-    # Links between labels alone are left to follow.
-    ends = first.unionByName(more)
-    for c in ("a", "b"):
-        ends = ends.join(label.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left").withColumn(f"l{c}", F.coalesce(f"l{c}", c))
-    whole = components(ends.where("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-    merged = label.select(F.col("node").alias("sid"), "label").unionByName(whole.select(F.col("node").alias("sid"), F.col("node").alias("label"))).groupBy("sid").agg(F.min("label").alias("l"))
-    label = merged.join(whole.select(F.col("node").alias("l"), F.col("label").alias("w")), "l", "left").select("sid", F.coalesce("w", "l").alias("label"))
-
-    named = described.select("key", "doc_id", "n", "sid").join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-    lowest = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    more = more.select(a.alias("a"), b.alias("b"), ka.alias("ka"), kb.alias("kb")).distinct().join(tried, ["a", "b"], "left_anti")
+    links = links.unionByName(verified(more, rows, percent, width, old))
+    label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "components")
+    described = materialize(described.select("key", "doc_id", "n", "sid"), "described")
+    discard(docs.sparkSession, old)
+
+    named = described.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    # Written first, so that the join's other side alone is dealt by label and a large component's rows can be split.
+    lowest = materialize(named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id")), "lowest")
     named = named.join(lowest, "label", "left").withColumn("component_id", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     named = named.groupBy(F.col("key").alias("_key")).agg(F.min("n").alias("n_shingles"), F.min("component_id").alias("component_id"), F.min(F.coalesce("label", "key")).alias("component_label"))
     return keyed.join(named, "_key").select(*own, "n_shingles", "component_id", "component_label")
