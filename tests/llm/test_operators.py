@@ -359,6 +359,18 @@ def test_every_line_of_a_block_is_a_template(spark):
     assert {x.doc_id: x.cleaned for x in got} == {x.doc_id: x.text.split("\n")[0] for x in got}
 
 
+def test_a_block_rejects_and_repeated_rows_change_nothing(spark):
+    r = random.Random(14)
+    line = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    block = [line(12) for _ in range(8)]
+    data = [(i, "\n".join([line(12), *block]), "h") for i in range(60)] + [(100, "\n".join([line(42), block[3]]), "h")]
+    once = spark.createDataFrame(data, "doc_id long, text string, source string").withColumn("kept", F.lit("clash"))
+    again = once.unionByName(once.where("doc_id in (5, 100)")).unionByName(once.where("doc_id in (5, 100)"))
+    cols = ("doc_id", "n_words", "n_template", "base_failed", "kept")
+    one, more = ({tuple(x) for x in quality.judge_quality(x).select(*cols).collect()} for x in (once, again))
+    assert one == more == {(i, 108, 96, False, False) for i in range(60)} | {(100, 54, 12, False, True)}
+
+
 def test_pipeline_passes_texts_on_without_templates(spark):
     import corpus_pipeline
 

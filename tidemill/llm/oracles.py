@@ -69,11 +69,10 @@ OP7 = rf"""
     l0 as (select doc_id, source, unnest(string_split(text, chr(10))) as raw, unnest(range(1, len(string_split(text, chr(10))) + 1)) as p from d),
     l1 as (select *, trim(regexp_replace(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) as line from l0 where regexp_matches(raw, '[^\x20\x09-\x0D]')),
     dup as (select doc_id, count(*) - count(distinct raw) as n from l1 group by 1),
-    l2 as (select *, coalesce(lag(line) over (partition by doc_id order by p), '') as b, coalesce(lead(line) over (partition by doc_id order by p), '') as a from l1),
-    l as (select doc_id, source, line, cast(sum(len(string_split(line, ' '))) as bigint) as words, first(b order by p) as b, first(a order by p) as a from l2 group by 1, 2, 3),
-    host as (select source, count(*) as n from d group by 1),
-    often as (select l.source, line, count(*) as docs, count(distinct (b, a)) as near from l join host using (source) group by 1, 2 having count(*) > 10 and count(*) > 0.001 * max(host.n)),
-    tmpl as (select doc_id, cast(sum(words) as bigint) as n from l join often using (source, line) where near >= 0.5 * docs group by 1),
+    l as (select doc_id, source, line, cast(sum(len(string_split(line, ' '))) as bigint) as words from l1 group by 1, 2, 3),
+    host as (select source, count(distinct text) as n from d group by 1),
+    often as (select l.source, line from l join d using (doc_id) join host on host.source = l.source group by 1, 2 having count(distinct d.text) > 10 and count(distinct d.text) > 0.001 * max(host.n)),
+    tmpl as (select doc_id, cast(sum(words) as bigint) as n from l join often using (source, line) group by 1),
     m as (select d.doc_id, len(w) as n_words, coalesce(length(array_to_string(w, '')), 0) as word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, coalesce(dup.n, 0) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words, coalesce(tmpl.n, 0) as n_template
         from d left join dup using (doc_id) left join rep using (doc_id) left join tmpl using (doc_id))
     select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,

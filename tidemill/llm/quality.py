@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Sequence, extended, materialize, mix, row_key, span_hashes, word_spans
+from .common import Sequence, discard, extended, materialize, mix, row_key, span_hashes, word_spans
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -91,25 +91,29 @@ def template_words(docs: DataFrame, most_docs: int = 10, share: float = 0.001, d
 
     A line is above the limits if more than most_docs documents of its host hold it, and more than `share` of them.
     Documents with equal texts count once: copies alone make no template; finding them is other operators' work.
-    Null texts have no lines; null hosts are one host. Each count is over all documents, summed before it is
-    shuffled; the lines found are written, and Spark's own size threshold decides whether they are broadcast.
+    Rows that repeat whole are one. Null texts have no lines; null hosts are one host. Lines are hashed and written
+    once. Each count is over all documents, summed before it is shuffled; Spark's own size threshold decides whether
+    the lines found are broadcast.
     """
     name = F.xxhash64(F.coalesce(F.col(host).cast("string"), F.lit("\x00")))
     rows = docs.select(row_key(doc_id, text).alias("key"), name.alias("host"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    lines = document_lines(rows)
+    old: list[str] = []
+    lines = materialize(document_lines(rows), "lines", old)
     sizes = rows.select("host", F.xxhash64("text").alias("whole")).distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     # Copies are counted out only for lines that are common enough with them.
     often = lines.groupBy("line", "host").agg(F.count("*").alias("docs")).where(F.col("docs") > most_docs)
     often = often.join(sizes, "host").where(F.col("docs") > share * F.col("host_docs"))
-    often = materialize(often.select("line", "host_docs"), "often")
+    often = materialize(often.select("line", "host_docs"), "often", old)
     whole = lines.select("line", "whole").join(often, "line").groupBy("line", "whole").agg(F.max("host_docs").alias("host_docs"))
     found = whole.groupBy("line").agg(F.count("*").alias("n"), F.max("host_docs").alias("host_docs"))
     found = found.where((F.col("n") > most_docs) & (F.col("n") > share * F.col("host_docs")))
-    found = materialize(found.select("line"), "templates")
+    found = materialize(found.select("line"), "templates", old)
     # Rows that repeat whole share a key, so each line is taken once.
     x = lines.select("key", "host", "line", "n_words").join(found, "line").groupBy("key", "host").agg(F.collect_set(F.struct("line", "n_words")).alias("x"))
     words = F.aggregate("x", F.lit(0).cast("long"), lambda n, y: n + y.n_words)
-    return x.select("key", words.alias("n_template"), F.col("host").alias("host_hash"), F.col("x.line").alias("found"))
+    x = materialize(x.select("key", words.alias("n_template"), F.col("host").alias("host_hash"), F.col("x.line").alias("found")), "found")
+    discard(docs.sparkSession, old)
+    return x
 
 
 def judge_quality(
@@ -120,7 +124,7 @@ def judge_quality(
     A document fails the base rules with fewer than least_words words or more than most_repeat of its words in
     repeated 3-word windows; it is depleted if less than least_left of its words are left without template lines.
     cleaned is the text without these lines; a text that loses none stays as it is.
-    Null and empty texts measure 0 and fail. Columns of docs with the added names are replaced.
+    Null and empty texts measure 0 and fail. A row that repeats whole gets the same verdict as once. Columns of docs with the added names are replaced.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     own = [c for c in docs.columns if c not in (*names, "base_failed", "n_template", "kept", "cleaned", "_key", "_raw")]
@@ -141,5 +145,5 @@ def judge_quality(
     x = x.join(found.select(F.col("key").alias("_key"), F.col("host_hash").alias("_host"), "n_template", F.col("found").alias("_found")), "_key", "left")
     x = x.withColumn("n_template", F.coalesce("n_template", F.lit(0).cast("long")))
     kept = ~F.col("base_failed") & (F.col("n_words") - F.col("n_template") >= least_left * F.col("n_words"))
-    drop = F.udf(lambda t, h, f: t if t is None or f is None else _without(t, h, f), "string")
+    drop = F.udf(lambda t, h, f: t if t is None or f is None else _without(t, h, f), "string", useArrow=True)
     return x.withColumn("kept", kept).select(*own, *names, "base_failed", "n_template", "kept", drop(text, "_host", "_found").alias("cleaned"))
