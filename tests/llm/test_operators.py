@@ -239,21 +239,24 @@ def test_a_copy_keeps_a_key_that_its_large_family_holds():
     """Where all that a copy near 0.75 shares with its base is too common, it must not be able to leave all of it out."""
     r = np.random.default_rng(11)
     bands = jaccard.Bands(75)
-    for band in range(len(bands.least) - 1):
-        a = int(bands.least[band + 1]) - 1
-        if not 10 < a < 1500:
-            continue
-        parts, sent, spare = bands.plan(band)
-        assert sent == parts and sent - spare > bands.limit(band)
-        gone = a * 2 // 35
-        added = a // 5 + gone
-        while 100 * (a - gone) < 75 * (a + added):
-            added -= 1
-        for _ in range(200):
-            base, new = r.integers(0, 1 << 63, a).astype(np.uint64), r.integers(0, 1 << 63, added).astype(np.uint64)
-            k, left = jaccard.segments(base, band, bands)
-            copy, most = jaccard.segments(np.concatenate((base[gone:], new)), band, bands)
-            assert len(np.intersect1d(k, copy)) > max(most, left, 0)
+    for a in (12, 40, 41, 100, 192, 193, 500, 1300):
+        for share in (0.0, 0.5, 1.0):
+            gone = round(a * share / 7)
+            added = a // 3
+            while 100 * (a - gone) < 75 * (a + added):
+                added -= 1
+            n, both = a - gone + added, (a - gone) / (a + added)
+            t = gone + added
+            band = max(t - 1, 0).bit_length()
+            assert both >= 0.75 and t <= 25 * (a + n) // 175
+            shared = set(bands.of(a)) & set(bands.of(n))
+            assert (25 * (a + n) // 175 - 1).bit_length() in shared and band <= max(shared)
+            for band in [(25 * (a + n) // 175 - 1).bit_length()]:
+                for _ in range(100):
+                    base, new = r.integers(0, 1 << 63, a).astype(np.uint64), r.integers(0, 1 << 63, added).astype(np.uint64)
+                    k, left = jaccard.segments(base, band, bands)
+                    copy, most = jaccard.segments(np.concatenate((base[gone:], new)), band, bands)
+                    assert len(np.intersect1d(k, copy)) > max(most, left, 0)
 
 
 def test_jaccard_takes_repeated_rows_and_null_ids(docs, spark):

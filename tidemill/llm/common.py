@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -47,12 +49,15 @@ def materialize(df: DataFrame, hint: str, scratch: list[str] | None = None) -> D
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, scratch: list[str]) -> None:
-    """Remove tables that no plan reads any more."""
+def discard(spark: SparkSession, scratch: list[str], clean: bool = True) -> None:
+    """Remove tables that no plan reads any more, and let Spark's cleaner remove shuffle files that nothing refers to."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while scratch:
         path = jvm.org.apache.hadoop.fs.Path(scratch.pop())
         path.getFileSystem(conf).delete(path, True)
+    if clean:
+        gc.collect()
+        jvm.System.gc()
 
 
 class _Powers:
@@ -131,6 +136,19 @@ class Sequence:
         return mix((self.total[ends] - self.total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
+def text_blocks(texts: list[bytes], most: int = 1_000_000) -> Iterator[list[bytes]]:
+    """Texts in order, about `most` bytes at a time: what is done once a block need not be done once a text."""
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t)
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def extended(schema: T.StructType, more: str) -> T.StructType:
     """A schema with further fields, given as DDL."""
     return T.StructType([*schema.fields, *T._parse_datatype_string(more).fields])
@@ -164,7 +182,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
         pairs = materialize(small.select("e.u", "e.v").where("u <> v").distinct(), "edges", made)
         # A star forest has one edge for each node and no node both below and above; then a round changes nothing.
         after = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        discard(pairs.sparkSession, old)
+        discard(pairs.sparkSession, old, clean=False)
         old = made
         if after == before:
             break

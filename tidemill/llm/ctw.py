@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, row_key, span_hashes, word_spans
+from .common import discard, materialize, row_key, span_hashes, text_blocks, word_spans
 
 _END = 0xFF  # no byte of UTF-8; pads the first contexts and ends each text
 
@@ -61,7 +61,7 @@ def count_codes(rows: DataFrame, codes_of: Callable, most: int = 2_000_000) -> D
         for batch in batches:
             out, texts = np.array(batch.column(1).to_pylist(), bool), [t or b"" for t in batch.column(0).to_pylist()]
             for held in (False, True):
-                for part in _blocks([t for t, o in zip(texts, out, strict=True) if o == held]):
+                for part in text_blocks([t for t, o in zip(texts, out, strict=True) if o == held]):
                     code, n = np.unique(codes_of(part)[0], return_counts=True)
                     parts.append((code, np.zeros_like(n) if held else n, n))
                     size += len(code)
@@ -77,19 +77,6 @@ def count_codes(rows: DataFrame, codes_of: Callable, most: int = 2_000_000) -> D
     return rows.mapInArrow(count, "code long, n long, seen long").groupBy("code").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"))
 
 
-def _blocks(texts: list[bytes], most: int = 1_000_000):
-    """Texts in order, about `most` bytes at a time."""
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
 def _log_gamma(x: Column) -> Column:
     """Stirling's series after a shift by 6, exact to about 1e-9 for x >= 0.5."""
     x = x.cast("double")
@@ -357,7 +344,7 @@ def code_sums(docs: DataFrame, codes_of: Callable, values: DataFrame, otherwise:
         for batch in batches:
             keys, texts = batch.column(0).to_numpy(), [t or b"" for t in batch.column(1).to_pylist()]
             start = 0
-            for part in _blocks(texts):
+            for part in text_blocks(texts):
                 own = keys[start : start + len(part)]
                 start += len(part)
                 code, of = codes_of(part)

@@ -2,79 +2,88 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Sequence, components, discard, materialize, mix, row_key, span_hashes, word_spans
+from .common import Sequence, components, discard, materialize, mix, row_key, span_hashes, text_blocks, word_spans
 
 #: Bits of the sketch that screens candidates.
 _BITS = 512
 _SKETCHED = 256
-#: A tag is a band (under 77 of them) times _TAG and one more than the spares that are left.
+#: A tag is a band (under 40 of them) times _TAG and one more than the spares that are left.
 _TAG = 1 << 24
 
 
-def shingles(text: bytes, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the text's word shingles, A-Z lower-cased; a shorter text is one shingle."""
-    text = text.lower()
-    words = span_hashes(text, *word_spans(text))
-    if not len(words):
-        return words
-    seq = Sequence(words)
-    return np.unique(seq.windows(width) if seq.n >= width else seq.runs(np.array([0]), np.array([seq.n])))
+def shingles(texts: list[bytes], width: int = 5) -> Iterator[np.ndarray]:
+    """Each text's sorted distinct hashes of its word shingles, A-Z lower-cased; a shorter text is one shingle."""
+    for block in text_blocks(texts):
+        flat = b"\n".join(block).lower()
+        starts, ends = word_spans(flat)
+        seq = Sequence(span_hashes(flat, starts, ends))
+        windows = seq.windows(width)
+        at = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in block)])).tolist()
+        for a, b in zip(at, at[1:], strict=False):
+            if b - a < width:
+                yield seq.runs(np.array([a]), np.array([b])) if b > a else np.zeros(0, np.uint64)
+                continue
+            x = np.sort(windows[a : b - width + 1])
+            first = np.ones(len(x), bool)
+            np.not_equal(x[1:], x[:-1], out=first[1:])
+            yield x[first]
 
 
 class Bands:
-    """Size bands. A pair's sizes lie in one band or in neighbouring ones; band b joins sizes of b and b + 1.
+    """Size bands: band k joins sizes whose pairs differ in 2**(k - 1) + 1 to 2**k tokens at the threshold.
 
-    limit[b] is the largest symmetric difference t of a pair at the threshold there. A set sends t + 1 + spare
-    segments, of which `spare` may be uninformative or left out: a difference reaches t segments at most, so at least
-    one that is alike is left in every pair (pigeonhole), whatever the family and its sizes.
+    Sizes n and m allow a symmetric difference of at most t = (100 - percent) * (n + m) / (100 + percent), which is
+    between a fourth and a third of n at 75 %; so a set is in one band or two. There it sends 2**k + 1 segments and a
+    sixth more. A difference reaches t segments at most, so at least parts - t are alike in every pair (pigeonhole),
+    whatever the family and its sizes; what a set may leave out follows from the largest t that it can have.
     """
 
     def __init__(self, percent: int):
         self.percent = percent
-        least = [1]
-        while least[-1] < 1 << 31:
-            least.append((least[-1] * 100) // percent + 1)
-        self.least = np.array(least)
 
-    def of(self, n: int) -> int:
-        return int(np.searchsorted(self.least, n, "right")) - 1
+    def _differences(self, n: int) -> tuple[int, int]:
+        """The most tokens in which a set of n may differ from its smallest and from its largest partner."""
+        low, high = -(-n * self.percent // 100), n * 100 // self.percent
+        return tuple((100 - self.percent) * (n + m) // (100 + self.percent) for m in (low, high))
+
+    def of(self, n: int) -> range:
+        """The bands of a set; none if only its equals are alike."""
+        low, high = self._differences(n)
+        return range((max(low, 1) - 1).bit_length(), (high - 1).bit_length() + 1) if high else range(0)
 
-    def limit(self, band: int) -> int:
-        a = int(self.least[band + 1]) - 1
-        return (100 - self.percent) * (a + a * 100 // self.percent) // (100 + self.percent)
+    def parts(self, band: int) -> int:
+        return (1 << band) + 1 + (1 << band) // 6
 
-    def plan(self, band: int) -> tuple[int, int, int]:
-        """Number of parts, how many are sent, how many of these may go unused."""
-        t = self.limit(band)
-        spare = (t + 1) // 3
-        return t + 1 + spare, t + 1 + spare, spare
+    def spare(self, n: int, band: int) -> int:
+        """How many segments of a set of n may go unused."""
+        return self.parts(band) - 1 - min(1 << band, self._differences(n)[1])
 
 
 def segments(tokens: np.ndarray, band: int, bands: Bands) -> tuple[np.ndarray, int]:
-    """Keys of the parity sketch's segments for a band, and how many more may be uninformative (-1: none are spare).
+    """Keys of the parity sketch's segments for a band, and how many more may be left out (-1: none are spare).
 
     A segment is the XOR of the 64-bit hashes of its tokens. Empty segments tell nothing and use up spares; a set
     with too many of them sends those too.
     """
-    parts, sent, spare = bands.plan(band)
+    parts, spare = bands.parts(band), bands.spare(len(tokens), band)
     salt = mix(np.array([band + 1], np.uint64))
     h = mix(tokens ^ salt)
-    part = ((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    pick = part < sent
-    part, h = part[pick].astype(np.int64), mix(h[pick])
+    part = (((h >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    part, h = part[order], h[order]
-    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
+    part, h = part[order], mix(h[order])
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(part), 1), bool), part[1:] != part[:-1])))
     xor = np.bitwise_xor.reduceat(h, first) if len(first) else np.zeros(0, np.uint64)
     have = part[first]
-    empty = sent - len(have)
+    empty = parts - len(have)
     if empty > spare:
-        gone = np.setdiff1d(np.arange(sent), have)
+        gone = np.setdiff1d(np.arange(parts), have)
         have, xor = np.concatenate((have, gone)), np.concatenate((xor, np.zeros(len(gone), np.uint64)))
     return mix(xor ^ mix(have.astype(np.uint64) + salt)), max(spare - empty, -1)
 
@@ -92,39 +101,58 @@ def sketch(tokens: np.ndarray, level: int) -> np.ndarray:
     return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
 
 
-def describe(rows: DataFrame, bands: Bands, width: int) -> DataFrame:
-    """From (key, doc_id, text) to n, set hash, two screening sketches and segment keys with their tags."""
+def _name(tokens: np.ndarray) -> np.ndarray:
+    """One number for a set."""
+    with np.errstate(over="ignore"):
+        return mix(np.array([np.bitwise_xor.reduce(mix(tokens)) + np.uint64(len(tokens)) * np.uint64(0x9E3779B97F4A7C15)], np.uint64)).view(np.int64)
+
+
+def describe(rows: DataFrame, width: int) -> DataFrame:
+    """From (key, doc_id, text) to n, the set's name sid and two screening sketches; texts without words have no sid."""
 
     def sets(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for text in batch.column(2).to_pylist():
-                x = shingles(text, width)
-                n = len(x)
-                out[0].append(n)
-                if not n:
-                    for c in out[1:]:
-                        c.append(None)
+            out: list[list] = [[] for _ in range(4)]
+            for x in shingles(batch.column(2).to_pylist(), width):
+                level = _level(len(x))
+                for c, v in zip(out, (len(x), int(_name(x)[0]), level, np.concatenate((sketch(x, level), sketch(x, level + 1)))) if len(x) else (0, None, None, None), strict=True):
+                    c.append(v)
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], ["key", "doc_id", "n", "sid", "level", "sketch"])
+
+    return rows.mapInArrow(sets, "key long, doc_id long, n long, sid long, level int, sketch array<long>")
+
+
+def sent_segments(rows: DataFrame, bands: Bands, width: int, at_once: int = 200_000) -> DataFrame:
+    """From (text) to (key, sid, tag): every set's segment keys in each of its bands. They go straight into a shuffle."""
+
+    def send(batches):
+        out: list[list] = [[], [], []]
+
+        def record() -> pa.RecordBatch:
+            cols = [np.concatenate(c) for c in out]
+            for c in out:
+                c.clear()
+            return pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1]), pa.array(cols[2])], ["key", "sid", "tag"])
+
+        size = 0
+        for batch in batches:
+            for x in shingles(batch.column(0).to_pylist(), width):
+                if not len(x):
                     continue
-                with np.errstate(over="ignore"):
-                    sid = mix(np.array([np.bitwise_xor.reduce(mix(x)) + np.uint64(n) * np.uint64(0x9E3779B97F4A7C15)], np.uint64))
-                out[1].append(int(sid.view(np.int64)[0]))
-                level = _level(n)
-                out[2].append(level)
-                out[3].append(np.concatenate((sketch(x, level), sketch(x, level + 1))))
-                keys, tags = [], []
-                band = bands.of(n)
-                for b in (band, band - 1):
-                    if b >= 0 and bands.limit(b) > 0:
-                        k, left = segments(x, b, bands)
-                        keys.append(k)
-                        tags.append(np.full(len(k), b * _TAG + left + 1, np.int32))
-                out[4].append(np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64))
-                out[5].append(np.concatenate(tags) if tags else np.zeros(0, np.int32))
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, types, strict=True))], ["key", "doc_id", "n", "sid", "level", "sketch", "keys", "tags"])
-
-    return rows.mapInArrow(sets, "key long, doc_id long, n long, sid long, level int, sketch array<long>, keys array<long>, tags array<int>")
+                sid = _name(x)
+                for band in bands.of(len(x)):
+                    k, left = segments(x, band, bands)
+                    size += len(k)
+                    for c, v in zip(out, (k, np.repeat(sid, len(k)), np.full(len(k), band * _TAG + left + 1, np.int32)), strict=True):
+                        c.append(v)
+                if size > at_once:
+                    yield record()
+                    size = 0
+        if size:
+            yield record()
+
+    return rows.mapInArrow(send, "key long, sid long, tag int")
 
 
 _WORDS = _BITS // 64
@@ -188,8 +216,8 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int, scratc
             ok = []
             for i, x, y in zip(a, ta, tb, strict=True):
                 if i != last:
-                    last, of_last = i, shingles(x, width)
-                other = shingles(y, width)
+                    last, (of_last,) = i, shingles([x], width)
+                (other,) = shingles([y], width)
                 common = len(np.intersect1d(of_last, other, assume_unique=True))
                 ok.append(100 * common >= percent * (len(of_last) + len(other) - common))
             keep = pa.array(ok, pa.bool_())
@@ -218,11 +246,11 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     keyed = docs.select(*own, row_key(doc_id, text).alias("_key"))
     rows = docs.select(row_key(doc_id, text).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     old: list[str] = []
-    described = materialize(describe(rows, bands, width), "sets", old)
+    described = materialize(describe(rows, width), "sets", old)
     sets = described.where("sid is not null").groupBy("sid").agg(F.min_by(F.struct("n", "key", "level", "sketch"), "key").alias("s")).select("sid", "s.n", "s.key", "s.level", *(F.col("s.sketch")[i].alias(c) for i, c in enumerate(_SKETCH)))
     sets = materialize(sets, "distinct", old)
 
-    seg = described.where("sid is not null").select("sid", F.explode(F.arrays_zip("keys", "tags")).alias("z")).select(F.col("z.keys").alias("key"), "sid", F.col("z.tags").alias("tag"))
+    seg = sent_segments(rows.select("text"), bands, width)
     seg = seg.repartition("key").groupBy("key", "sid").agg(F.max("tag").alias("tag"))
     held = Window.partitionBy("key")
     live = seg.withColumn("c", F.count("*").over(held)).where("c > 1")
