@@ -176,3 +176,36 @@ def cross_source_volume(a: DataFrame, b: DataFrame, key: Sequence[str], most: fl
     x = one.agg(F.count("*").alias("shared"), F.coalesce(F.sum("va"), F.lit(0)).alias("volume_a"), F.coalesce(F.sum("vb"), F.lit(0)).alias("volume_b"))
     gap = F.try_divide(F.abs(F.col("volume_a") - F.col("volume_b")).cast("double"), F.greatest("volume_a", "volume_b").cast("double"))
     return x.withColumn("gap", F.coalesce(gap, F.lit(0.0))).withColumn("success", F.col("gap") <= most)
+
+
+def reconciliation(bars: tuple[DataFrame, DataFrame, DataFrame], index: tuple[DataFrame, DataFrame, DataFrame], articles: tuple[DataFrame, DataFrame, DataFrame], as_of: Column, most_drop: float = 0.05, most_days: int = 2) -> DataFrame:
+    """Q12: (check, value, success) of all 14 checks between the raw, clean and published layers of bars, index bars and articles.
+
+    For bars and index bars: the drop from raw to clean, equal counts and equal keys from clean to published, and
+    surplus published keys; for articles the drop, published urls that the clean layer lacks, and surplus keys; and
+    for each the newest published day, in business days but for articles. value is a ratio, a count or an age.
+    """
+    out = []
+
+    def add(name: str, x: DataFrame, value: Column | str, ok: Column) -> None:
+        value = F.col(value) if isinstance(value, str) else value
+        out.append(x.select(F.lit(name).alias("check"), value.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("success")))
+
+    for what, (raw, clean_, gold), key in (("bars", bars, ("ticker", "date")), ("index", index, ("index_code", "date"))):
+        drop = drop_ratio(raw, clean_, key, most_drop)
+        add(f"{what}_raw_to_clean", drop, "drop_ratio", F.col("success"))
+        count = clean_.agg(F.count("*").alias("a")).crossJoin(F.broadcast(gold.agg(F.count("*").alias("b"))))
+        add(f"{what}_same_count", count, F.col("a") - F.col("b"), F.col("a") == F.col("b"))
+        apart = key_differences(clean_, gold, key).agg(F.sum("n").alias("n"))
+        add(f"{what}_same_keys", apart, "n", F.col("n") == 0)
+        add(f"{what}_keys_once", surplus(gold, key), "failed", F.col("failed") == 0)
+        add(f"{what}_fresh", freshness(gold, "date", as_of, most_days), "age", F.col("success"))
+    raw, clean_, gold = articles
+    add("articles_raw_to_clean", drop_ratio(raw, clean_, ["url"], most_drop), "drop_ratio", F.col("success"))
+    add("articles_traceable", orphans(gold, clean_, ["url"]).agg(F.count_distinct("url").alias("n")), "n", F.col("n") == 0)
+    add("articles_keys_once", surplus(gold, ["article_id", "ticker"]), "failed", F.col("failed") == 0)
+    add("articles_fresh", freshness(gold, "published_at", as_of, most_days, business=False), "age", F.col("success"))
+    whole = out[0]
+    for x in out[1:]:
+        whole = whole.unionByName(x)
+    return whole

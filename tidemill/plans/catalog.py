@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import prices, realtime, text  # noqa: F401
+from . import layers, prices, realtime, text  # noqa: F401

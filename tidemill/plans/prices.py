@@ -289,9 +289,9 @@ def w8_w9_trailing_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(x, 4, "volume_avg", "band_high", "band_low", "volume_ratio")
 
 
-@query(with_(BARS, PROFILES) + """select p.ticker, p.exchange, b.ticker is not null as has_price_data from profiles p left join (select distinct ticker from bars where close > 3000) b on p.ticker = b.ticker""")
+@query(with_(BARS, PROFILES) + """select p.ticker, p.exchange, b.ticker is not null as has_price_data from profiles p left join (select distinct ticker from bars) b on p.ticker = b.ticker""")
 def m18_stock_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = daily_bars(spark, sf_dir).where("close > 3000").select("ticker").distinct().withColumn("has_price_data", F.lit(True))
+    priced = daily_bars(spark, sf_dir).select("ticker").distinct().withColumn("has_price_data", F.lit(True))
     return profiles(spark, sf_dir).select("ticker", "exchange").join(priced, "ticker", "left").withColumn("has_price_data", F.coalesce("has_price_data", F.lit(False)))
 
 

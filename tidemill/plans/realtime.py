@@ -76,9 +76,9 @@ def d4_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.latest(ticks(spark, sf_dir).select("ticker", "data_source", "price", "trade_ts", "seq"), ["ticker", "data_source"], ["trade_ts", "seq"]).select("ticker", "data_source", "price", "trade_ts")
 
 
-@query(with_(TICKS, _STATES) + "select data_source, list_sort(list(distinct ticker)) as tickers from states where hour(minute_ts) = 9 and volume > 80 group by 1")
+@query(with_(TICKS, _STATES) + "select data_source, list_sort(list(distinct ticker)) as tickers from states group by 1")
 def a13_distinct_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hours(spark, sf_dir).where("hour(minute_ts) = 9 and volume > 80").groupBy("data_source").agg(F.array_sort(F.collect_set("ticker")).alias("tickers"))
+    return _hours(spark, sf_dir).groupBy("data_source").agg(F.array_sort(F.collect_set("ticker")).alias("tickers"))
 
 
 @query(with_(TICKS, _STATES, _VWAP) + f"""select ticker, round(last({_DEV} order by minute_ts, data_source), 4) as deviation, count(*) filter (abs({_DEV}) >= 2) as far, count(*) filter ({_DEV} > 0) as above, count(*) filter ({_DEV} < 0) as below from vwap group by 1""")

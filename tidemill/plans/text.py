@@ -206,11 +206,13 @@ def n3_update_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("url", "status", "attempt_count", F.col("first_seen_at.ts").alias("first_seen"), F.col("last_seen_at.ts").alias("last_seen"))
 
 
-@query(with_(_REG) + """, r as (select url, last(status order by ts, event_id) filter (status <> 'discovered') as status, count(*) filter (status <> 'discovered') as n, max(ts) filter (status <> 'discovered') as t from ev where event_id % 25 = 0 group by 1)
+@query(with_(_REG) + """, r as (select url, last(status order by ts, event_id) filter (status <> 'discovered') as status, count(*) filter (status <> 'discovered') as n, max(ts) filter (status <> 'discovered') as t from (select concat(url, '/', cast(cast(ts as date) as varchar)) as url, status, ts, event_id from ev) group by 1)
     select url from r where status is null or (status = 'failed' and n < 3 and t <= timestamp '2024-01-25 00:00:00' - interval 30 minute)""")
 def n4_to_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A url a user and day, so that some are within the attempts."""
     state, x = _registry(spark, sf_dir)
-    r = nw.update_registry(state, x.where("at.event_id % 25 = 0")).withColumn("last_attempt_at", F.col("last_attempt_at.ts"))
+    x = x.withColumn("url", F.concat("url", F.lit("/"), F.to_date("at.ts").cast("string")))
+    r = nw.update_registry(state, x).withColumn("last_attempt_at", F.col("last_attempt_at.ts"))
     return nw.to_crawl(r, F.lit("2024-01-25").cast("timestamp_ntz")).select("url")
 
 
@@ -321,10 +323,10 @@ def _session(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ind.price_indicators(daily_bars(spark, sf_dir)).withColumn("trading_date", F.col("date"))
 
 
-@query(with_(BARS, PROFILES, _P, _IND, TICKS) + """, s as (select * from i where date = (select max(date) from bars)), l as (select concat('S', user_id) as ticker, last(value order by ts, event_id) as close, last(ts order by ts, event_id) as at from events where user_id % 2 = 0 group by 1)
+@query(with_(BARS, PROFILES, _P, _IND, TICKS) + """, s as (select * from i where date = (select max(date) from bars)), l as (select concat('S', user_id) as ticker, last(value order by ts, event_id) as close, last(ts order by ts, event_id) as at from events group by 1)
     select s.ticker, company_name as name, exchange, round(coalesce(l.close, s.close), 4) as price, l.at as live_at, l.close is not null as is_live from s left join l using (ticker) left join profiles using (ticker)""")
 def m17_j15_price_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where("user_id % 2 = 0").select(F.concat(F.lit("S"), "user_id").alias("ticker"), F.col("value").alias("close"), F.lit(1).cast("long").alias("volume"), F.col("ts").alias("minute_ts"))
+    e = table(spark, sf_dir, "events").select(F.concat(F.lit("S"), "user_id").alias("ticker"), F.col("value").alias("close"), F.lit(1).cast("long").alias("volume"), F.col("ts").alias("minute_ts"))
     x = marts.price_board(_session(spark, sf_dir), e, profiles(spark, sf_dir)).select("ticker", "name", "exchange", "price", "live_at", "is_live")
     return rounded(x, 4, "price")
 
@@ -380,10 +382,11 @@ def a15_alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.alert_summary(_alert_events(spark, sf_dir), "condition_type", "day")
 
 
-@query(with_(_AE) + """select event_id, coalesce(case when condition_type = 'view' and ticker = 'S5' then 15 end, case when condition_type in ('view', 'click') then 60 end, 0) as cooldown_minutes from ae where user_id in ('u5', 'u6')""")
+@query(with_(_AE) + """select event_id, coalesce(case when condition_type = 'view' and ticker = 'S5' then 15 end, case when condition_type in ('view', 'click') then 60 end, 0) as cooldown_minutes from ae""")
 def m26_j14_alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.sql("select * from values ('u5', 'view', 'mail', 'S5', 15), ('u5', 'view', 'mail', 'ALL', 60), ('u6', 'view', 'mail', 'ALL', 60), ('u5', 'click', 'mail', 'ALL', 60), ('u6', 'click', 'mail', 'ALL', 60) as t(user_id, condition_type, channel, ticker, cooldown_minutes)")
-    x = marts.alert_history(_alert_events(spark, sf_dir).where("user_id in ('u5', 'u6')"), rules)
+    e = _alert_events(spark, sf_dir)
+    kinds = spark.sql("select * from values ('view', 'mail', 'S5', 15), ('view', 'mail', 'ALL', 60), ('click', 'mail', 'ALL', 60) as t(condition_type, channel, ticker, cooldown_minutes)")
+    x = marts.alert_history(e, e.select("user_id").distinct().crossJoin(F.broadcast(kinds)))
     return x.select("event_id", "cooldown_minutes")
 
 
