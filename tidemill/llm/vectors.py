@@ -24,23 +24,25 @@ class _Node:
     right: "_Node | int"
 
 
-def grow(sample: np.ndarray, rows: int, leaf: int, spill: float, rng: np.random.Generator, depth: int = 0) -> _Node | int:
+def grow(sample: np.ndarray, rows: int, leaf: int, spill: float, rng: np.random.Generator, least: int = 32) -> _Node | int:
     """A tree for `rows` rows of which sample is a sample: splits until a node should hold at most leaf rows.
 
-    A node is split along a random direction at the sample's median; the middle `spill` share goes both ways. Where
-    the sample has run out the split is at the direction's median over the last sample that was there.
+    A node is split along a random direction at the sample's median; the middle `spill` share goes both ways. A node
+    with fewer than `least` of the sample is not split, so the sample bounds the tree and how many leaves a point may
+    be in, whatever the rows; leaves that stay larger are compared in blocks.
     """
-    if rows <= leaf or depth > 40:
+    if rows <= leaf or len(sample) < least:
         return 0
-    a, b = sample[rng.integers(len(sample), size=2)] if len(sample) > 1 else rng.standard_normal((2, sample.shape[1]))
+    a, b = sample[rng.integers(len(sample), size=2)]
     direction = a - b if np.any(a != b) else rng.standard_normal(sample.shape[1])
     direction = direction + rng.standard_normal(len(direction)) * np.linalg.norm(direction) / np.sqrt(len(direction)) * 0.5
     along = sample @ direction
-    low, high = np.quantile(along, [0.5 - spill / 2, 0.5 + spill / 2]) if len(sample) else (0.0, 0.0)
+    low, high = np.quantile(along, [0.5 - spill / 2, 0.5 + spill / 2])
     part = int(rows * (0.5 + spill / 2)) + 1
     halves = (sample[along <= high], sample[along >= low])
-    halves = [h if len(h) >= 16 else sample for h in halves]
-    return _Node(direction, float(low), float(high), *(grow(h, part, leaf, spill, rng, depth + 1) for h in halves))
+    if min(len(sample) - len(h) for h in halves) < len(sample) // 8:  # ties: the split would part nothing
+        return 0
+    return _Node(direction, float(low), float(high), *(grow(h, part, leaf, spill, rng, least) for h in halves))
 
 
 def leaves_of(tree: _Node | int, x: np.ndarray, rows: np.ndarray, name: np.uint64, out: list[tuple[np.ndarray, np.uint64]]) -> None:
@@ -107,7 +109,7 @@ def near_vectors(
             s = np.array(own_rows["v"].tolist(), np.float64)
             s /= np.linalg.norm(s, axis=1, keepdims=True)
             forest[name] = [grow(s, sizes[name], leaf, spill, np.random.default_rng([seed, t])) for t in range(trees)]
-    shared = spark.sparkContext.broadcast(forest)  # at most sample rows made it
+    shared = spark.sparkContext.broadcast(forest)  # at most `trees` trees of about sample / 16 nodes: grow stops where the sample ends
 
     def place(batches):
         for batch in batches:
