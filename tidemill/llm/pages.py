@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, materialize
+from .common import extended, materialize, pieces
 from .urls import host_of
 
 #: Element kinds of HTML.
@@ -18,8 +18,12 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
 SILENT = frozenset("script style noscript template iframe object svg canvas math head title audio video map".split())
 CHROME = frozenset("nav footer aside form menu button select textarea dialog input label fieldset".split())
-#: Words of class, id and role values that mark what is not the article.
-MARKS = frozenset("ad ads adv advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related respond share sharing sidebar social sponsor sponsored subscribe toolbar topbar widget".split())
+#: Class, id and role values that mark what is not the article, as whole values or joined by - or _ from these words
+#: alone (cookie-notice, site-footer, ad-slot-3).
+MARKS = frozenset("ads adv advert advertisement adverts breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation newsletter popup promo promoted sidebar sponsor sponsored subscribe toolbar topbar widget".split())
+#: Words that an article's own parts may bear too: they mark as whole values, or beside a word above or one of these.
+WEAK = frozenset("ad banner header notice related respond share sharing social".split())
+_BESIDE = frozenset("area bar block bottom box button buttons container content form inner items left link links list main outer page panel right row section site slot top wrap wrapper".split())
 _P_CLOSERS = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dt", "dd", "option", "optgroup", "legend", "summary", "figcaption"}
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _LIMITS = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -27,7 +31,7 @@ _LIMITS = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}, "tr":
 _CONTAINERS = frozenset("div section ul ol dl table figure form fieldset details".split())
 _DIGITS = re.compile(r"\d+")
 _HEADS = frozenset("banner header masthead".split())
-_TOKEN = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[-_]+|(?<=[a-z])(?=[0-9])")
 
 
 class Element:
@@ -36,7 +40,15 @@ class Element:
     __slots__ = ("tag", "parts", "marked", "head", "gone")
 
     def __init__(self, tag: str, values: str = "", hidden: bool = False):
-        words = set(_TOKEN.findall(values)) & MARKS
+        words: set[str] = set()
+        for value in values.split():
+            if value.isalpha():
+                words.add(value)
+            else:
+                own = [w for w in _PARTS.split(value) if w and not w.isdigit()]
+                if all(w in MARKS or w in WEAK or w in _BESIDE for w in own):
+                    words.update(own)
+        words &= MARKS | WEAK
         self.tag, self.parts, self.gone = tag, [], False
         self.head = tag == "header" or bool(words & _HEADS)
         self.marked = hidden or bool(words - _HEADS)
@@ -185,24 +197,28 @@ def extract_text(
     containers such as div or ul, and share_within, so paragraphs that many articles share stay), and the elements
     that HTML or their class, id or role mark as menus, headers, footers, sidebars, notices, adverts, forms, scripts,
     styles or comments. It keeps the article or main element, or the whole page where there is none. A host has at
-    most its subtrees a page / share templates. Null and empty pages give ''; pages without a URL are one host.
+    most its subtrees a page / share templates. Pages of a host with equal contents count once. Null and empty pages give ''; pages without a URL are one host.
     Columns of pages with the added names are replaced.
     """
     own = [c for c in pages.columns if c not in ("text", "n_chars", "_host", "_html", "_trees")]
     x = pages.select(*own, F.xxhash64(host_of(F.col(url))).alias("_host"))
 
     def count(batches):
-        for batch in batches:
-            hosts, trees = [], []
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for batch in pieces(batches):
+            hosts, contents, trees = [], [], []
+            for host, content, page in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 root = parse(page or "")
                 mine = {h for e, h in subtrees(root, main_part(root))}
                 hosts += [host] * len(mine)
+                contents += [content] * len(mine)
                 trees += mine
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.int64()), pa.array(trees, pa.int64())], ["host", "tree"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (hosts, contents, trees)], ["host", "content", "tree"])
 
-    found = x.select("_host", F.col(html).alias("h")).mapInArrow(count, "host long, tree long").groupBy("host", "tree").agg(F.count("*").alias("n"))
-    sizes = x.groupBy(F.col("_host").alias("host")).agg(F.count("*").alias("pages"))
+    # Pages of a host with equal contents are one: the copies that a crawl holds say nothing about a template.
+    content = F.xxhash64(html).alias("content")
+    trees = x.select("_host", content, F.col(html).alias("h")).mapInArrow(count, "host long, content long, tree long")
+    found = trees.groupBy("host", "tree").agg(F.count_distinct("content").alias("n"))
+    sizes = x.select(F.col("_host").alias("host"), content).groupBy("host").agg(F.count_distinct("content").alias("pages"))
     found = found.where(F.col("n") >= least_pages).join(sizes, "host").where(F.col("n") >= share * F.col("pages"))
     found = found.groupBy("host").agg(F.collect_list(F.struct("tree", (F.col("n") >= share_within * F.col("pages")).alias("most"))).alias("_trees"))
     found = materialize(found.withColumnRenamed("host", "_host"), "templates")
@@ -210,7 +226,7 @@ def extract_text(
     n = len(own)
 
     def extract(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for page, trees in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True):
                 root = parse(page or "")
