@@ -415,6 +415,36 @@ def test_vectors(spark):
     assert vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_the_sample_bounds_a_tree():
+    r = np.random.default_rng(5)
+    sample = r.standard_normal((2000, 16))
+
+    def nodes(t):
+        return 0 if t == 0 else 1 + nodes(t.left) + nodes(t.right)
+
+    few, many = (vectors.grow(sample, rows, 64, 0.2, np.random.default_rng(1)) for rows in (10**6, 10**12))
+    assert nodes(few) == nodes(many) < 2000
+    assert vectors.grow(np.ones((500, 16)), 10**6, 64, 0.2, np.random.default_rng(1)) == 0
+    out = []
+    vectors.leaves_of(many, sample, np.arange(len(sample)), np.uint64(1), out)
+    assert sum(len(rows) for rows, _ in out) < 6 * len(sample)
+
+
+def test_forest_finds_links_and_components(spark):
+    """Real trees: labels far above the leaf size, recall of links and of components against brute force."""
+    r = np.random.default_rng(6)
+    centers = r.standard_normal((300, 32))
+    data = [[float(x) for x in centers[r.integers(300)] + r.standard_normal(32) * r.choice([0.05, 0.2])] for _ in range(1500)]
+    m = np.array(data) / np.linalg.norm(data, axis=1, keepdims=True)
+    near = m @ m.T >= 0.93
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(data)], "vec_id long, embedding array<double>, label int")
+    got = {x.vec_id: x for x in vectors.near_vectors(df, leaf=150, block=64).collect()}
+    assert 0.9 * near.sum() <= sum(x.n_links for x in got.values()) <= near.sum() and near.sum() > 1000
+    want = brute_pairs(near)
+    assert np.mean([got[i].component_id == want[i] for i in got]) >= 0.9
+
+
 def brute_pairs(near):
     label = list(range(len(near)))
     changed = True
@@ -451,6 +481,39 @@ def test_html(spark):
     assert pages.extract_text(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_make_no_template(spark):
+    page = lambda k: f"<html><body><h1>T{k}</h1><div><p>text of page {k}</p></div></body></html>"
+    data = [(i, "http://h.org/a", page("a")) for i in range(4)] + [(0, "http://h.org/a", page("a"))] + [(9, "http://h.org/b", page("b"))]
+    got = [(r.page_id, r.text) for r in pages.extract_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()]
+    assert sorted(got) == sorted([(i, "Ta\ntext of page a") for i in (0, 0, 1, 2, 3)] + [(9, "Tb\ntext of page b")])
+
+
+@pytest.mark.parametrize("values,marked", [
+    ("market-share", False), ("ad-hoc", False), ("ad", True), ("ad-slot", True), ("cookie-notice", True), ("share-buttons", True), ("site_footer", True), ("article-header", False), ("shared", False), ("story comments", True), ("ad2", True), ("related", True), ("notice-of-works", False),
+])
+def test_marks_are_whole_values(values, marked):
+    e = pages.Element("div", values)
+    assert (e.marked or e.head) == marked
+
+
+def test_random_sites_give_their_own_text(spark):
+    """Sites without article elements: boxes that recur on a host go, what only one page has stays."""
+    r = random.Random(17)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    data, want = [], {}
+    for site in range(4):
+        boxes = [f"<div><ul><li>{word()} {word()}</li><li>{word()}</li></ul></div>" for _ in range(3)] + [f"<p>{word()} {word()} {word()}</p>"]
+        for k in range(12):
+            own = [" ".join(word() for _ in range(r.randint(3, 9))) for _ in range(r.randint(1, 5))]
+            parts = [f"<p>{t}</p>" if r.random() < 0.5 else f"<div><section><p>{t}</p></section></div>" for t in own]
+            for box in boxes:
+                parts.insert(r.randint(0, len(parts)), box)
+            data.append((site * 100 + k, f"http://s{site}.org/{k}", "<body>" + "".join(parts) + "</body>"))
+            want[site * 100 + k] = "\n".join(own)
+    got = pages.extract_text(spark.createDataFrame(data, "page_id long, url string, html string")).collect()
+    assert {x.page_id: x.text for x in got} == want
+
+
 def test_passages_that_articles_share_stay(spark):
     shared = "<p>a passage that all articles of the host quote</p>"
     df = spark.createDataFrame([(i, "http://h.org/", f"<nav>n</nav><article><h1>t{i}</h1>{shared}<p>own {i}</p></article>") for i in range(20)], "page_id long, url string, html string")
