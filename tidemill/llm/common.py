@@ -136,6 +136,13 @@ class Sequence:
         return mix((self.total[ends] - self.total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
+def pieces(batches, rows: int = 1000):
+    """Batches cut into pieces, so that what a task holds in Python doesn't follow the session's batch size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_blocks(texts: list[bytes], most: int = 1_000_000) -> Iterator[list[bytes]]:
     """Texts in order, about `most` bytes at a time: what is done once a block need not be done once a text."""
     part, size = [], 0

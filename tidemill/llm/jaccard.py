@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Sequence, components, discard, materialize, mix, row_key, span_hashes, text_blocks, word_spans
+from .common import Sequence, components, discard, materialize, mix, pieces, row_key, span_hashes, text_blocks, word_spans
 
 #: Bits of the sketch that screens candidates.
 _BITS = 512
@@ -111,7 +111,7 @@ def describe(rows: DataFrame, width: int) -> DataFrame:
     """From (key, doc_id, text) to n, the set's name sid and two screening sketches; texts without words have no sid."""
 
     def sets(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             out: list[list] = [[] for _ in range(4)]
             for x in shingles(batch.column(2).to_pylist(), width):
                 level = _level(len(x))
@@ -136,7 +136,7 @@ def sent_segments(rows: DataFrame, bands: Bands, width: int, at_once: int = 200_
             return pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1]), pa.array(cols[2])], ["key", "sid", "tag"])
 
         size = 0
-        for batch in batches:
+        for batch in pieces(batches):
             for x in shingles(batch.column(0).to_pylist(), width):
                 if not len(x):
                     continue
@@ -211,7 +211,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int, scratc
 
     def check(batches):
         last, of_last = None, None
-        for batch in batches:
+        for batch in pieces(batches):
             a, ta, tb = (batch.column(i).to_pylist() for i in (0, 2, 3))
             ok = []
             for i, x, y in zip(a, ta, tb, strict=True):

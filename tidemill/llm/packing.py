@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended
+from .common import extended, pieces
 
 #: Unicode white space, as the tokenizer's pattern has it.
 _SPACE = "".join(map(re.escape, map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
@@ -21,7 +21,8 @@ _LETTERS = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0
 #: Pieces that the tokenizer never merges across: letters with the one space before them, up to white space or an
 #: ASCII character that is none; another run without white space; or a run of white space.
 _CHUNK = re.compile(f" ?[{_LETTERS}]++(?=[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-_CACHE_MOST = 1_000_000
+#: Chunks in either half of a worker's cache.
+_CACHE_MOST = 150_000
 _tokenizers: dict[str, tuple] = {}
 
 
@@ -33,7 +34,7 @@ def _tokenizer(path: str):
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
-        _tokenizers[path] = (tok, {})
+        _tokenizers[path] = (tok, {}, {})
     return _tokenizers[path]
 
 
@@ -60,12 +61,17 @@ def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
     White space, and the end of a run of letters, bound the tokenizer's merges; so ids of equal chunks are looked
     up, only chunks not seen before are encoded, and the ids equal those of encoding the whole text.
     """
-    tok, cache = _tokenizer(path)
+    tok, cache, older = _tokenizer(path)
     chunked = [_CHUNK.findall(t) for t in texts]
     fresh = {c for chunks in chunked for c in chunks}.difference(cache)
-    if len(cache) + len(fresh) > _CACHE_MOST:
+    if len(cache) + len(fresh) > _CACHE_MOST:  # what was not used since the last time is forgotten
+        older.clear()
+        older.update(cache)
         cache.clear()
         fresh = {c for chunks in chunked for c in chunks}
+    for c in [c for c in fresh if c in older]:
+        cache[c] = older[c]
+        fresh.discard(c)
     if fresh:
         _learn(tok, cache, list(fresh))
     for chunks in chunked:
@@ -82,7 +88,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             ids, out = batch.column(0).to_pylist(), ([], [], [], [], [])
             texts = batch.column(1).to_pylist()
             for at in range(0, len(texts), 512):

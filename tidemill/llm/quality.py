@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Sequence, discard, extended, materialize, mix, row_key, span_hashes, word_spans
+from .common import Sequence, discard, extended, materialize, mix, pieces, row_key, span_hashes, word_spans
 
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -52,7 +52,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
     """
 
     def lines(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             out: list[list] = [[], [], [], [], []]
             for key, host, text in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_pylist(), strict=True):
                 normal = [y for x in text.split(b"\n") if (y := _normal(x))]
@@ -131,7 +131,7 @@ def judge_quality(
     x = docs.select(*own, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_raw"), row_key(doc_id, text).alias("_key"))
 
     def measure(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             got = [measures(t) for t in batch.column(batch.schema.get_field_index("_raw")).to_pylist()]
             cols = [pa.array(c, pa.int64()) for c in (zip(*got, strict=True) if got else [[]] * len(names))]
             keep = [i for i, n in enumerate(batch.schema.names) if n != "_raw"]

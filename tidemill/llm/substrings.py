@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Sequence, extended, materialize, row_key, span_hashes, word_spans
+from .common import Sequence, extended, materialize, pieces, row_key, span_hashes, word_spans
 
 _SPAN = "array<struct<s:int,e:int>>"
 
@@ -37,7 +37,7 @@ def window_runs(docs: DataFrame, width: int, anchor: int) -> DataFrame:
     """
 
     def runs(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             keys, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             out = [[], [], [], [], [], []]
             for key, doc, text in zip(keys, ids, batch.column(2).to_pylist(), strict=True):
@@ -62,7 +62,7 @@ def _windows_of(rows: DataFrame, width: int) -> DataFrame:
     """Rabin-Karp hashes (128 bits) of all windows of the runs asked for: (anchor, content, doc_id, at, h1, h2)."""
 
     def hashes(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             out = [[], [], [], [], [], []]
             for doc, text, asked in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = _words(text)
@@ -143,7 +143,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, anchor: int = 10, doc_id: s
     place = len(own)
 
     def apply(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             n_words, n_removed, removed, kept = [], [], [], []
             for raw, spans in zip(batch.column(place).to_pylist(), batch.column(place + 1).to_pylist(), strict=True):
                 words = (raw or b"").split()
