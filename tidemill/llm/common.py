@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,13 +139,21 @@ class Sequence:
 
 
 def pieces(batches, rows: int = 1000):
-    """Batches cut into pieces, so that what a task holds in Python doesn't follow the session's batch size."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+    """Batches cut into pieces, so that what a task holds in Python doesn't follow the session's batch size.
+
+    At the end the worker gives back what the task freed: Spark keeps workers, and idle ones would hold on to it.
+    """
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
 
 
-def text_blocks(texts: list[bytes], most: int = 1_000_000) -> Iterator[list[bytes]]:
+def text_blocks(texts: list[bytes], most: int = 250_000) -> Iterator[list[bytes]]:
     """Texts in order, about `most` bytes at a time: what is done once a block need not be done once a text."""
     part, size = [], 0
     for t in texts:
