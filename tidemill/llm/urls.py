@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended
+from .common import extended, pieces, text_blocks
 
 #: (verdict, host, path). A rule fits its host and all subdomains.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
@@ -55,6 +55,12 @@ def _ngram_slots(urls: list[bytes], order: int, bits: int) -> tuple[list[np.ndar
     return slots, flat[at].astype(np.int64), np.repeat(np.arange(len(urls)), n)
 
 
+def _times(of: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """For each character, how often its value stands in its own URL."""
+    _, back, n = np.unique((of << 40) + value, return_inverse=True, return_counts=True)
+    return n[back]
+
+
 @dataclass
 class UrlModel:
     """Counts of characters after hashed contexts of 0 to `order` characters, for accepted and rejected URLs.
@@ -71,8 +77,12 @@ class UrlModel:
     threshold: float = 0.0
     strength: float = 4.0
 
-    def score(self, urls: list[bytes]) -> np.ndarray:
-        """Mean log-likelihood difference a character, accepted less rejected; 0 for an empty URL."""
+    def score(self, urls: list[bytes], left_out: int | None = None) -> np.ndarray:
+        """Mean log-likelihood difference a character, accepted less rejected; the end counts as a character.
+
+        left_out names the class (0 accepted, 1 rejected) that the URLs were counted in: each is then scored as if
+        it alone had not been counted.
+        """
         if not urls:
             return np.zeros(0)
         slots, chars, of = _ngram_slots(urls, self.order, self.bits)
@@ -83,7 +93,10 @@ class UrlModel:
             hit = (self.keys[k][at] == key) if len(self.keys[k]) else np.zeros(len(key), bool)
             for c in range(2):
                 count = np.where(hit, self.counts[k][c][at] if len(self.keys[k]) else 0, 0)
-                p[c] = (count + self.strength * p[c]) / (self.totals[k][c][slot] + self.strength)
+                total = self.totals[k][c][slot]
+                if c == left_out:
+                    count, total = count - _times(of, key), total - _times(of, slot)
+                p[c] = (count + self.strength * p[c]) / (total + self.strength)
         gain = np.bincount(of, weights=np.log(p[0]) - np.log(p[1]), minlength=len(urls))
         return gain / np.bincount(of, minlength=len(urls))
 
@@ -91,28 +104,27 @@ class UrlModel:
 def train(labelled: DataFrame, order: int = 5, bits: int = 13, keep_accepted: float = 0.95, steps: int = 4096) -> UrlModel:
     """Fit on (text, accepted) rows and set the threshold.
 
-    Every row is counted: a task sums its counts by slot before they are shuffled, and the sums are at most
-    2 x (order + 1) x 2**bits contexts, each with at most 256 characters, whatever the rows. The threshold is the
-    (1 - keep_accepted) quantile of the accepted rows' scores, from a histogram of `steps` steps over all of them,
-    if that is below 0; so no more than that share of accepted URLs is lost. Without rows of both kinds the ratio
-    says nothing and all is accepted.
+    Every row is counted: a task adds each block of URLs to its counts by slot before they are shuffled, and the
+    counts are at most 2 x (order + 1) x 2**bits contexts, each with at most 256 characters, whatever the rows. The
+    threshold is the (1 - keep_accepted) quantile of the accepted rows' scores, from a histogram of `steps` steps over
+    all of them, each scored as if it had not been counted itself, if that is below 0; so no more than about that
+    share of accepted URLs is lost. Rows that repeat count, and stand, as often as they are there. Without rows of
+    both kinds the ratio says nothing and all is accepted.
     """
 
     def count(batches):
-        sums: dict[int, np.ndarray] = {}
-        got: list[np.ndarray] = []
-        for batch in batches:
-            urls, ok = [u or b"" for u in batch.column(0).to_pylist()], np.array(batch.column(1).to_pylist(), np.int64)
-            if not urls:
-                continue
-            slots, chars, of = _ngram_slots(urls, order, bits)
-            for k, slot in enumerate(slots):
-                got.append((((k << bits) + slot) * 256 + chars) * 2 + ok[of])
-        if got:
-            key, n = np.unique(np.concatenate(got), return_counts=True)
-            for i in range(0, len(key), 10000):
-                yield pa.RecordBatch.from_arrays([pa.array(key[i : i + 10000]), pa.array(n[i : i + 10000])], ["key", "n"])
-        del sums
+        key, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in pieces(batches):
+            urls, ok = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for c in (0, 1):
+                for block in text_blocks([u or b"" for u, is_ok in zip(urls, ok) if is_ok == c]):
+                    slots, chars, _ = _ngram_slots(block, order, bits)
+                    new = np.concatenate([(((k << bits) + slot) * 256 + chars) * 2 + c for k, slot in enumerate(slots)])
+                    new, m = np.unique(new, return_counts=True)
+                    key, back = np.unique(np.concatenate([key, new]), return_inverse=True)
+                    n = np.bincount(back, weights=np.concatenate([n, m])).astype(np.int64)
+        for i in range(0, len(key), 10000):
+            yield pa.RecordBatch.from_arrays([pa.array(key[i : i + 10000]), pa.array(n[i : i + 10000])], ["key", "n"])
 
     rows = labelled.select(F.col("text").cast("binary").alias("text"), F.col("accepted").cast("int").alias("accepted"))
     sums = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
@@ -130,7 +142,7 @@ def train(labelled: DataFrame, order: int = 5, bits: int = 13, keep_accepted: fl
     if min(totals[0][0].sum(), totals[0][1].sum()) == 0:
         model.threshold = -np.inf
         return model
-    scored = score(labelled.where("accepted").select("text"), model, "text", [])
+    scored = score(labelled.where("accepted").select("text"), model, "text", [], left_out=0)
     steps_of = F.floor(F.greatest(F.least(F.col("url_score"), F.lit(8.0)), F.lit(-8.0)) * (steps / 16))
     histogram = scored.groupBy(steps_of.alias("at")).agg(F.count("*").alias("n")).toPandas().sort_values("at")
     cum = histogram["n"].cumsum() / max(histogram["n"].sum(), 1)
@@ -139,15 +151,16 @@ def train(labelled: DataFrame, order: int = 5, bits: int = 13, keep_accepted: fl
     return model
 
 
-def score(rows: DataFrame, model: UrlModel, url: str, keep: list[str]) -> DataFrame:
-    """keep columns and url_score."""
+def score(rows: DataFrame, model: UrlModel, url: str, keep: list[str], left_out: int | None = None) -> DataFrame:
+    """keep columns and url_score, see UrlModel.score; a null URL is an empty one."""
     shared = rows.sparkSession.sparkContext.broadcast(model)  # fixed size, see UrlModel
     schema = extended(rows.select(*keep).schema, "url_score double")
     n = len(keep)
 
     def apply(batches):
-        for batch in batches:
-            got = shared.value.score([u or b"" for u in batch.column(n).to_pylist()])
+        for batch in pieces(batches):
+            blocks = text_blocks([u or b"" for u in batch.column(n).to_pylist()])
+            got = np.concatenate([np.zeros(0), *(shared.value.score(block, left_out) for block in blocks)])
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(got, pa.float64())], [*batch.schema.names[:n], "url_score"])
 
     return rows.select(*keep, F.col(url).cast("binary").alias("_u")).mapInArrow(apply, schema)
