@@ -51,7 +51,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
 
 def mix_sources(
     docs: DataFrame, size: Column | None = None, quality: Column | None = None, weights: tuple[int, ...] = (1, 2, 3), most: int = 3,
-    seed: int = 7, slots: int = 4096, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+    seed: int = 7, slots: int = 4096, most_sent: int = 10_000, doc_id: str = "doc_id", source: str = "source", text: str = "text",
 ) -> DataFrame:
     """All rows of docs with size, source_size, target and taken: how many words of each the mix takes.
 
@@ -62,7 +62,8 @@ def mix_sources(
 
     The order within a source is never one task's sort: keys fall into `slots` slots of equal expected count, the
     slots are summed and prefix-summed (sources x slots rows), and only the one slot that the budget ends in is
-    sorted. Null texts have size 0 and are taken 0 words; a null quality counts as 1; a null source is a source.
+    sorted. Tables of one row a source are broadcast if they are counted to hold at most `most_sent`; more are joined
+    by shuffles. Taking the nearest size last bends the sampling law for that one document of a source. Null texts have size 0 and are taken 0 words; a null quality counts as 1; a null source is a source.
     Rows that repeat whole tie: all of them are in, or none. Columns of docs with the added names are replaced.
     """
     added = ("size", "source_size", "target", "taken")
@@ -80,35 +81,37 @@ def mix_sources(
     goal = targets(per_slot.groupBy("source").agg(F.sum("sum").alias("source_size")), weights, most)
     goal = goal.withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0).cast("long"))
     goal = materialize(goal.withColumn("rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")), "goals")
+    few = goal.count() <= most_sent
 
     # The slot that the rest ends in, and what the slots before it hold.
     upto = per_slot.withColumn("upto", F.sum("sum").over(Window.partitionBy("source").orderBy("_m_slot")))
-    ends = _join(upto, goal.select("source", "rest")).where("upto > rest").groupBy("source").agg(
+    ends = _join(upto, goal.select("source", "rest"), few).where("upto > rest").groupBy("source").agg(
         F.min("_m_slot").alias("slot"), F.min_by(F.col("upto") - F.col("sum"), "_m_slot").alias("used")
     )
-    goal = _join(goal, ends, "left").withColumn("slot", F.coalesce("slot", F.lit(slots))).withColumn("used", F.coalesce("used", "rest"))
-    edge = _join(narrow, goal.select("source", "slot", "used", "rest")).where("_m_slot = slot")
+    goal = _join(goal, ends, few, "left").withColumn("slot", F.coalesce("slot", F.lit(slots))).withColumn("used", F.coalesce("used", "rest"))
+    edge = _join(narrow, goal.select("source", "slot", "used", "rest"), few).where("_m_slot = slot")
     # The default frame takes equal rows together, so that they are decided alike.
     edge = edge.withColumn("upto", F.col("used") + F.sum("size").over(Window.partitionBy("source").orderBy("_m_key", "id", "_m_text")))
     bound = edge.where("upto <= rest").groupBy("source").agg(F.max(order).alias("bound"), F.max("upto").alias("filled"))
-    goal = _join(goal, bound, "left").withColumn("lack", F.col("rest") - F.coalesce("filled", "used"))
+    goal = _join(goal, bound, few, "left").withColumn("lack", F.col("rest") - F.coalesce("filled", "used"))
 
     within = (F.col("_m_slot") < F.col("slot")) | ((F.col("_m_slot") == F.col("slot")) & F.coalesce(order <= F.col("bound"), F.lit(False)))
-    spare = _join(narrow, goal.select("source", "slot", "bound", "lack")).where(~within & (F.col("size") > 0) & (F.col("size") < 2 * F.col("lack")))
+    spare = _join(narrow, goal.select("source", "slot", "bound", "lack"), few).where(~within & (F.col("size") > 0) & (F.col("size") < 2 * F.col("lack")))
     last = spare.groupBy("source").agg(F.min_by(order, F.struct(F.abs(F.col("size") - F.col("lack")), order)).alias("last"))
-    goal = materialize(_join(goal, last, "left").select("source", "source_size", "target", "epochs", "slot", "bound", "last"), "goals")
+    goal = materialize(_join(goal, last, few, "left").select("source", "source_size", "target", "epochs", "slot", "bound", "last"), "goals")
 
     x = x.withColumn("_m_order", F.struct("_m_key", F.col(doc_id).alias("id"), "_m_text"))
     goal = goal.select(*[F.col(c).alias(f"_m_g_{c}") for c in goal.columns])
-    x = x.join(goal, F.col(source).eqNullSafe(F.col("_m_g_source")))
+    x = x.join(F.broadcast(goal) if few else goal, F.col(source).eqNullSafe(F.col("_m_g_source")))
     extra = (F.col("_m_slot") < F.col("_m_g_slot")) | ((F.col("_m_slot") == F.col("_m_g_slot")) & F.coalesce(F.col("_m_order") <= F.col("_m_g_bound"), F.lit(False)))
     extra |= F.coalesce(F.col("_m_order") == F.col("_m_g_last"), F.lit(False))
     taken = F.col("size") * F.least(F.col("_m_g_epochs") + F.when(extra, 1).otherwise(0), F.lit(most))
     return x.select(*own, "size", F.col("_m_g_source_size").alias("source_size"), F.col("_m_g_target").alias("target"), taken.cast("long").alias("taken"))
 
 
-def _join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Join on source, null equal to null."""
+def _join(left: DataFrame, right: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """Join on source, null equal to null; right has one row for each source, sent to all tasks where sources are few."""
     right = right.withColumnRenamed("source", "_m_r_source")
     right = right.select(*[c for c in right.columns if c == "_m_r_source" or c not in left.columns])
+    right = F.broadcast(right) if few else right
     return left.join(right, F.col("source").eqNullSafe(F.col("_m_r_source")), how).drop("_m_r_source")
