@@ -15,8 +15,9 @@ DAILY_COLUMNS = (
 
 
 def fact_daily_price(bars: DataFrame, shares: DataFrame) -> DataFrame:
-    """Bars with all indicators, shares and market value. Both inputs of the second join are dealt by ticker."""
-    x = ind.price_indicators(bars).join(ind.exponential_means(bars), ["ticker", "date"])
+    """Bars with all indicators, shares and market value. Windows and exponential means share one shuffle by ticker."""
+    x = ind.price_indicators(bars)
+    x = ind.exponential_means(x, keep=[c for c in DAILY_COLUMNS if c in x.columns])
     x = x.join(shares.select("ticker", "shares_outstanding"), "ticker", "left")
     x = x.withColumn("shares_outstanding", F.coalesce("shares_outstanding", F.lit(0)).cast("long"))
     x = x.withColumns({"trading_date": F.col("date"), "date_id": date_id("date"), "market_cap": F.col("close") * F.col("shares_outstanding")})
@@ -36,9 +37,12 @@ def price_indicator_mart(facts: DataFrame) -> DataFrame:
     return x.select(*DAILY_COLUMNS)
 
 
-def since_watermark(mart: DataFrame, days: int = 35, date: str = "trading_date") -> DataFrame:
-    """IO22: rows within `days` of the newest; windows were computed over all of history before."""
-    top = mart.agg(F.date_sub(F.max(date), days).alias("_from"))
+def since_watermark(mart: DataFrame, days: int = 35, date: str = "trading_date", among: DataFrame | None = None) -> DataFrame:
+    """IO22: rows within `days` of the newest; windows were computed over all of history before.
+
+    among is a frame with the same newest date that is cheaper to read, such as the bars behind a computed mart.
+    """
+    top = (mart if among is None else among).agg(F.date_sub(F.max(date), days).alias("_from"))
     return mart.join(F.broadcast(top), F.col(date) >= F.col("_from")).drop("_from")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Sequence
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
 from tidemill.schemas import ddl
@@ -66,24 +69,27 @@ def price_indicators(bars: DataFrame, key: str = "ticker", time: str = "date") -
     })
 
 
-def exponential_means(bars: DataFrame, key: str = "ticker", time: str = "date", value: str = "close") -> DataFrame:
+def exponential_means(bars: DataFrame, key: str = "ticker", time: str = "date", value: str = "close", keep: Sequence[str] = ()) -> DataFrame:
     """ema_12, ema_26, macd and macd_signal by the recursion y = a x + (1 - a) y before, y of the first row its x.
 
     The recursion is the one indicator that a window frame can't hold; an entity's history (a row a session) is one
-    pandas group.
+    Arrow group. Further columns in keep pass through it, so that nothing has to be joined to them again; after
+    windows by the same key it needs no shuffle of its own.
     """
-    schema = ddl(f"{key} string, {time} date, ema_12 double, ema_26 double, macd double, macd_signal double")
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time)
-        out = pdf[[key, time]].copy()
-        for n in (12, 26):
-            out[f"ema_{n}"] = pdf[value].ewm(span=n, adjust=False).mean()
-        out["macd"] = out["ema_12"] - out["ema_26"]
-        out["macd_signal"] = out["macd"].ewm(span=9, adjust=False).mean()
-        return out
-
-    return bars.select(key, time, value).groupBy(key).applyInPandas(fold, schema)
+    out = list(dict.fromkeys([key, time, *keep]))
+    schema = T.StructType([*bars.select(*out).schema.fields, *ddl("ema_12 double, ema_26 double, macd double, macd_signal double").fields])
+
+    def fold(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(time)
+        x = rows.column(value).to_pandas()
+        fast, slow = (x.ewm(span=n, adjust=False).mean() for n in (12, 26))
+        signal = (fast - slow).ewm(span=9, adjust=False).mean()
+        rows = rows.select(out)
+        for name, mean in (("ema_12", fast), ("ema_26", slow), ("macd", fast - slow), ("macd_signal", signal)):
+            rows = rows.append_column(name, pa.array(mean, pa.float64(), from_pandas=True))
+        return rows
+
+    return bars.select(*dict.fromkeys([*out, value])).groupBy(key).applyInArrow(fold, schema)
 
 
 def trailing_band(candles: DataFrame, key: str = "ticker", time: str = "minute_ts", n: int = 20) -> DataFrame:

@@ -9,15 +9,18 @@ from . import clean, facts
 from . import indicators as ind
 
 
-def newest_session(df: DataFrame, date: str = "trading_date") -> DataFrame:
-    """Rows of the newest date, by one broadcast row."""
-    return df.join(F.broadcast(df.agg(F.max(date).alias(date))), date)
+def newest_session(df: DataFrame, date: str = "trading_date", among: DataFrame | None = None) -> DataFrame:
+    """Rows of the newest date, by one broadcast row.
 
+    among is a frame with the same newest date that is cheaper to read, such as the bars behind a computed table.
+    """
+    return df.join(F.broadcast((df if among is None else among).agg(F.max(date).alias(date))), date)
 
-def price_board(daily: DataFrame, live: DataFrame, stocks: DataFrame) -> DataFrame:
+
+def price_board(daily: DataFrame, live: DataFrame, stocks: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """The newest session beside the newest live candle; live values win, no live row leaves the session's."""
     now = live.groupBy("ticker").agg(F.max_by(F.struct("close", "volume", "minute_ts"), "minute_ts").alias("l"))
-    x = newest_session(daily).join(now, "ticker", "left").join(stocks.select("ticker", "company_name", "exchange"), "ticker", "left")
+    x = newest_session(daily, among=among).join(now, "ticker", "left").join(stocks.select("ticker", "company_name", "exchange"), "ticker", "left")
     return x.select(
         "ticker", F.coalesce(F.nullif("company_name", F.lit("")), "ticker").alias("name"), "exchange", F.coalesce("l.close", "close").alias("price"), F.coalesce("l.volume", "volume").alias("volume"),
         F.col("l.minute_ts").alias("live_at"), F.col("l").isNotNull().alias("is_live"),
@@ -30,16 +33,21 @@ def candle_series(daily: DataFrame, ticker: str, last: int) -> DataFrame:
     return clean.display_defaults(x).orderBy("trading_date")
 
 
-def market_overview(daily: DataFrame, stocks: DataFrame, top: int = 5) -> DataFrame:
-    """(section, name, value) of the newest session: breadth, totals, gainers, losers, most traded, sectors."""
-    x = newest_session(daily).join(stocks.select("ticker", "exchange", "sector_id"), "ticker", "left")
+def market_overview(daily: DataFrame, stocks: DataFrame, top: int = 5, among: DataFrame | None = None) -> DataFrame:
+    """(section, name, value) of the newest session: breadth, totals, gainers, losers, most traded, sectors.
+
+    The three rankings are one pass, whose tasks keep `top` rows of each before they are shuffled.
+    """
+    x = newest_session(daily, among=among).join(stocks.select("ticker", "exchange", "sector_id"), "ticker", "left")
     totals = x.agg(
         F.count_if(F.col("price_change") > 0).cast("double").alias("advancers"), F.count_if(F.col("price_change") < 0).cast("double").alias("decliners"),
         F.count_distinct("ticker").cast("double").alias("tickers"), F.sum("value").alias("value"),
     )
     out = totals.unpivot([], totals.columns, "name", "v").select(F.lit("totals").alias("section"), "name", "v")
-    for section, order, value in (("gainers", F.desc("pct_change"), "pct_change"), ("losers", F.asc("pct_change"), "pct_change"), ("traded", F.desc("value"), "value")):
-        out = out.unionByName(x.orderBy(order, "ticker").limit(top).select(F.lit(section).alias("section"), F.col("ticker").alias("name"), F.col(value).alias("v")))
+    ranks = (("gainers", "pct_change", -F.col("pct_change")), ("losers", "pct_change", F.col("pct_change")), ("traded", "value", -F.col("value")))
+    ranked = x.select(F.col("ticker").alias("name"), F.inline(F.array(*(F.struct(F.lit(section).alias("section"), F.col(value).alias("v"), order.alias("_by")) for section, value, order in ranks))))
+    first = Window.partitionBy("section").orderBy(F.col("_by").asc_nulls_last(), "name")
+    out = out.unionByName(ranked.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= top).select("section", "name", "v"))
     return out.unionByName(x.groupBy("sector_id").agg(F.avg("pct_change").alias("v")).select(F.lit("sectors").alias("section"), F.col("sector_id").alias("name"), "v"))
 
 

@@ -323,11 +323,16 @@ def _session(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ind.price_indicators(daily_bars(spark, sf_dir)).withColumn("trading_date", F.col("date"))
 
 
+def _dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions' dates, from one column of the scan."""
+    return table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("trading_date"))
+
+
 @query(with_(BARS, PROFILES, _P, _IND, TICKS) + """, s as (select * from i where date = (select max(date) from bars)), l as (select concat('S', user_id) as ticker, last(value order by ts, event_id) as close, last(ts order by ts, event_id) as at from events group by 1)
     select s.ticker, company_name as name, exchange, round(coalesce(l.close, s.close), 4) as price, l.at as live_at, l.close is not null as is_live from s left join l using (ticker) left join profiles using (ticker)""")
 def m17_j15_price_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.concat(F.lit("S"), "user_id").alias("ticker"), F.col("value").alias("close"), F.lit(1).cast("long").alias("volume"), F.col("ts").alias("minute_ts"))
-    x = marts.price_board(_session(spark, sf_dir), e, profiles(spark, sf_dir)).select("ticker", "name", "exchange", "price", "live_at", "is_live")
+    x = marts.price_board(_session(spark, sf_dir), e, profiles(spark, sf_dir), _dates(spark, sf_dir)).select("ticker", "name", "exchange", "price", "live_at", "is_live")
     return rounded(x, 4, "price")
 
 
@@ -338,7 +343,7 @@ def m17_j15_price_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     union all (select 'traded', ticker, value from s order by value desc, ticker limit 5) union all select 'sectors', upper(replace(sector_name, ' ', '_')), avg(pct_change) from s group by 2)""")
 def m20_market_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     stocks = profiles(spark, sf_dir).withColumn("sector_id", F.upper(F.replace("sector_name", F.lit(" "), F.lit("_"))))
-    return rounded(marts.market_overview(_session(spark, sf_dir), stocks), 4, "v")
+    return rounded(marts.market_overview(_session(spark, sf_dir), stocks, among=_dates(spark, sf_dir)), 4, "v")
 
 
 _M22 = with_(BARS, _P, _IND) + """, s as (select * from i where date >= (select max(date) - 35 from bars))
@@ -348,7 +353,7 @@ _M22 = with_(BARS, _P, _IND) + """, s as (select * from i where date >= (select
 
 @query(_M22)
 def m22_signal_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = facts.since_watermark(_session(spark, sf_dir), 35)
+    x = facts.since_watermark(_session(spark, sf_dir), 35, among=_dates(spark, sf_dir))
     x = x.withColumns({"macd": F.lit(None).cast("double"), "macd_signal": F.lit(None).cast("double")})
     return marts.signal_scan(x).select("ticker", "date", "signal")
 
@@ -357,7 +362,7 @@ def m22_signal_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     select ticker, date, case when rsi_14 > 70 then 'overbought' when rsi_14 < 30 then 'oversold' when close > bb_upper then 'breakout' when close < bb_lower then 'breakdown' when volume > 1.4 * coalesce(volume_sma_20, volume) then 'volume_spike' end as signal from s
     where rsi_14 > 70 or rsi_14 < 30 or close > bb_upper or close < bb_lower or volume > 1.4 * coalesce(volume_sma_20, volume) order by m desc, ticker limit 30""")
 def m24_snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = facts.since_watermark(_session(spark, sf_dir), 35).withColumns({"macd": F.lit(None).cast("double"), "macd_signal": F.lit(None).cast("double")})
+    x = facts.since_watermark(_session(spark, sf_dir), 35, among=_dates(spark, sf_dir)).withColumns({"macd": F.lit(None).cast("double"), "macd_signal": F.lit(None).cast("double")})
     return marts.snapshot_scan(x).select("ticker", "date", "signal")
 
 

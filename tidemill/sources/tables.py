@@ -13,10 +13,16 @@ from tidemill.schemas import conform, may_overwrite
 
 
 def read_drifting(spark: SparkSession, paths: Sequence[str], schema: str | T.StructType, aliases: dict[str, str] | None = None) -> DataFrame:
-    """IO1, IO2, U1: sources whose columns drift, each cleaned and cast to the contract, then united by name."""
-    out = None
+    """IO1, IO2, U1: sources whose columns drift, cleaned and cast to the contract, then united by name.
+
+    Paths of equal columns are one scan, so the plan grows with the number of layouts and not of days.
+    """
+    layouts: dict[str, list[str]] = {}
     for path in paths:
-        x = conform(clean.apply_aliases(clean.normalize_names(spark.read.parquet(path)), aliases or {}), schema)
+        layouts.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+    out = None
+    for same in layouts.values():
+        x = conform(clean.apply_aliases(clean.normalize_names(spark.read.parquet(*same)), aliases or {}), schema)
         out = x if out is None else out.unionByName(x, allowMissingColumns=True)
     if out is None:
         raise ValueError("no paths given")
@@ -45,9 +51,13 @@ def with_partitions(df: DataFrame, date: str, day: bool = False) -> DataFrame:
 
 
 def write_monthly(df: DataFrame, path: str, date: str, sort: Sequence[str] = ("ticker",), day: bool = False) -> None:
-    """IO5, IO8: partitioned files, a month (or day) dealt to one task each so that files stay few, sorted for scans that skip."""
+    """IO5, IO8: partitioned files, sorted for scans that skip.
+
+    Rows are dealt by month (or day) so that files stay few; a month beyond the session's advisory partition size is
+    split over several tasks, each with its own file, and small ones share a task.
+    """
     parts = ["year", "month", *(["day"] if day else [])]
-    x = with_partitions(df, date, day).repartition(*parts).sortWithinPartitions(*parts, *sort)
+    x = with_partitions(df, date, day).hint("rebalance", *parts).sortWithinPartitions(*parts, *sort)
     x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
