@@ -254,7 +254,9 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     seg = seg.repartition("key").groupBy("key", "sid").agg(F.max("tag").alias("tag"))
     held = Window.partitionBy("key")
     live = seg.withColumn("c", F.count("*").over(held)).where("c > 1")
-    live = materialize(live, "live", old)
+    sent: list[str] = []
+    live = materialize(live, "live", sent)
+    discard(docs.sparkSession, [])  # the segments' shuffle, the largest of all
     # Each set leaves out keys above the lowest limit that its spare segments allow; of a pair, the set with the lower
     # limit has a segment alike within it, which the other keeps too.
     own_keys, spare = Window.partitionBy("sid", "tag"), F.col("tag") % _TAG - 1
@@ -265,9 +267,11 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     # keys are held most often, the hub, is like most of the others.
     used = live.repartition("sid").withColumns({"limit": limit, "weight": F.sum("c").over(Window.partitionBy("sid"))}).where("c <= limit").select("key", "sid", "weight")
     used = materialize(used.withColumn("c", F.count("*").over(held)).where("c > 1").drop("c"), "used", old)
+    discard(docs.sparkSession, sent)
 
-    links, label, here = None, None, used
+    links, label, here, spent = None, None, used, []
     for _ in range(rounds):
+        made: list[str] = []
         meet = here.withColumns({"at": F.struct("weight", "sid"), "name": F.coalesce("label", "sid") if label is not None else F.col("sid")})
         # The hub of what is not of the key's first hub's component meets all that are of other components than its own.
         meet = meet.withColumn("first", F.max_by("name", "at").over(held))
@@ -279,12 +283,14 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs", old)
         tried = pairs if links is None else tried.unionByName(pairs)
-        new = materialize(verified(screened(pairs, sets, percent, exact), rows, percent, width, old), "links", old)
+        new = materialize(verified(screened(pairs, sets, percent, exact), rows, percent, width, spent), "links", old)
         links = new if links is None else links.unionByName(new)
-        label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "labels", old)
+        label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "labels", made)
         known = used.join(label, "sid", "left").withColumn("name", F.coalesce("label", "sid"))
         varied = known.groupBy("key").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo <> hi").select("key")
-        here = materialize(known.join(varied, "key").select("key", "sid", "weight", "label"), "varied", old)
+        here = materialize(known.join(varied, "key").select("key", "sid", "weight", "label"), "varied", made)
+        discard(docs.sparkSession, spent)  # what the round before left and this one has read
+        spent = made
         if new.isEmpty():
             break
 
@@ -301,7 +307,7 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     links = links.unionByName(verified(more, rows, percent, width, old))
     label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "components")
     described = materialize(described.select("key", "doc_id", "n", "sid"), "described")
-    discard(docs.sparkSession, old)
+    discard(docs.sparkSession, [*old, *spent])
 
     named = described.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     # Written first, so that the join's other side alone is dealt by label and a large component's rows can be split.
