@@ -123,8 +123,8 @@ def describe(rows: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(sets, "key long, doc_id long, n long, sid long, level int, sketch array<long>")
 
 
-def sent_segments(rows: DataFrame, bands: Bands, width: int, at_once: int = 200_000) -> DataFrame:
-    """From (text) to (key, sid, tag): every set's segment keys in each of its bands. They go straight into a shuffle."""
+def sent_segments(rows: DataFrame, bands: Bands, width: int, share: int = 0, shares: int = 1, at_once: int = 200_000) -> DataFrame:
+    """From (text) to (key, sid, tag): every set's segment keys in each of its bands, of all keys one share."""
 
     def send(batches):
         out: list[list] = [[], [], []]
@@ -143,6 +143,7 @@ def sent_segments(rows: DataFrame, bands: Bands, width: int, at_once: int = 200_
                 sid = _name(x)
                 for band in bands.of(len(x)):
                     k, left = segments(x, band, bands)
+                    k = k[k % np.uint64(shares) == share] if shares > 1 else k
                     size += len(k)
                     for c, v in zip(out, (k, np.repeat(sid, len(k)), np.full(len(k), band * _TAG + left + 1, np.int32)), strict=True):
                         c.append(v)
@@ -226,7 +227,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int, scratc
     return x.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), rounds: int = 2, exact: bool = False, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), rounds: int = 2, exact: bool = False, shares: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of docs with n_shingles, component_id and component_label: the smallest id reachable by links of Jaccard >= percent, and the component's own name, which null or repeated ids don't blur.
 
     Equal sets are one node. Sets that share a segment key of their size band are candidates. Keys that many sets
@@ -238,6 +239,8 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     a family of n near copies needs about n comparisons, and every link is still either checked or implied.
     Sets of 512 shingles and more are screened by samples with six standard deviations of slack (a link is lost at
     below 1 in 10^8); exact=True checks all of these candidates on their texts instead.
+    The keys are dealt to `shares` shuffles, one after the other: each reads all texts, and the largest shuffle's space
+    on disk is divided by their number.
     Null and empty texts link with nothing. Rows with a null id link as others do but give no component its id; a
     component of such rows alone has a null id. Columns of docs with the added names are replaced.
     """
@@ -250,13 +253,15 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     sets = described.where("sid is not null").groupBy("sid").agg(F.min_by(F.struct("n", "key", "level", "sketch"), "key").alias("s")).select("sid", "s.n", "s.key", "s.level", *(F.col("s.sketch")[i].alias(c) for i, c in enumerate(_SKETCH)))
     sets = materialize(sets, "distinct", old)
 
-    seg = sent_segments(rows.select("text"), bands, width)
-    seg = seg.repartition("key").groupBy("key", "sid").agg(F.max("tag").alias("tag"))
     held = Window.partitionBy("key")
-    live = seg.withColumn("c", F.count("*").over(held)).where("c > 1")
     sent: list[str] = []
-    live = materialize(live, "live", sent)
-    discard(docs.sparkSession, [])  # the segments' shuffle, the largest of all
+    live = None
+    for share in range(shares):
+        seg = sent_segments(rows.select("text"), bands, width, share, shares)
+        seg = seg.repartition("key").groupBy("key", "sid").agg(F.max("tag").alias("tag"))
+        seg = materialize(seg.withColumn("c", F.count("*").over(held)).where("c > 1"), "live", sent)
+        live = seg if live is None else live.unionByName(seg)
+        discard(docs.sparkSession, [])  # the segments' shuffle, the largest of all
     # Each set leaves out keys above the lowest limit that its spare segments allow; of a pair, the set with the lower
     # limit has a segment alike within it, which the other keeps too.
     own_keys, spare = Window.partitionBy("sid", "tag"), F.col("tag") % _TAG - 1
