@@ -170,12 +170,13 @@ def shingle_set(t):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
 
 
-def test_jaccard(spark):
+@pytest.mark.parametrize("shares", [1, 3])
+def test_jaccard(spark, shares):
     c = [(d, t) for d, t, _ in corpus()]
     df = spark.createDataFrame(c, "doc_id long, text string").withColumn("n_shingles", F.lit("clash")).repartition(3)
     sets = {d: shingle_set(t) for d, t in c}
     want = brute_components(sets)
-    got = rows(jaccard.similar_documents(df).select("doc_id", "n_shingles", "component_id"), "doc_id")
+    got = rows(jaccard.similar_documents(df, shares=shares).select("doc_id", "n_shingles", "component_id"), "doc_id")
     assert got == [(d, len(sets[d]), want[d]) for d in sorted(sets)]
     assert len(set(want.values())) < len(want) - 8
 
