@@ -1,4 +1,4 @@
-"""Training-data operators: ten building blocks and the corpus pipeline's stages.
+"""Training-data operators: thirteen building blocks and the corpus pipeline's stages.
 
 Nothing else in the library imports this subpackage.
 """

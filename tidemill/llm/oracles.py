@@ -87,7 +87,57 @@ OP8 = """
     r as (select vec_id, vec_id as reach from embeddings union select r.vec_id, l.y from r join l on l.x = r.reach)
     select vec_id, coalesce(max(n), 0) as n_links, min(reach) as component_id, vec_id = min(reach) as kept from r left join n using (vec_id) group by vec_id"""
 
+OP11 = r"""
+    with d as (select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+    e as (select *, len(u) as n, cast('0x' || substr(h, 1, 8) as bigint) as h1, cast('0x' || substr(h, 9, 8) as bigint) as h2, cast('0x' || substr(h, 17, 8) as bigint) as h3, cast('0x' || substr(h, 25, 8) as bigint) as h4 from d),
+    f as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+        case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from e),
+    g as (select *, coalesce(array_to_string(u[1 : a], ''), '') as p, coalesce(array_to_string(u[a + 1 : b], ''), '') as m, coalesce(array_to_string(u[b + 1 : n], ''), '') as s from f)
+    select doc_id, cast(n as bigint) as n, form, cast(case when form <> 'plain' then length(p) end as bigint) as prefix_chars, cast(case when form <> 'plain' then length(m) end as bigint) as middle_chars,
+        sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(t) as restored_sha256 from g"""
+
+_PART = "1 + (1000000000::hugeint * ({c} + 1)) // ({n} + {v})"
+
+OP12 = rf"""
+    with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, {_LOW} as t from documents),
+    o as (select r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+    k as (select lang, term, count(*) as c from o group by 1, 2 having count(distinct r) >= 3),
+    v as (select lang, count(*) as v, sum(c) as n from k group by 1),
+    c as (select o.lang, o.source, o.term, count(*) as c from o join k on o.lang = k.lang and o.term = k.term group by 1, 2, 3),
+    n as (select lang, source, sum(c) as n from c group by 1, 2),
+    g as (select d.lang, d.source, coalesce(max(n.n), 0) as n, coalesce(max(v.v), 0) as v from d left join n on n.lang = d.lang and n.source = d.source left join v on v.lang = d.lang group by 1, 2),
+    p as (select g.lang, g.source, k.term, coalesce(c.c, 0) as c, {_PART.format(c="coalesce(c.c, 0)", n="g.n", v="g.v")} as p
+        from g join k on k.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+    q as (select k.lang, k.term, {_PART.format(c="k.c", n="v.n", v="v.v")} as q from k join v on v.lang = k.lang),
+    s as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+    x as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(s.value, 0) as bigint) as value
+        from g a join g b on a.lang = b.lang and a.source <> b.source left join s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+    y as (select p.lang, p.source, 'term' as part, p.term as item, cast((p.p - q.q) * (p.p - q.q) // q.q as bigint) as value from p join q on q.lang = p.lang and q.term = p.term where p.c > 0 and p.p > q.q),
+    z as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from (select * from x union all select * from y))
+    select * from z where part = 'pair' or rank <= 200"""
+
+
+def _sketch(words: str) -> str:
+    return f"""case when len({words}) = 0 then [] else list_sort(list_distinct(list_transform(range(1, greatest(len({words}) - 4, 1) + 1), lambda i: substr(md5(array_to_string({words}[i : i + 4], ' ')), 1, 16))))[1 : 128] end"""
+
+
+def _near(a: str, b: str) -> str:
+    u = f"list_sort(list_distinct(list_concat({a}, {b})))[1 : 128]"
+    return f"case when len({a}) + len({b}) = 0 then 1.0::double else len(list_intersect({u}, list_intersect({a}, {b}))) / len({u})::double end"
+
+
+_RUNS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+OP13 = f"""
+    with d as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n from documents),
+    e as (select *, coalesce(lead(t) over (order by doc_id), first_value(t) over (order by doc_id)) as after from d),
+    f as (select *, substr(t, 1, n - n // 2) || substr(after, 1, n // 2) as edited from e),
+    w as (select doc_id, n, edited, {_RUNS.format("t")} as wa, {_RUNS.format("edited")} as wb from f),
+    s as (select doc_id, n, edited, {_sketch("wa")} as a, {_sketch("wb")} as b from w),
+    x as (select *, coalesce(lead(a) over (order by doc_id), first_value(a) over (order by doc_id)) as c from s)
+    select doc_id, cast(n as bigint) as n_chars, sha256(edited) as edited_sha256, array_to_string(a, '') as fingerprint, array_to_string(b, '') as edited_fingerprint,
+        {_near("a", "b")} as near_edited, {_near("a", "c")} as near_next from x"""
+
 ORACLE_SQL = {
     "op2_substring_dedup": OP2, "op3_chat_formatting": OP3, "op4_ngram_jaccard_join": OP4, "op5_source_mixing": OP5, "op7_quality_rules": OP7,
-    "op8_embedding_near_dedup": OP8,
+    "op8_embedding_near_dedup": OP8, "op11_fill_in_middle": OP11, "op12_source_divergence": OP12, "op13_document_fingerprints": OP13,
 }

@@ -1,4 +1,4 @@
-"""The ten operators over the given tables, each with its result's digest columns, and their SQL."""
+"""The operators over the given tables, each with its result's digest columns, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, jaccard, mixing, packing, pages, quality, substrings, urls, vectors
+from . import chat, ctw, divergence, fingerprints, infill, jaccard, mixing, packing, pages, quality, substrings, urls, vectors
 from .oracles import ORACLE_SQL, TRAP  # noqa: F401
 
 def tokenizer_path() -> str:
@@ -74,6 +74,21 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_texts(docs).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    made = infill.fill_in_middle(infill.frame_texts(docs))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(spark.read.parquet(f"{sf_dir}/documents.parquet").select("lang", "source", "text"))
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return fingerprints.fingerprint_documents(docs).drop("text")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +98,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_best_fit_packing, op2_substring_dedup, op3_chat_formatting, op4_ngram_jaccard_join, op5_source_mixing, op6_url_filters,
-        op7_quality_rules, op8_embedding_near_dedup, op9_html_extraction, op10_lm_scoring, pipeline,
+        op7_quality_rules, op8_embedding_near_dedup, op9_html_extraction, op10_lm_scoring, op11_fill_in_middle, op12_source_divergence,
+        op13_document_fingerprints, pipeline,
     )
     return {f.__name__: f for f in own}
 
