@@ -99,3 +99,57 @@ def test_candle_corrections_converge(spark, tmp_path, feed):
         q.awaitTermination(120)
     assert spark.read.parquet(path).count() == 2
     assert rows(st.newest_candles(spark, path).select("ticker", "close")) == [("A", 3.0)]
+
+
+def test_a_replay_that_stops_leaves_the_states_of_before(spark, tmp_path, feed, monkeypatch):
+    src, put = feed
+    raw, states, ck = (str(tmp_path / n) for n in ("raw", "states", "ck"))
+
+    def run(name, lines):
+        put(name, lines)
+        q = st.land_ticks(st.parsed_ticks(st.message_stream(spark, str(src))), raw, states, ck).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+
+    see = lambda: rows(st.merged_minutes(spark, states), "ticker", "minute_ts", "data_source")
+    batch = lambda: rows(facts.merge_states(facts.minute_states(st.parsed_ticks(spark.read.text(str(src))))), "ticker", "minute_ts", "data_source")
+    run("1.json", [tick("a", s, 10.0 + s % 7, 5) for s in range(0, 150, 10)])
+    run("2.json", [tick("a", 5, 99.0, 1), tick("b", 70, 3.0, 2)])
+    switch = st.switch_pointer
+    for name in ("switch_pointer", "switch_pointer"):
+        monkeypatch.setattr(st, name, lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):  # the new partials are written, the switch isn't made
+            st.replay(spark, raw, states, "2024-01-01")
+        assert see() == batch()
+    monkeypatch.setattr(facts, "minute_states", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        st.replay(spark, raw, states, "2024-01-01")
+    monkeypatch.undo()
+    assert st.switch_pointer is switch and see() == batch()
+    st.replay(spark, raw, states, "2024-01-01")
+    assert see() == batch()
+    assert st.current_states(spark, states).count() == len(batch())  # one partial a minute now
+    run("3.json", [tick("a", 7, 1.0, 1), tick("a", 100000, 5.0, 1)])  # late ticks after the replay, and another day
+    assert see() == batch()
+    st.replay(spark, raw, states, "2024-01-02")
+    st.replay(spark, raw, states, "2024-01-01")
+    assert see() == batch() and st.current_states(spark, states).count() == len(batch())
+
+
+def test_lag_of_a_running_stream(spark, tmp_path, feed):
+    src, put = feed
+    for i in range(3):
+        put(f"{i}.json", [tick("a", i, 1.0, 1)])
+    log = st.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = st.message_stream(spark, str(src), files_per_trigger=1).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        got = log.lag(spark, str(q.id)).orderBy("batch_id").collect()
+        assert [r.batch_id for r in got][:3] == [0, 1, 2]
+        assert [r.committed_offset for r in got][:3] == [0, 1, 2] and all(r.end_offset >= r.committed_offset and r.lag == r.end_offset - r.committed_offset for r in got)
+        assert got[-1].lag == 0
+    finally:
+        spark.streams.removeListener(log)
+    kafka = {"sources": [{"description": "KafkaV2[Subscribe[t]]", "endOffset": {"t": {"0": 5, "1": 7}}, "latestOffset": {"t": {"0": 9, "1": 7, "2": 4}}}]}
+    assert st.offset_rows(kafka) == [("KafkaV2[Subscribe[t]]", "t-0", 9, 5), ("KafkaV2[Subscribe[t]]", "t-1", 7, 7), ("KafkaV2[Subscribe[t]]", "t-2", 4, None)]
