@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,17 +31,63 @@ def prompt_text(title: Column, body: Column, most: int = 800) -> Column:
     return F.substring(F.concat(light_clean(title), F.lit(". "), light_clean(body)), 1, most)
 
 
+_BITS, _SLOT_BITS = 52, 12  # of seeded_order, and of the slots it is cut into
+
+
+def beyond(df: DataFrame, strata: Sequence[str], key: str, cuts: Sequence[Callable[[Column], Column]], seed: int = 42) -> DataFrame:
+    """df with _beyond: how many of the ascending cuts, numbers of rows, a row's place in its stratum's seeded order is past; and _n, the stratum's rows.
+
+    A cut is a function of the stratum's number of rows. Rows are counted by slots of the seeded order, 4096 a
+    stratum, and each cut falls into one slot; only rows of such slots are sorted. So a stratum of any size is never
+    one task's. Null strata are strata; rows of one key have places next to each other.
+    """
+    order = seeded_order(key, seed=seed)
+    named = [F.col(c).alias(f"_c_{i}") for i, c in enumerate(strata)]
+    names = [f"_c_{i}" for i in range(len(strata))]
+    x = df.withColumns({"_order": order, "_slot": F.shiftright(order, _BITS - _SLOT_BITS).cast("int")})
+    slots = x.select(*named, "_slot").groupBy(*names, "_slot").agg(F.count("*").alias("n"))
+    s = slots.groupBy(*names).agg(F.sum("n").alias("_n"), F.array_sort(F.collect_list(F.struct("_slot", "n"))).alias("s"))
+
+    def cut(at: Column) -> Column:
+        """The slot that place `at` is in, and the rows of the slots before it."""
+        start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("int").alias("slot"))
+        step = lambda a, v: F.when(a.slot.isNotNull() | (a.before + v.n > at), F.struct(a.before.alias("before"), F.coalesce(a.slot, v["_slot"]).alias("slot"))).otherwise(F.struct((a.before + v.n).alias("before"), a.slot.alias("slot")))
+        return F.aggregate("s", start, step)
+
+    s = s.select(*names, "_n", F.array(*[F.struct(f(F.col("_n")).cast("long").alias("at"), cut(f(F.col("_n")).cast("long")).alias("c")) for f in cuts]).alias("_cuts"))
+    same = F.lit(True)
+    for c, n in zip(strata, names, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(n))
+    x = x.join(s, same).drop(*names)
+    open_ = F.exists("_cuts", lambda c: F.col("_slot").eqNullSafe(c.c.slot))
+    w = Window.partitionBy(*strata, "_slot").orderBy("_order", key)
+    past = lambda c: F.coalesce((F.col("_slot") > c.c.slot).cast("int"), F.lit(0))  # noqa: E731  no slot, no row past it
+    clear = x.where(~open_).withColumn("_beyond", F.aggregate("_cuts", F.lit(0), lambda a, c: a + past(c)))
+    unclear = x.where(open_).withColumn("_place", F.row_number().over(w))
+    side = lambda c: F.when(F.col("_slot") == c.c.slot, (c.c.before + F.col("_place") > c["at"]).cast("int")).otherwise(past(c))
+    unclear = unclear.withColumn("_beyond", F.aggregate("_cuts", F.lit(0), lambda a, c: a + side(c))).drop("_place")
+    return clear.unionByName(unclear).drop("_order", "_slot", "_cuts")
+
+
+def _below(share: float) -> Callable[[Column], Column]:
+    """How many of n places k = 0, 1, ... have k / n below the share, in the arithmetic of doubles."""
+
+    def count(n: Column) -> Column:
+        c = F.ceil(n * share)
+        return F.when((c > 0) & ((c - 1) / n >= share), c - 1).when(c / n < share, c + 1).otherwise(c)
+
+    return count
+
+
 def balanced_sample(df: DataFrame, target: int, publishers: int = 3, by: str = "source", key: str = "article_id", seed: int = 42) -> DataFrame:
     """Of each publisher target // publishers rows, or all it has."""
-    w = Window.partitionBy(by).orderBy(seeded_order(key, seed=seed), key)
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= target // publishers).drop("_n")
+    return beyond(df, [by], key, [lambda n: F.lit(target // publishers)], seed).where("_beyond = 0").drop("_beyond", "_n")
 
 
 def stratified_split(df: DataFrame, strata: Sequence[str], key: str, shares: tuple[float, float] = (0.7, 0.15), seed: int = 42) -> DataFrame:
     """Split train, validation or test: within each stratum the first shares of a seeded order."""
-    w = Window.partitionBy(*strata).orderBy(seeded_order(key, seed=seed), key)
-    place = (F.row_number().over(w) - 1) / F.count("*").over(Window.partitionBy(*strata))
-    return df.withColumn("_p", place).withColumn("split", F.when(F.col("_p") < shares[0], "train").when(F.col("_p") < shares[0] + shares[1], "validation").otherwise("test")).drop("_p")
+    x = beyond(df, strata, key, [_below(shares[0]), _below(shares[0] + shares[1])], seed)
+    return x.withColumn("split", F.element_at(F.array(F.lit("train"), F.lit("validation"), F.lit("test")), F.col("_beyond") + 1)).drop("_beyond", "_n")
 
 
 def route(df: DataFrame, least: float = 0.75, confidence: str = "confidence") -> DataFrame:
@@ -73,12 +119,10 @@ def canonical_label(label: Column | str, table: Mapping[str, str] = LEGACY_LABEL
 
 
 def oversample(df: DataFrame, label: str, least: int, key: str, seed: int = 42) -> DataFrame:
-    """Rows of labels with fewer than `least` rows repeated, the first of a seeded order once more than the others, up to exactly `least`."""
-    n = df.groupBy(label).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(label).orderBy(seeded_order(key, seed=seed), key)
-    x = df.join(n, label).withColumn("_k", F.row_number().over(w))
-    times = F.when(F.col("_n") >= least, F.lit(1)).otherwise(F.floor(F.lit(least) / F.col("_n")) + F.when(F.col("_k") <= least % F.col("_n"), 1).otherwise(0))
-    return x.withColumn("copy", F.explode(F.sequence(F.lit(1), times.cast("int")))).drop("_n", "_k")
+    """Rows of labels with fewer than `least` rows repeated, the first of a seeded order once more than the others, up to exactly `least`. A null label is one."""
+    x = beyond(df, [label], key, [lambda n: F.lit(least) % n], seed)
+    times = F.when(F.col("_n") >= least, F.lit(1)).otherwise(F.floor(F.lit(least) / F.col("_n")) + F.when(F.col("_beyond") == 0, 1).otherwise(0))
+    return x.withColumn("copy", F.explode(F.sequence(F.lit(1), times.cast("int")))).drop("_n", "_beyond")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -91,8 +135,7 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 
 def add_external(base: DataFrame, external: DataFrame, label: str, cap: int, key: str, seed: int = 42) -> DataFrame:
     """At most cap external rows of each label, added to the base by name."""
-    w = Window.partitionBy(label).orderBy(seeded_order(key, seed=seed), key)
-    x = external.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= cap).drop("_n")
+    x = beyond(external, [label], key, [lambda n: F.lit(cap)], seed).where("_beyond = 0").drop("_beyond", "_n")
     return base.unionByName(x, allowMissingColumns=True)
 
 

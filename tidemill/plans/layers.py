@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +10,7 @@ from tidemill.operators import alerts, clean, dedup, dims, facts, labels, marts,
 from tidemill.operators import indicators as ind
 from tidemill.operators import news as nw
 from tidemill.sources import tables
+from tidemill.storage import new_folder
 
 from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
 from .prices import _IND, _P
@@ -20,12 +18,6 @@ from .realtime import _DEV, _STATES, _VWAP, _vwap
 from .registry import query
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and executors share; a temporary one where spark.checkpoint.dir is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidemill-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
-
-
 @query("select s_name as name, s_acctbal as balance, s_nationkey as nation, null::varchar as segment from supplier union all select c_name, c_acctbal, c_nationkey, c_mktsegment from customer")
 def io1_u1_read_drifting(spark: SparkSession, sf_dir: str) -> DataFrame:
     aliases = {f"{p}_{a}": b for p in "sc" for a, b in (("name", "name"), ("acctbal", "balance"), ("nationkey", "nation"), ("mktsegment", "segment"))}
@@ -37,21 +29,21 @@ _MONTHS = "select year(o_orderdate) as year, month(o_orderdate) as month, count(
 
 @query(_MONTHS)
 def io3_io5_monthly_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder(spark, "monthly")
+    path = new_folder(spark, "monthly")
     tables.write_monthly(table(spark, sf_dir, "orders"), path, "o_orderdate", sort=("o_orderkey",))
     return rounded(tables.read_keyed(spark, path).groupBy("year", "month").agg(F.count("*").alias("n"), F.sum("o_totalprice").alias("total")), 2, "total")
 
 
 @query("select year(ts) as year, month(ts) as month, day(ts) as day, count(*) as n from events group by 1, 2, 3")
 def io8_daily_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder(spark, "daily")
+    path = new_folder(spark, "daily")
     tables.write_monthly(table(spark, sf_dir, "events"), path, "ts", sort=("event_id",), day=True)
     return tables.read_keyed(spark, path).groupBy("year", "month", "day").agg(F.count("*").alias("n"))
 
 
 @query("select s_suppkey, s_name, d as snapshot_date from supplier, (values (date '2024-01-01'), (date '2024-01-02')) t(d)")
 def io7_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, x = _folder(spark, "snapshots"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    path, x = new_folder(spark, "snapshots"), table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     for day in ("2024-01-01", "2024-01-02", "2024-01-01"):
         tables.write_snapshot(x, path, day)
     return tables.read_keyed(spark, path)
@@ -60,7 +52,7 @@ def io7_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select concat('S', s_suppkey) as ticker, n_name as sector_name, upper(n_name) as sector_id, null::varchar as industry_group from supplier join nation on s_nationkey = n_nationkey where s_acctbal > 0")
 def io9_sector_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The CSV holds blanks around its values, blank sectors, and each ticker a second time in lower case."""
-    path, x = _folder(spark, "sectors"), profiles(spark, sf_dir).join(table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("ticker"), "s_acctbal"), "ticker")
+    path, x = new_folder(spark, "sectors"), profiles(spark, sf_dir).join(table(spark, sf_dir, "supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("ticker"), "s_acctbal"), "ticker")
     row = lambda t: x.select(t.alias("ticker"), F.when(F.col("s_acctbal") > 0, F.lower("sector_name")).otherwise(" ").alias("sector_id"), "sector_name", F.lit(None).cast("string").alias("industry_group"))
     row(F.concat(F.lit(" "), "ticker")).unionByName(row(F.lower("ticker"))).coalesce(1).write.option("header", True).csv(path)
     return dims.read_sector_mapping(spark, path)
@@ -68,28 +60,28 @@ def io9_sector_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select distinct upper(trim(c_mktsegment)) as ticker from customer")
 def io10_ticker_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder(spark, "tickers")
+    path = new_folder(spark, "tickers")
     table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("Symbol")).write.option("header", True).csv(path)
     return tables.read_tickers(spark, path)
 
 
 @query("select doc_id, quality, toxic from labels")
 def io16_datasets_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder(spark, "datasets")
+    path = new_folder(spark, "datasets")
     tables.write_datasets(table(spark, sf_dir, "labels").withColumn("split", F.when(F.col("quality") == 1, "train").otherwise("test")), path)
     return spark.read.parquet(f"{path}/parquet").select("doc_id", "quality", "toxic")
 
 
 @query("select r_regionkey, r_name from region")
 def io23_bundle_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder(spark, "bundle")
+    path = new_folder(spark, "bundle")
     tables.write_bundle({"region": table(spark, sf_dir, "region"), "nation": table(spark, sf_dir, "nation")}, path)
     return spark.read.json(f"{path}/region", schema="r_regionkey int, r_name string")
 
 
 @query("select n_nationkey, n_name, n_regionkey from nation")
 def io24_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _folder(spark, "overwritten")
+    path = new_folder(spark, "overwritten")
     for part in (table(spark, sf_dir, "nation").limit(1), table(spark, sf_dir, "nation")):
         tables.overwrite(part, path, "dim_nation")
     return spark.read.parquet(path)
@@ -174,7 +166,7 @@ def q6_sentiment_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     select 'sentiment' as source_name, g.n as record_count, cast(g.bad as bigint) as error_count from g where g.bad > 0 union all select 'profile', p.n, p.n from p""")
 def io14_io15_q14_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A suite that passes its gate and one that fails are reported; those with errors are read back."""
-    path, detail, p = _folder(spark, "reports"), _detail(spark, sf_dir), profiles(spark, sf_dir)
+    path, detail, p = new_folder(spark, "reports"), _detail(spark, sf_dir), profiles(spark, sf_dir)
     at, never = F.lit("2024-02-02").cast("timestamp"), quality.Suite("profile", ("ticker",), (("no_ticker", "ticker is null"),), ("ticker",))
     found = quality.run_suites({"sentiment": (detail, quality.SENTIMENT), "profile": (p, never)}, stop_at_first=False)
     quality.gate(found[0], "sentiment")

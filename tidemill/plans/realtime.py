@@ -182,6 +182,15 @@ def j7_u3_key_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.key_differences(a, b, ["k"])
 
 
+@query("""with a as (select l_orderkey || '|' || l_linenumber as k from lineitem), b as (select l_orderkey || '|' || l_linenumber as k from lineitem where l_quantity < 50)
+    select 'missing' as side, count(distinct k) as n, coalesce((list(distinct k order by k))[1:10], []) as examples from a where k not in (select k from b)
+    union all select 'extra', 0, []""")
+def j7_layer_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two layers by digests of key ranges; the second lacks the largest quantities."""
+    x = table(spark, sf_dir, "lineitem")
+    return quality.layer_differences(x, x.where("l_quantity < 50"), ["l_orderkey", "l_linenumber"])
+
+
 @query("select o_orderkey, o_custkey from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0)")
 def j8_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     parent = table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"))

@@ -9,6 +9,7 @@ from tidemill.operators import clean, dedup, facts, labels, marts
 from tidemill.operators import indicators as ind
 from tidemill.operators import news as nw
 from tidemill.sources import tables
+from tidemill.storage import materialize
 
 from .adapters import BARS, NEWS, PROFILES, TICKS, daily_bars, news, profiles, rounded, table, ticks, with_
 from .prices import _IND, _P
@@ -103,11 +104,79 @@ def length_scorer():
 
 
 @query(None)
-def n11_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def n11_plugged_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hook of a pluggable scorer, by windows of words."""
     x = news(spark, sf_dir).withColumnRenamed("content", "text")
     return rounded(nw.infer(x, length_scorer, "length-1"), 6, "sentiment_score", "confidence_score")
 
 
+#: Toxic texts stand for negative news, good ones for positive, the rest for neutral; a fifth of the labelled is held out.
+_BAYES = r"""truth as (select l.doc_id, text, case when toxic = 1 then 'negative' when quality = 1 then 'positive' else 'neutral' end as label, l.doc_id % 5 = 4 as held from labels l join documents d on d.doc_id = l.doc_id),
+    tw as (select label, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) as word from truth where not held), tn as (select word, label, count(*) as n from tw group by 1, 2),
+    cl as (select label, count(*) as texts from truth where not held group by 1), cw as (select label, sum(n) as words from tn group by 1),
+    cls as (select cl.label, coalesce(words, 0) as words, (select count(distinct word) from tn) as v, ln(texts / (select sum(texts) from cl)::double) as prior from cl left join cw on cw.label = cl.label),
+    wt as (select w.word, cls.label, ln((coalesce(tn.n, 0) + 1) / (cls.words + cls.v)::double) as weight from (select distinct word from tn) w cross join cls left join tn on tn.word = w.word and tn.label = cls.label),
+    dw as (select doc_id, word, count(*) as n from (select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) as word from documents) group by 1, 2),
+    sm as (select doc_id, label, sum(n * weight) as s from dw join wt using (word) group by 1, 2),
+    sc as (select d.doc_id, cls.label, prior + coalesce(s, 0) as s from documents d cross join cls left join sm on sm.doc_id = d.doc_id and sm.label = cls.label),
+    pr as (select *, exp(s - max(s) over (partition by doc_id)) as e from sc),
+    pd as (select doc_id, first(label order by s desc, label) as sentiment_label, (coalesce(sum(e) filter (label = 'positive'), 0) - coalesce(sum(e) filter (label = 'negative'), 0)) / sum(e) as sentiment_score, max(e) / sum(e) as confidence_score from pr group by 1)"""
+
+
+def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
+    return table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", "text", label.alias("label"), (F.col("doc_id") % 5 == 4).alias("held"))
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = materialize(nw.word_weights(_truth(spark, sf_dir).where("not held")), "word-weights")
+    return nw.infer_by_words(news(spark, sf_dir), weights, "bayes-1", key="doc_id", text="content")
+
+
+@query(with_(_BAYES) + "select doc_id, sentiment_label, round(sentiment_score, 6) as sentiment_score, round(confidence_score, 6) as confidence_score, confidence_score < 0.5 as is_low_confidence, 'bayes-1' as model_version from pd")
+def n11_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A word model of the labelled documents judges all of them."""
+    return rounded(_judged(spark, sf_dir), 6, "sentiment_score", "confidence_score")
+
+
+@query(with_(_BAYES) + "select label as truth, sentiment_label as guess, count(*) as n from truth join pd using (doc_id) where held group by 1, 2")
+def n11_a23_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = _judged(spark, sf_dir).join(_truth(spark, sf_dir).where("held").select("doc_id", "label"), "doc_id")
+    return labels.confusion(x, "label", "sentiment_label")
+
+
+#: Every article names a ticker in its title, one as a tag, one beside a market word, and holds what it holds.
+_NAMED = """named as (select article_id, concat(title, ' Q', doc_id % 40, ' rises') as title, concat(content, ' mã Q', doc_id % 31, ' and HOSE') as content, 'Q' || (doc_id % 23) as tag, doc_id from news),
+    names as (select alias, concat('Q', substr(ticker, 2)) as ticker from aliases),
+    hits as (select article_id, concat('Q', doc_id % 40) as ticker, concat('Q', doc_id % 40) as matched_alias, 'ticker_title_regex' as match_method, 3 as match_score from named
+        union all select article_id, tag, tag, 'tag_exact', 3 from named union all select article_id, concat('Q', doc_id % 31), concat('Q', doc_id % 31), 'ticker_context_regex', 2 from named
+        union all select n.article_id, a.ticker, a.alias, 'company_alias_regex', 2 from named n, names a where contains(lower(concat(n.title, ' ', n.content)), a.alias))"""
+
+
+@query(with_(NEWS, _ALIASES, _NAMED) + """select article_id, ticker, matched_alias, match_method, match_score from hits where ticker in (select ticker from names)
+    qualify row_number() over (partition by article_id, ticker order by match_score desc, matched_alias, match_method desc) = 1""")
+def n7_all_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags, title tokens, context words and names, of which the best match of each article and ticker stays."""
+    n, d = news(spark, sf_dir), F.col("doc_id")
+    q = lambda k: F.concat(F.lit("Q"), d % k)
+    x = n.select("article_id", F.concat("title", F.lit(" "), q(40), F.lit(" rises")).alias("title"), F.concat("content", F.lit(" mã "), q(31), F.lit(" and HOSE")).alias("content"), F.array(F.concat(F.lit("q"), d % 23)).alias("tags"))
+    names = _aliases(spark, sf_dir).withColumn("ticker", F.concat(F.lit("Q"), F.substring("ticker", 2, 9)))
+    tickers = names.select("ticker", F.col("ticker").alias("alias"), F.lower("ticker").alias("folded"), F.lit(True).alias("is_ticker"))
+    return nw.link_entities(x, names.unionByName(tickers))
+
+
+@query(with_(NEWS) + """, names as (select distinct lower(concat(w[1], ' ', w[2], ' ', w[3])) as alias from (select regexp_extract_all(lower(text), '[a-z]+') as w from documents) where len(w) >= 3 and length(concat(w[1], ' ', w[2], ' ', w[3])) >= 8)
+    select article_id, alias from news, names where contains(lower(content), alias)""")
+def j12_rare_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names from the beginnings of all documents, many of which begin alike, by the index of rare words."""
+    w = F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"))
+    alias = F.concat_ws(" ", F.slice("w", 1, 3))
+    names = table(spark, sf_dir, "documents").select(w.alias("w")).where(F.size("w") >= 3).select(alias.alias("alias")).where(F.length("alias") >= 8).distinct()
+    n = news(spark, sf_dir).select("article_id", F.lower("content").alias("_text"))
+    x = nw.alias_matches(n, names.select(F.lit("T").alias("ticker"), "alias", F.col("alias").alias("folded")), most_sent=20)
+    return x.select("article_id", "alias")
+
+
 @query(with_(NEWS, _ALIASES, _LINKS) + f"""select ticker, published_at as news_date, count(distinct article_id) as news_count, count(distinct source) as source_count, count(*) filter (s > 0.05) as positive_count, count(*) filter (s < -0.05) as negative_count,
     count(*) filter (s between -0.05 and 0.05) as neutral_count, round(avg(s), 6) as avg_sentiment_score, max_by(title, article_id) as top_headline, cast(strftime(published_at, '%Y%m%d') as integer) as date_id
     from (select *, {_SCORE} as s from links) group by ticker, published_at""")
@@ -294,6 +363,15 @@ def n21_canonical_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", labels.canonical_label(old).alias("label"))
 
 
+@query(f"""with x as (select doc_id, case when source in ('src1', 'src2') then null else source end as label from documents), n as (select label, count(*) as n from x group by 1),
+    k as (select x.*, n, row_number() over (partition by x.label order by {_H}, doc_id) as k from x join n on x.label is not distinct from n.label)
+    select doc_id, label, cast(case when n >= 60 then 1 else 60 // n + case when k <= 60 % n then 1 else 0 end end as bigint) as copies from k""")
+def n22_null_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of each row, where some labels are unknown."""
+    x = table(spark, sf_dir, "documents").select("doc_id", F.when(~F.col("source").isin("src1", "src2"), F.col("source")).alias("label"))
+    return labels.oversample(x, "label", 60, "doc_id").groupBy("doc_id", "label").agg(F.count("*").alias("copies"))
+
+
 @query("select source, greatest(count(*), 60) as n, count(distinct doc_id) as different from documents group by 1")
 def n22_oversample(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = labels.oversample(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", 60, "doc_id")
