@@ -271,19 +271,15 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     # What a family's base holds, its copies hold too, while a copy's own changes are nobody else's: the set whose
     # keys are held most often, the hub, is like most of the others.
     used = live.repartition("sid").withColumns({"limit": limit, "weight": F.sum("c").over(Window.partitionBy("sid"))}).where("c <= limit").select("key", "sid", "weight")
-    used = materialize(used.withColumn("c", F.count("*").over(held)).where("c > 1").drop("c"), "used", old)
+    at = F.struct("weight", "sid")
+    used = used.withColumns({"c": F.count("*").over(held), "hub": F.max(at).over(held)["sid"]}).where("c > 1")
+    here = materialize(used.select("key", "sid", "weight", "hub", F.col("sid").alias("name"), F.col("hub").alias("hub_name")), "used", old)
     discard(docs.sparkSession, sent)
 
-    links, label, here, spent = None, None, used, []
+    links, spent = None, []
     for _ in range(rounds):
         made: list[str] = []
-        meet = here.withColumns({"at": F.struct("weight", "sid"), "name": F.coalesce("label", "sid") if label is not None else F.col("sid")})
-        # The hub of what is not of the key's first hub's component meets all that are of other components than its own.
-        meet = meet.withColumn("first", F.max_by("name", "at").over(held))
-        away = F.when(F.col("name") != F.col("first"), F.col("at"))
-        hub = F.max("at" if label is None else away).over(held)
-        meet = meet.withColumn("hub", hub).withColumn("hub_name", F.max(F.when(F.col("at") == F.col("hub"), F.col("name"))).over(held)).where("name <> hub_name")
-        pairs = meet.select(F.least("sid", "hub.sid").alias("a"), F.greatest("sid", "hub.sid").alias("b")).distinct()
+        pairs = here.where("name <> hub_name").select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
         if links is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs", old)
@@ -291,9 +287,13 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
         new = materialize(verified(screened(pairs, sets, percent, exact), rows, percent, width, spent), "links", old)
         links = new if links is None else links.unionByName(new)
         label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "labels", made)
-        known = used.join(label, "sid", "left").withColumn("name", F.coalesce("label", "sid"))
-        varied = known.groupBy("key").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).where("lo <> hi").select("key")
-        here = materialize(known.join(varied, "key").select("key", "sid", "weight", "label"), "varied", made)
+        # Keys of one component alone have done their work, now and for all later components, which only grow. Of the
+        # others, the hub of what is not of the key's first hub's component meets all that are of other components than its own.
+        known = here.select("key", "sid", "weight").join(label, "sid", "left").withColumn("name", F.coalesce("label", "sid"))
+        known = known.withColumns({"lo": F.min("name").over(held), "hi": F.max("name").over(held), "first": F.max_by("name", at).over(held)}).where("lo <> hi")
+        known = known.withColumn("far", F.max(F.when(F.col("name") != F.col("first"), F.struct("weight", "sid", "name"))).over(held))
+        here = known.select("key", "sid", "weight", "name", "first", F.col("far.sid").alias("hub"), F.col("far.name").alias("hub_name"))
+        here = materialize(here, "varied", made)
         discard(docs.sparkSession, spent)  # what the round before left and this one has read
         spent = made
         if new.isEmpty():
@@ -301,8 +301,8 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
 
     # What still shares a key with another component meets all of it but its own; the key's first hub's component is
     # not compared with itself, and of two others one order is enough.
-    main = F.coalesce("label", "sid") == F.max_by(F.coalesce("label", "sid"), F.struct("weight", "sid")).over(held)
-    left = materialize(here.select(F.col("key").alias("segment"), "sid", F.coalesce("label", "sid").alias("label"), main.alias("main")).join(sets, "sid"), "left", old)
+    left = here.select(F.col("key").alias("segment"), "sid", F.col("name").alias("label"), (F.col("name") == F.col("first")).alias("main"))
+    left = materialize(left.join(sets, "sid"), "left", old)
     met = "a_segment = b_segment and a_label <> b_label and (b_main or a_sid < b_sid)"
     more = _named(left.where("not main"), "a").join(_named(left, "b"), F.expr(f"{met} and {_may_link(percent, exact)}"))
     low = F.col("a_sid") < F.col("b_sid")
