@@ -73,8 +73,10 @@ OP7 = rf"""
     host as (select source, count(distinct text) as n from d group by 1),
     often as (select l.source, line from l join d using (doc_id) join host on host.source = l.source group by 1, 2 having count(distinct d.text) > 10 and count(distinct d.text) > 0.001 * max(host.n)),
     tmpl as (select doc_id, cast(sum(words) as bigint) as n from l join often using (source, line) group by 1),
-    m as (select d.doc_id, len(w) as n_words, coalesce(length(array_to_string(w, '')), 0) as word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, coalesce(dup.n, 0) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words, coalesce(tmpl.n, 0) as n_template
-        from d left join dup using (doc_id) left join rep using (doc_id) left join tmpl using (doc_id))
+    gone as (select l1.doc_id, l1.p from l1 join often using (source, line)),
+    cl as (select l0.doc_id, string_agg(raw, chr(10) order by l0.p) as cleaned from l0 left join gone on gone.doc_id = l0.doc_id and gone.p = l0.p where gone.p is null group by 1),
+    m as (select d.doc_id, len(w) as n_words, coalesce(length(array_to_string(w, '')), 0) as word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) as n_symbols, coalesce(dup.n, 0) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words, coalesce(tmpl.n, 0) as n_template, sha256(coalesce(cl.cleaned, '')) as cleaned_sha256
+        from d left join cl using (doc_id) left join dup using (doc_id) left join rep using (doc_id) left join tmpl using (doc_id))
     select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
         not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and n_words - n_template >= 0.3 * n_words as kept from m"""
 

@@ -145,5 +145,8 @@ def judge_quality(
     x = x.join(found.select(F.col("key").alias("_key"), F.col("host_hash").alias("_host"), "n_template", F.col("found").alias("_found")), "_key", "left")
     x = x.withColumn("n_template", F.coalesce("n_template", F.lit(0).cast("long")))
     kept = ~F.col("base_failed") & (F.col("n_words") - F.col("n_template") >= least_left * F.col("n_words"))
-    drop = F.udf(lambda t, h, f: t if t is None or f is None else _without(t, h, f), "string", useArrow=True)
-    return x.withColumn("kept", kept).select(*own, *names, "base_failed", "n_template", "kept", drop(text, "_host", "_found").alias("cleaned"))
+    # Only texts that lose lines go to Python.
+    hit = F.col("_found").isNotNull()
+    drop = F.udf(lambda t, h, f: None if t is None else _without(t, h, f), "string", useArrow=True)
+    cleaned = F.when(hit, drop(F.when(hit, F.col(text)), "_host", "_found")).otherwise(F.col(text))
+    return x.withColumn("kept", kept).select(*own, *names, "base_failed", "n_template", "kept", cleaned.alias("cleaned"))
