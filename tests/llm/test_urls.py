@@ -68,3 +68,38 @@ def test_one_class_says_nothing(spark, accepted):
     rows = [(t, accepted) for t, _ in LABELLED]
     assert urls.train(spark.createDataFrame(rows, "text string, accepted boolean")).threshold == -np.inf
     assert urls.train(spark.createDataFrame([], "text string, accepted boolean")).threshold == -np.inf
+
+
+def test_shipped_model_is_that_of_plain_counts_of_its_sample(spark, monkeypatch):
+    """The order and names of the query's own model; the sample drops URLs, never some rows of one."""
+    monkeypatch.setitem(globals(), "ORDER", 5)
+    rows = [(f"https://a.com/article/{k % 40}", True) for k in range(120)] + [(f"http://b.org/?ad={k}x", False) for k in range(90)]
+    df = spark.createDataFrame(rows, "text string, accepted boolean")
+    texts = ["https://a.com/article/99", "http://b.org/?ad=3x", "", "x" * 300]
+    whole = urls.train(df)
+    assert np.allclose(whole.score([t.encode() for t in texts]), [plain_score(rows, t) for t in texts])
+    part = urls.train(df, most_urls=25)
+    names = {r.text: r.h for r in df.select("text", urls._drawn("text").alias("h")).distinct().collect()}
+    kept = [r for r in rows if names[r[0]] <= part.cuts[not r[1]]]
+    assert len({t for t, ok in kept if ok}) == 25 == len({t for t, ok in kept if not ok})
+    assert np.allclose(part.score([t.encode() for t in texts]), [plain_score(kept, t) for t in texts])
+    ok = df.where("accepted").select("text").distinct().collect()
+    got = {r.text: r.url_score for r in urls.score(df.where("accepted").distinct(), part, "text", ["text"], left_out=0).collect()}
+    for r in ok:
+        mine = list(kept)
+        if (r.text, True) in mine:
+            mine.remove((r.text, True))
+        assert np.isclose(got[r.text], plain_score(mine, r.text))
+
+
+def test_held_out_accuracy_does_not_need_every_url(spark):
+    """Two kinds of URLs that no single word tells apart; held-out ones are judged by models of all and of a tenth."""
+    import random
+
+    r = random.Random(3)
+    word = lambda kind: "".join(r.choice("aeiou") + r.choice("lmnrst" if kind else "bdgkpz") for _ in range(r.randint(2, 5)))
+    rows = [(f"https://{word(k % 2)}.com/{word(k % 2)}/{r.randrange(999)}", k % 2 == 1) for k in range(3000)]
+    for most in (10_000, 150):
+        model = urls.train(spark.createDataFrame(rows[:2000], "text string, accepted boolean"), most_urls=most)
+        got = model.score([t.encode() for t, _ in rows[2000:]]) >= 0
+        assert np.mean(got == np.array([ok for _, ok in rows[2000:]])) > 0.97

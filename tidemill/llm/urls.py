@@ -57,59 +57,74 @@ def _ngram_slots(urls: list[bytes], order: int, bits: int) -> tuple[list[np.ndar
 
 def _times(of: np.ndarray, value: np.ndarray) -> np.ndarray:
     """For each character, how often its value stands in its own URL."""
-    _, back, n = np.unique((of << 40) + value, return_inverse=True, return_counts=True)
+    _, dense = np.unique(value, return_inverse=True)
+    _, back, n = np.unique(of * (dense.max(initial=0) + 1) + dense, return_inverse=True, return_counts=True)
     return n[back]
 
 
+def _looked_up(keys: np.ndarray, counts: list[np.ndarray], wanted: np.ndarray) -> list[np.ndarray]:
+    """The counts of each wanted key, 0 for those that are not among the sorted keys."""
+    if not len(keys):
+        return [np.zeros(len(wanted)) for _ in counts]
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    hit = keys[at] == wanted
+    return [np.where(hit, c[at], 0) for c in counts]
+
+
 @dataclass
 class UrlModel:
-    """Counts of characters after hashed contexts of 0 to `order` characters, for accepted and rejected URLs.
+    """Counts of characters after contexts of 0 to `order` characters, for accepted and rejected URLs.
 
-    The tables' size is fixed by `bits` and `order`, not by the data: 2 classes x (order + 1) x 2**bits x 128 counts,
-    kept sparse.
+    A context is named by `bits` bits of its hash, 40 of them, so that two of a model's contexts hardly ever share a
+    name. A model has at most a context an order and character of the different URLs it was fitted on.
     """
 
     order: int
     bits: int
-    keys: list[np.ndarray]  # sorted (context slot * 256 + character) by order
-    counts: list[np.ndarray]  # of the two classes
-    totals: list[np.ndarray]  # by context slot, of the two classes
+    keys: list[np.ndarray]  # sorted (context * 256 + character) by order
+    counts: list[list[np.ndarray]]  # of the two classes
+    contexts: list[np.ndarray]  # sorted, by order
+    totals: list[list[np.ndarray]]  # of the two classes
+    cuts: tuple[int, int] = (0, 0)  # of each class, URLs whose hash is at most this are counted
     threshold: float = 0.0
     strength: float = 4.0
 
-    def score(self, urls: list[bytes], left_out: int | None = None) -> np.ndarray:
+    def score(self, urls: list[bytes], left_out: int | None = None, counted: np.ndarray | None = None) -> np.ndarray:
         """Mean log-likelihood difference a character, accepted less rejected; the end counts as a character.
 
-        left_out names the class (0 accepted, 1 rejected) that the URLs were counted in: each is then scored as if
-        it alone had not been counted.
+        left_out names the class (0 accepted, 1 rejected) that the URLs, or those marked as counted, were counted in:
+        each is then scored as if it alone had not been counted.
         """
         if not urls:
             return np.zeros(0)
         slots, chars, of = _ngram_slots(urls, self.order, self.bits)
+        own = np.ones(len(chars)) if counted is None else counted[of].astype(float)
         p = np.full((2, len(chars)), 1 / 256)
         for k, slot in enumerate(slots):
             key = slot * 256 + chars
-            at = np.minimum(np.searchsorted(self.keys[k], key), max(len(self.keys[k]) - 1, 0))
-            hit = (self.keys[k][at] == key) if len(self.keys[k]) else np.zeros(len(key), bool)
-            for c in range(2):
-                count = np.where(hit, self.counts[k][c][at] if len(self.keys[k]) else 0, 0)
-                total = self.totals[k][c][slot]
+            found = zip(_looked_up(self.keys[k], self.counts[k], key), _looked_up(self.contexts[k], self.totals[k], slot), strict=True)
+            for c, (count, total) in enumerate(found):
                 if c == left_out:
-                    count, total = count - _times(of, key), total - _times(of, slot)
+                    count, total = count - _times(of, key) * own, total - _times(of, slot) * own
                 p[c] = (count + self.strength * p[c]) / (total + self.strength)
         gain = np.bincount(of, weights=np.log(p[0]) - np.log(p[1]), minlength=len(urls))
         return gain / np.bincount(of, minlength=len(urls))
 
 
-def train(labelled: DataFrame, order: int = 5, bits: int = 13, keep_accepted: float = 0.95, steps: int = 4096) -> UrlModel:
+def _drawn(text: str) -> Column:
+    """What URLs are sampled by."""
+    return F.xxhash64(text, F.lit(5))
+
+
+def train(labelled: DataFrame, order: int = 5, bits: int = 40, most_urls: int = 20_000, keep_accepted: float = 0.95, steps: int = 4096) -> UrlModel:
     """Fit on (text, accepted) rows and set the threshold.
 
-    Every row is counted: a task adds each block of URLs to its counts by slot before they are shuffled, and the
-    counts are at most 2 x (order + 1) x 2**bits contexts, each with at most 256 characters, whatever the rows. The
-    threshold is the (1 - keep_accepted) quantile of the accepted rows' scores, from a histogram of `steps` steps over
-    all of them, each scored as if it had not been counted itself, if that is below 0; so no more than about that
-    share of accepted URLs is lost. Rows that repeat count, and stand, as often as they are there. Without rows of
-    both kinds the ratio says nothing and all is accepted.
+    Of each class the rows of most_urls different URLs are counted, those with the least hashes, and all rows if there
+    are no more; this documented sample bounds the model, and the driver and the workers that get it, whatever the
+    rows. Contexts are counted whole. The threshold is the (1 - keep_accepted) quantile of the scores of all accepted
+    rows, from a histogram of `steps` steps, each counted one scored as if it had not been counted, if that is below 0;
+    so no more than about that share of accepted URLs is lost. Rows that repeat count, and stand, as often as they are
+    there. Without rows of both kinds the ratio says nothing and all is accepted.
     """
 
     def count(batches):
@@ -126,10 +141,14 @@ def train(labelled: DataFrame, order: int = 5, bits: int = 13, keep_accepted: fl
         for i in range(0, len(key), 10000):
             yield pa.RecordBatch.from_arrays([pa.array(key[i : i + 10000]), pa.array(n[i : i + 10000])], ["key", "n"])
 
-    rows = labelled.select(F.col("text").cast("binary").alias("text"), F.col("accepted").cast("int").alias("accepted"))
+    named = labelled.select("text", "accepted", _drawn("text").alias("h"))
+    least = lambda ok: named.where(F.col("accepted") == ok).select("h").distinct().orderBy("h").limit(most_urls).agg(F.max("h")).first()[0]
+    cuts = tuple(-(1 << 63) if h is None else h for h in (least(True), least(False)))
+    rows = named.where(F.col("h") <= F.when(F.col("accepted"), cuts[0]).otherwise(cuts[1]))
+    rows = rows.select(F.col("text").cast("binary").alias("text"), F.col("accepted").cast("int").alias("accepted"))
     sums = rows.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     key, n = sums["key"].to_numpy(np.int64), sums["n"].to_numpy(np.float64)
-    keys, counts, totals = [], [], []
+    keys, counts, contexts, totals = [], [], [], []
     for k in range(order + 1):
         own = (key >> (bits + 9)) == k
         slot_char = (key[own] >> 1) & ((1 << (bits + 8)) - 1)
@@ -137,8 +156,10 @@ def train(labelled: DataFrame, order: int = 5, bits: int = 13, keep_accepted: fl
         by = [np.bincount(back[(key[own] & 1) == c], weights=n[own][(key[own] & 1) == c], minlength=len(uniq)) for c in (1, 0)]
         keys.append(uniq)
         counts.append(by)
-        totals.append([np.bincount(uniq >> 8, weights=b, minlength=1 << bits) for b in by])
-    model = UrlModel(order, bits, keys, counts, totals)
+        slot, of = np.unique(uniq >> 8, return_inverse=True)
+        contexts.append(slot)
+        totals.append([np.bincount(of, weights=b, minlength=len(slot)) for b in by])
+    model = UrlModel(order, bits, keys, counts, contexts, totals, cuts)
     if min(totals[0][0].sum(), totals[0][1].sum()) == 0:
         model.threshold = -np.inf
         return model
@@ -152,25 +173,29 @@ def train(labelled: DataFrame, order: int = 5, bits: int = 13, keep_accepted: fl
 
 
 def score(rows: DataFrame, model: UrlModel, url: str, keep: list[str], left_out: int | None = None) -> DataFrame:
-    """keep columns and url_score, see UrlModel.score; a null URL is an empty one."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)  # fixed size, see UrlModel
+    """keep columns and url_score, see UrlModel.score; a null URL is an empty one. left_out concerns the URLs that were counted."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # bounded by the sample, see train
     schema = extended(rows.select(*keep).schema, "url_score double")
     n = len(keep)
+    counted = F.lit(False) if left_out is None else _drawn(url) <= model.cuts[left_out]
 
     def apply(batches):
         for batch in pieces(batches):
-            blocks = text_blocks([u or b"" for u in batch.column(n).to_pylist()])
-            got = np.concatenate([np.zeros(0), *(shared.value.score(block, left_out) for block in blocks)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(got, pa.float64())], [*batch.schema.names[:n], "url_score"])
+            got, at = [np.zeros(0)], 0
+            marks = batch.column(n + 1).to_numpy(zero_copy_only=False)
+            for block in text_blocks([u or b"" for u in batch.column(n).to_pylist()]):
+                got.append(shared.value.score(block, left_out, marks[at : at + len(block)]))
+                at += len(block)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(np.concatenate(got), pa.float64())], [*batch.schema.names[:n], "url_score"])
 
-    return rows.select(*keep, F.col(url).cast("binary").alias("_u")).mapInArrow(apply, schema)
+    return rows.select(*keep, F.col(url).cast("binary").alias("_u"), counted.alias("_counted")).mapInArrow(apply, schema)
 
 
 def filter_urls(pages: DataFrame, rules=RULES, url: str = "url", **fit) -> DataFrame:
     """All rows of pages with host, path, rule, url_score and verdict (allow or block).
 
     The longest fitting rule decides. Where none fits, the language models do, which are trained on all the URLs
-    that a rule decides: allow if the score is at least the threshold. The models read the whole URL, scheme, query
+    that a rule decides, or a sample of them (see train): allow if the score is at least the threshold. The models read the whole URL, scheme, query
     and fragment included. A null URL has an empty host and path and scores as an empty text. Columns of pages with the added names are replaced.
     """
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "url_score", "verdict", "_says", "_text")]
