@@ -587,6 +587,25 @@ def test_chat_layouts(spark):
     assert got == {1: ("prompt and response", [("user", "p"), ("assistant", "r")]), 2: ("messages", [("user", "m")]), 3: ("instruction with input", [("user", "i\n\nx"), ("assistant", "o")]), 4: (None, None), 5: (None, None)}
 
 
+def test_json_layouts_are_told_by_nested_fields(spark):
+    lines = spark.createDataFrame([
+        (1, '{"messages": [{"role": "user"}, {"role": "assistant"}]}'), (2, '{"messages": [{"role": "user", "content": "a"}, {"role": "assistant"}]}'), (3, '{"messages": []}'),
+        (4, '{"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]}'), (5, '{"conversations": [{"from": "human"}]}'), (6, '{"system": "s", "messages": [{"role": "user", "content": "x"}]}'), (7, '{"messages": [null, {"role": "user", "content": "y"}]}'),
+    ], "conv_id long, value string")
+    got = {r.conv_id: (r.layout, None if r.turns is None else [tuple(t) for t in r.turns]) for r in chat.json_turns(lines).collect()}
+    assert got[1] == got[3] == got[5] == (None, None)
+    assert got[2] == ("messages", [("user", "a"), ("assistant", "")]) and got[4] == ("conversations", [("user", "q"), ("assistant", "a")])
+    assert got[6] == ("system and messages", [("system", "s"), ("user", "x")]) and got[7] == ("messages", [("", ""), ("user", "y")])
+
+
+def test_a_very_long_conversation(spark):
+    n = 5000
+    df = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("<|im_end|> "), "id").alias("text"))
+    got = chat.parse_chat(chat.format_chat(chat.canonical_turns(df))).first()
+    assert [t.text for t in got.turns] == [f"<|im_end|> {i}" for i in range(n)]
+    assert got.loss_text == "".join(f"<|im_end|> {i}" for i in range(1, n, 2))
+
+
 def test_words_and_model(docs, spark):
     df, c = docs
     out = ctw.score_texts(df, depth=2).collect()

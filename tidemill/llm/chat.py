@@ -100,12 +100,21 @@ def canonical_turns(df: DataFrame, conv_id: str = "conv_id") -> DataFrame:
 def json_turns(lines: DataFrame, column: str = "value", conv_id: str = "conv_id") -> DataFrame:
     """As canonical_turns, but each row is a JSON text with a layout of its own: (conv_id, layout, turns).
 
-    A record is parsed into the union of all layouts; the field paths it fills are hashed and select the mapping.
-    Records that don't parse, or whose layout has no mapping, have a null layout and turns.
+    A record is parsed into the union of all layouts; the field paths it fills, nested ones as well, are hashed and
+    select the mapping: messages of which none has a content are no messages. Records that don't parse, or whose layout has no mapping, have a null layout and turns.
     """
     union = "prompt string, response string, completion string, question string, answer string, instruction string, input string, output string, system string, messages array<struct<role:string,content:string>>, conversations array<struct<`from`:string,value:string>>"
     x = lines.withColumn("_r", F.from_json(column, union)).select(conv_id, "_r.*")
-    leaf = {p: F.col(p.split("[")[0].split(":")[0]).isNotNull() for m in MAPPINGS if m.order is None for p in m.paths}
+
+    def filled(path: str) -> Column:
+        """Whether the record has a value there; in a list, whether any element has."""
+        name = path.split(":")[0]
+        if "[]." not in name:
+            return F.col(name).isNotNull()
+        items, field = name.split("[].")
+        return F.coalesce(F.exists(items, lambda m: m[field].isNotNull()), F.lit(False))
+
+    leaf = {p: filled(p) for m in MAPPINGS if m.order is None for p in m.paths}
     seen = F.array_compact(F.array(*(F.when(have, F.lit(p)) for p, have in sorted(leaf.items()))))
     x = x.withColumn("_fp", F.substring(F.sha2(F.array_join(seen, "\n"), 256), 1, 16))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(_TURNS)
