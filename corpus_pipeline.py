@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import jaccard, mixing, packing, quality, substrings
@@ -22,9 +22,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates stays: the one with the smallest id, then the least text hash."""
-    first = Window.partitionBy("component_label").orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"))
-    return jaccard.similar_documents(docs).withColumn("_at", F.row_number().over(first)).where("_at = 1").select(*_COLUMNS)
+    """One row of each group of near duplicates stays: the one with the smallest id, then the least text hash.
+
+    Each task keeps the least row of each group it meets before any are shuffled, so a large group is nobody's burden.
+    """
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "lang", "source", "n_chars")
+    x = jaccard.similar_documents(docs).groupBy("component_label").agg(F.min_by(F.struct(*_COLUMNS), order).alias("row"))
+    return x.select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
