@@ -227,7 +227,7 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int, scratc
     return x.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
-def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), rounds: int = 2, exact: bool = False, shares: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), rounds: int = 2, exact: bool = False, shares: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of docs with n_shingles, component_id and component_label: the smallest id reachable by links of Jaccard >= percent, and the component's own name, which null or repeated ids don't blur.
 
     Equal sets are one node. Sets that share a segment key of their size band are candidates. Keys that many sets
