@@ -42,8 +42,7 @@ def since_watermark(mart: DataFrame, days: int = 35, date: str = "trading_date",
 
     among is a frame with the same newest date that is cheaper to read, such as the bars behind a computed mart.
     """
-    top = (mart if among is None else among).agg(F.date_sub(F.max(date), days).alias("_from"))
-    return mart.join(F.broadcast(top), F.col(date) >= F.col("_from")).drop("_from")
+    return mart.where(F.col(date) >= (mart if among is None else among).agg(F.date_sub(F.max(date), days)).scalar())
 
 
 def breadth_counts(close: str = "close", open_: str = "open") -> list[Column]:

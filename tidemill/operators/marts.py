@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.storage import materialize
+
 from . import clean, facts
 from . import indicators as ind
 
 
 def newest_session(df: DataFrame, date: str = "trading_date", among: DataFrame | None = None) -> DataFrame:
-    """Rows of the newest date, by one broadcast row.
+    """Rows of the newest date, by a scalar subquery, which unlike a join reaches the scan behind an aggregate by date.
 
     among is a frame with the same newest date that is cheaper to read, such as the bars behind a computed table.
     """
-    return df.join(F.broadcast((df if among is None else among).agg(F.max(date).alias(date))), date)
+    return df.where(F.col(date) == (df if among is None else among).agg(F.max(date)).scalar())
 
 
 def price_board(daily: DataFrame, live: DataFrame, stocks: DataFrame, among: DataFrame | None = None) -> DataFrame:
@@ -36,9 +38,11 @@ def candle_series(daily: DataFrame, ticker: str, last: int) -> DataFrame:
 def market_overview(daily: DataFrame, stocks: DataFrame, top: int = 5, among: DataFrame | None = None) -> DataFrame:
     """(section, name, value) of the newest session: breadth, totals, gainers, losers, most traded, sectors.
 
-    The three rankings are one pass, whose tasks keep `top` rows of each before they are shuffled.
+    The newest session is worked out once, as a small table; all sections read that. The three rankings are one pass,
+    whose tasks keep `top` rows of each before they are shuffled.
     """
-    x = newest_session(daily, among=among).join(stocks.select("ticker", "exchange", "sector_id"), "ticker", "left")
+    x = newest_session(daily, among=among).join(stocks.select("ticker", "sector_id"), "ticker", "left")
+    x = materialize(x.select("ticker", "sector_id", "price_change", "pct_change", "value"), "session")
     totals = x.agg(
         F.count_if(F.col("price_change") > 0).cast("double").alias("advancers"), F.count_if(F.col("price_change") < 0).cast("double").alias("decliners"),
         F.count_distinct("ticker").cast("double").alias("tickers"), F.sum("value").alias("value"),
@@ -142,6 +146,111 @@ def consumer_lag(offsets: DataFrame) -> DataFrame:
     return offsets.groupBy("topic").agg(F.count("*").alias("partitions"), F.sum(lag).alias("lag"))
 
 
+def topped(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
+    """K2, K3, K7: the first n rows; each task keeps n of its own before they meet."""
+    return df.orderBy(*order).limit(n)
+
+
+def extremes(df: DataFrame, value: str, n: int = 8, key: str = "ticker") -> DataFrame:
+    """K7: the n rows with the highest and the n with the lowest known value, under `side`."""
+    x = df.where(F.col(value).isNotNull())
+    high = topped(x, n, F.desc(value), key).withColumn("side", F.lit("high"))
+    return high.unionByName(topped(x, n, F.asc(value), key).withColumn("side", F.lit("low")))
+
+
+def busiest_series(df: DataFrame, last: int, key: str = "ticker", time: str = "date") -> DataFrame:
+    """K4, K6, K9: the last rows, in order, of the key that has most rows; ties go to the smaller key."""
+    top = topped(df.groupBy(key).agg(F.count("*").alias("_n")), 1, F.desc("_n"), key).select(key)
+    return topped(df.join(F.broadcast(top), key, "left_semi"), last, F.desc(time)).orderBy(time)
+
+
+def rows_per_date(df: DataFrame, days: int = 14, date: str = "date") -> DataFrame:
+    """Rows of each of the last days."""
+    return facts.since_watermark(df, days, date).groupBy(date).agg(F.count("*").alias("n"))
+
+
+def table_totals(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """One row a table: its rows and newest date."""
+    out = None
+    for name, (df, date) in tables.items():
+        one = facts.total(df, name, date)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def session_stats(bars: DataFrame, lot: int = 1000, key: str = "ticker") -> DataFrame:
+    """Sessions, volume, extremes and traded value of each key."""
+    return bars.groupBy(key).agg(F.count("*").alias("sessions"), F.sum("volume").alias("volume"), F.max("high").alias("high"), F.min("low").alias("low"), F.sum(F.col("close") * F.col("volume") * lot).alias("traded"))
+
+
+def signal_counts(daily: DataFrame, multiple: float = 1.5, key: str = "ticker") -> DataFrame:
+    """Extremes and how often each key showed which signal."""
+    return daily.groupBy(key).agg(
+        F.max("high").alias("high"), F.min("low").alias("low"), F.count_if(F.col("rsi_14") > 70).alias("overbought"), F.count_if(F.col("rsi_14") < 30).alias("oversold"),
+        F.count_if(F.col("close") > F.col("bb_upper")).alias("breakout"), F.count_if(F.col("volume") > multiple * F.coalesce("volume_sma_20", "volume")).alias("volume_spike"),
+    )
+
+
+def daily_means(index: DataFrame, sentiment: DataFrame, top: DataFrame, n: int = 10) -> DataFrame:
+    """(part, name, day, value): each index's mean close a day, the mean sentiment a day, and the n keys of the largest traded value."""
+    day = lambda df, part, name, date, value: df.select(F.lit(part).alias("part"), name.alias("name"), F.col(date).alias("day"), F.col(value).alias("value"))
+    i = day(index.groupBy("index_id", "trading_date").agg(F.avg("close_point").alias("v")), "index", F.col("index_id"), "trading_date", "v")
+    s = day(sentiment.groupBy("news_date").agg(F.avg("avg_sentiment_score").alias("v")), "sentiment", F.lit("all"), "news_date", "v")
+    t = topped(top.groupBy("ticker").agg(F.max("value").alias("v")), n, F.desc("v"), "ticker").withColumn("_d", F.lit(None).cast("date"))
+    return i.unionByName(s).unionByName(day(t, "traded", F.col("ticker"), "_d", "v"))
+
+
+def stock_list(stocks: DataFrame, priced: DataFrame) -> DataFrame:
+    """The stocks with whether any price row has their ticker."""
+    have = priced.select("ticker").distinct().withColumn("has_price_data", F.lit(True))
+    return stocks.select("ticker", "exchange").join(have, "ticker", "left").withColumn("has_price_data", F.coalesce("has_price_data", F.lit(False)))
+
+
+def index_block(index: DataFrame, last: int = 30) -> DataFrame:
+    """Each index's newest session with change and breadth, and its last closes in order as one array of (day, value).
+
+    Only the rows that a task's own last ones leave meet, at most `last` an index and task.
+    """
+    w = Window.partitionBy("index_id").orderBy(F.desc("trading_date"))
+    x = index.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= last)
+    newest = lambda c: F.max_by(c, "trading_date").alias(c)
+    return x.groupBy("index_id").agg(
+        F.max("trading_date").alias("trading_date"), *map(newest, ("close_point", "point_change", "pct_change", "total_value", "total_volume", "advance_count", "decline_count", "unchanged_count")),
+        F.array_sort(F.collect_list(F.struct(F.col("trading_date").alias("day"), F.col("close_point").alias("value")))).alias("history"),
+    )
+
+
+def vwap_board(vwap: DataFrame, far: float = 2.0) -> DataFrame:
+    """Each ticker's newest price, VWAPs and deviation in the newest session, its volume there, and how often it was far off, above and below."""
+    d = F.col("price_vs_session_vwap_pct")
+    at = F.struct("minute_ts", "data_source")
+    last = lambda c: F.max_by(c, at).alias(c)
+    x = newest_session(vwap)
+    return x.groupBy("ticker").agg(
+        *map(last, ("close", "vwap_1m", "session_vwap", "price_vs_session_vwap_pct", "minute_ts")), F.sum("volume").alias("volume"),
+        F.count_if(F.abs(d) >= far).alias("far"), F.count_if(d > 0).alias("above"), F.count_if(d < 0).alias("below"),
+    )
+
+
+def vwap_series(vwap: DataFrame, tickers: DataFrame) -> DataFrame:
+    """The newest session's minutes of the given tickers: price, both VWAPs, volume and deviation."""
+    x = newest_session(vwap.join(tickers.select("ticker").distinct(), "ticker", "left_semi"), among=vwap)
+    return x.select("ticker", "data_source", "minute_ts", F.col("close").alias("price"), "vwap_1m", "session_vwap", "volume", F.col("price_vs_session_vwap_pct").alias("deviation"))
+
+
+def article_list(detail: DataFrame, stocks: DataFrame, as_of: Column, days: int = 7, most: int = 120, tickers: DataFrame | None = None) -> DataFrame:
+    """The articles of the last days, newest judged first, at most `most` of them; with tickers, so many of each of these."""
+    x = detail.where(F.col("published_at") >= F.date_sub(as_of, days))
+    order = (F.desc("inferred_at"), F.col("article_id"), F.col("ticker"))
+    if tickers is None:
+        x = topped(x, most, *order)
+    else:
+        w = Window.partitionBy("ticker").orderBy(*order)
+        x = x.join(tickers.select("ticker").distinct(), "ticker", "left_semi").withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")
+    x = x.join(stocks.select("ticker", "company_name"), "ticker", "left")
+    return x.withColumn("name", F.coalesce(F.nullif("company_name", F.lit("")), "ticker")).drop("company_name")
+
+
 def ranked(df: DataFrame, by: str, order: Column, n: int) -> DataFrame:
     """Top n rows of each group."""
     w = Window.partitionBy(by).orderBy(order)

@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from . import continuous, layers, prices, realtime, text  # noqa: F401
+from . import boards, continuous, layers, prices, realtime, text  # noqa: F401

@@ -42,7 +42,7 @@ def _watch_rules(spark: SparkSession, tickers: DataFrame) -> DataFrame:
     return alerts.expand_rules(rules, tickers, own)
 
 
-@query(_recursive(TICKS, f"""universe as (select distinct ticker from ticks),
+_WATCHED = _recursive(TICKS, f"""universe as (select distinct ticker from ticks),
     rules as (select r.alert_id, r.user_id, u.ticker, r.condition_type, cast(r.threshold_value as double) as t, r.channel, r.cooldown_minutes as c from (values {_WATCH}) r({_NAMES}) join universe u
         on r.ticker = 'ALL' or (r.ticker = 'WATCHLIST' and cast(substr(u.ticker, 2) as integer) % 3 = 0) or upper(r.ticker) = u.ticker),
     m as (select *, sum(price * volume) over s / sum(volume) over s as v from ticks window s as (partition by ticker, cast(trade_ts as date) order by trade_ts, seq rows unbounded preceding)),
@@ -58,7 +58,10 @@ def _watch_rules(spark: SparkSession, tickers: DataFrame) -> DataFrame:
         from r join g on g.user_id = r.user_id and g.ticker = r.ticker and g.condition_type = r.condition_type and g.channel = r.channel and g.n = r.n + 1,
         lateral (select case when g.k = r.k then r.held else r.last end as before, (case when g.k = r.k then r.held else r.last end) is null or (case when g.k = r.k then r.held else r.last end) < g.trade_ts - g.c * interval 1 minute as quiet) q)
     select g.alert_id, g.user_id, g.ticker, g.condition_type, g.channel, g.trade_ts as triggered_at, g.seq, g.t as threshold_value, round(g.x, 4) as actual_value
-    from r join g on g.user_id = r.user_id and g.ticker = r.ticker and g.condition_type = r.condition_type and g.channel = r.channel and g.n = r.n where r.keep"""))
+    from r join g on g.user_id = r.user_id and g.ticker = r.ticker and g.condition_type = r.condition_type and g.channel = r.channel and g.n = r.n where r.keep""")
+
+
+@query(_WATCHED)
 def r3_r5_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ticks come in three parts by time; the stream stops after each and goes on from its checkpoint. Two closing ticks pass the delay."""
     source, path, checkpoint = (new_folder(spark, n) for n in ("watched", "alert-events", "alert-checkpoint"))

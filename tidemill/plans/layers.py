@@ -139,7 +139,7 @@ def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(NEWS, _DETAIL) + "select article_id, ticker, published_at, source, title, cast(match_score as integer) as match_score, sentiment_label, round(sentiment_score, 6) as sentiment_score, round(confidence_score, 6) as confidence_score, model_version from detail")
 def n12_n14_sentiment_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = nw.publishable(_detail(spark, sf_dir))
+    x = nw.publishable(_detail(spark, sf_dir)).drop("inferred_at")
     return rounded(x.withColumn("match_score", F.col("match_score").cast("int")), 6, "sentiment_score", "confidence_score")
 
 
