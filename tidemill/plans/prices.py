@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators import clean, dedup, dims, facts
+from tidemill.operators import clean, dedup, dims, facts, marts
 from tidemill.operators import indicators as ind
 
 from .adapters import BARS, INDEX_BARS, PROFILES, daily_bars, index_bars, profiles, rounded as _round, sql_rounds as _roundsql, table, with_
@@ -30,9 +30,6 @@ i as (
 _P = "p as (select * from bars)"
 _RSI = "case when l = 0 then 100 else 100 - 100 / (1 + g / l) end"
 
-
-
-
 _M12 = ("sma_20", "bb_upper", "bb_lower", "rsi_14", "volume_sma_20", "price_change", "pct_change")
 
 
@@ -212,8 +209,7 @@ def p18_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(BARS) + "select ticker, count(*) as sessions, cast(sum(volume) as bigint) as volume, round(max(high), 4) as high, round(min(low), 4) as low, round(sum(close * volume * 1000), 0) as traded from bars group by 1")
 def a20_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = daily_bars(spark, sf_dir).groupBy("ticker").agg(F.count("*").alias("sessions"), F.sum("volume").alias("volume"), F.max("high").alias("high"), F.min("low").alias("low"), F.sum(F.col("close") * F.col("volume") * 1000).alias("traded"))
-    return _round(_round(x, 4, "high", "low"), 0, "traded")
+    return _round(_round(marts.session_stats(daily_bars(spark, sf_dir)), 4, "high", "low"), 0, "traded")
 
 
 @query(with_(BARS, PROFILES) + """select exchange, sector_name, round(avg((close - open) / open * 100), 4) as avg_pct, round(sum(close * volume), 2) as traded, count(distinct ticker) as tickers
@@ -226,52 +222,41 @@ def a8_a9_sector_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(BARS) + "select date, count(*) as n from bars where date >= (select max(date) - 14 from bars) group by 1")
 def a16_rows_per_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.since_watermark(daily_bars(spark, sf_dir), 14, "date").groupBy("date").agg(F.count("*").alias("n"))
+    return marts.rows_per_date(daily_bars(spark, sf_dir))
 
 
 @query("""select 'lineitem' as table_name, count(*) as rows, cast(max(l_shipdate) as date) as newest from lineitem
     union all select 'orders', count(*), cast(max(o_orderdate) as date) from orders union all select 'events', count(*), cast(max(ts) as date) from events""")
 def a17_u2_table_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = None
-    for name, date in (("lineitem", "l_shipdate"), ("orders", "o_orderdate"), ("events", "ts")):
-        one = facts.total(table(spark, sf_dir, name), name, date)
-        x = one if x is None else x.unionByName(one)
-    return x
+    dates = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
+    return marts.table_totals({name: (table(spark, sf_dir, name), date) for name, date in dates.items()})
 
 
 @query(with_(BARS) + "select ticker, round(max(close * volume), 2) as traded from bars group by 1 order by 2 desc, 1 limit 10")
 def a19_k2_top_traded(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = daily_bars(spark, sf_dir).groupBy("ticker").agg(F.max(F.col("close") * F.col("volume")).alias("traded"))
-    return _round(x.orderBy(F.desc("traded"), "ticker").limit(10), 2, "traded")
+    return _round(marts.topped(x, 10, F.desc("traded"), "ticker"), 2, "traded")
 
 
 @query(with_(BARS, _P, _IND) + """select ticker, date, round(pct_change, 4) as pct_change from
     (select *, abs(pct_change) as m from i where date = (select max(date) from bars)) order by m desc, ticker limit 8""")
 def k3_top_movers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = ind.price_indicators(daily_bars(spark, sf_dir))
-    top = x.agg(F.max("date").alias("date"))
-    x = x.join(F.broadcast(top), "date").orderBy(F.abs("pct_change").desc(), "ticker").limit(8)
-    return _round(x.select("ticker", "date", "pct_change"), 4, "pct_change")
+    x = marts.newest_session(ind.price_indicators(daily_bars(spark, sf_dir)), "date", among=daily_bars(spark, sf_dir))
+    return _round(marts.topped(x, 8, F.abs("pct_change").desc(), "ticker").select("ticker", "date", "pct_change"), 4, "pct_change")
 
 
 @query(with_(BARS) + """select ticker, date, round(close, 4) as close from bars where ticker = (select ticker from bars group by 1 order by count(*) desc, ticker limit 1)
     order by date desc limit 126""")
 def k4_k6_k9_busiest_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = daily_bars(spark, sf_dir)
-    top = b.groupBy("ticker").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ticker").limit(1).select("ticker")
-    x = b.join(F.broadcast(top), "ticker", "left_semi").orderBy(F.desc("date")).limit(126).orderBy("date")
-    return _round(x.select("ticker", "date", "close"), 4, "close")
+    return _round(marts.busiest_series(daily_bars(spark, sf_dir), 126).select("ticker", "date", "close"), 4, "close")
 
 
 @query(with_(BARS, _P, _IND) + """, x as (select * from i where rsi_14 is not null and date = (select max(date) from bars))
     select 'high' as side, ticker, round(rsi_14, 4) as rsi_14 from (select * from x order by rsi_14 desc, ticker limit 8)
-    union all select 'low', ticker, round(rsi_14, 4) from (select * from x order by rsi_14, ticker limit 8)""".replace(", x as", ", x as", 1))
+    union all select 'low', ticker, round(rsi_14, 4) from (select * from x order by rsi_14, ticker limit 8)""")
 def k7_top_rsi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = ind.price_indicators(daily_bars(spark, sf_dir))
-    x = x.join(F.broadcast(x.agg(F.max("date").alias("date"))), "date").where("rsi_14 is not null").select("ticker", "rsi_14")
-    high = x.orderBy(F.desc("rsi_14"), "ticker").limit(8).withColumn("side", F.lit("high"))
-    low = x.orderBy("rsi_14", "ticker").limit(8).withColumn("side", F.lit("low"))
-    return _round(high.unionByName(low).select("side", "ticker", "rsi_14"), 4, "rsi_14")
+    x = marts.newest_session(ind.price_indicators(daily_bars(spark, sf_dir)), "date", among=daily_bars(spark, sf_dir))
+    return _round(marts.extremes(x, "rsi_14").select("side", "ticker", "rsi_14"), 4, "rsi_14")
 
 
 @query(with_(BARS) + """select row_number() over (order by date desc, ticker) as row_id, ticker, date from bars where date = (select max(date) from bars)""")
@@ -291,18 +276,13 @@ def w8_w9_trailing_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(BARS, PROFILES) + """select p.ticker, p.exchange, b.ticker is not null as has_price_data from profiles p left join (select distinct ticker from bars) b on p.ticker = b.ticker""")
 def m18_stock_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = daily_bars(spark, sf_dir).select("ticker").distinct().withColumn("has_price_data", F.lit(True))
-    return profiles(spark, sf_dir).select("ticker", "exchange").join(priced, "ticker", "left").withColumn("has_price_data", F.coalesce("has_price_data", F.lit(False)))
+    return marts.stock_list(profiles(spark, sf_dir), daily_bars(spark, sf_dir))
 
 
 @query(with_(BARS, _P, _IND) + """select ticker, round(max(high), 4) as high, round(min(low), 4) as low, count(*) filter (rsi_14 > 70) as overbought, count(*) filter (rsi_14 < 30) as oversold,
     count(*) filter (close > bb_upper) as breakout, count(*) filter (volume > 1.5 * coalesce(volume_sma_20, volume)) as volume_spike from i group by 1""")
 def a21_signal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = ind.price_indicators(daily_bars(spark, sf_dir)).groupBy("ticker").agg(
-        F.max("high").alias("high"), F.min("low").alias("low"), F.count_if(F.col("rsi_14") > 70).alias("overbought"), F.count_if(F.col("rsi_14") < 30).alias("oversold"),
-        F.count_if(F.col("close") > F.col("bb_upper")).alias("breakout"), F.count_if(F.col("volume") > 1.5 * F.coalesce("volume_sma_20", "volume")).alias("volume_spike"),
-    )
-    return _round(x, 4, "high", "low")
+    return _round(marts.signal_counts(ind.price_indicators(daily_bars(spark, sf_dir))), 4, "high", "low")
 
 
 @query(with_(BARS, PROFILES) + """select exchange, sector_name, row_number() over (partition by exchange order by volume desc, sector_name) as place, volume from (
