@@ -21,6 +21,30 @@ def test_drifting_sources_unite(spark, tmp_path):
     assert rows(x.select("ticker", "date", "close", "volume", "open"), "ticker") == [("A", D(2024, 1, 1), 1.5, None, None), ("B", D(2024, 1, 2), 2.0, 7, None)]
 
 
+def test_many_drifting_paths_are_one_scan_a_layout(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    kinds = [{"Symbol": "A", "Close": "1.5"}, {"ticker": "B", "close": 2.0}, {"ticker": "C", "close": 3.0, "vol": 7}]
+    paths = []
+    for i in range(600):
+        where = tmp_path / f"day={i}"
+        where.mkdir()
+        pq.write_table(pa.table({k: [v] for k, v in kinds[i % 3].items()}), where / "part-0.parquet")
+        (where / "_SUCCESS").write_text("")
+        paths.append(str(where) if i % 2 else f"file://{where}/part-0.parquet")
+    read, calls = type(spark.read).parquet, []
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *p, **k: calls.append(p) or read(self, *p, **k))
+    x = tables.read_drifting(spark, paths, SILVER_OHLCV, clean.OHLCV_ALIASES)
+    assert len(calls) == 3 and sorted(p for c in calls for p in c) == sorted(paths)
+    got = x.groupBy("ticker").agg(F.count("*").alias("n"), F.sum("close").alias("c"), F.sum("volume").alias("v"))
+    assert rows(got, "ticker") == [("A", 200, 300.0, None), ("B", 200, 400.0, None), ("C", 200, 600.0, 1400)]
+    with pytest.raises(ValueError):
+        tables.read_drifting(spark, [], SILVER_OHLCV)
+    (tmp_path / "empty").mkdir()
+    assert tables.path_layouts(spark, [paths[1], "nosuch://x/y", str(tmp_path / "empty")]) == [[paths[1]], ["nosuch://x/y"], [str(tmp_path / "empty")]]
+
+
 def test_monthly_write_replaces_touched_months_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     x = spark.createDataFrame([("A", D(2024, 1, 1), 1), ("A", D(2024, 2, 1), 2)], "ticker string, date date, v int")

@@ -12,16 +12,51 @@ from tidemill.operators import clean
 from tidemill.schemas import conform, may_overwrite
 
 
+def _layout(path: str) -> str | None:
+    """The columns and types in the footer of a Parquet file, or of the first one in a folder; null if only Spark can read there."""
+    import pyarrow.fs as pf
+    import pyarrow.parquet as pq
+
+    try:
+        fs, where = pf.FileSystem.from_uri(path)
+    except (ValueError, OSError, NotImplementedError):
+        return None
+    info = fs.get_file_info(where)
+    if info.type == pf.FileType.NotFound:
+        return None
+    if info.type == pf.FileType.Directory:
+        hidden = lambda f: any(part[0] in "._" for part in f.path[len(where) :].split("/") if part)
+        files = sorted(f.path for f in fs.get_file_info(pf.FileSelector(where, recursive=True)) if f.is_file and not hidden(f))
+        if not files:
+            return None
+        where = files[0]
+    return str(pq.read_schema(where, filesystem=fs).remove_metadata())
+
+
+def path_layouts(spark: SparkSession, paths: Sequence[str], rows_each: int = 64) -> list[list[str]]:
+    """IO1: the paths by their columns and types, in order of their first path.
+
+    Footers are read by tasks, rows_each of them a task, and grouped there; a path in a store that tasks can't open
+    by themselves is a layout of its own, found when it is read.
+    """
+
+    def read(batches):
+        for pdf in batches:
+            yield pdf.assign(layout=[_layout(p) for p in pdf["path"]])
+
+    x = spark.createDataFrame(list(enumerate(paths)), "at bigint, path string").repartition(-(-len(paths) // rows_each) or 1)
+    x = x.mapInPandas(read, "at bigint, path string, layout string")
+    x = x.groupBy(F.coalesce("layout", F.concat(F.lit("?"), "at"))).agg(F.array_sort(F.collect_list(F.struct("at", "path"))).alias("p"))
+    return [[p.path for p in r.p] for r in sorted(x.select("p").collect(), key=lambda r: r.p[0]["at"])]
+
+
 def read_drifting(spark: SparkSession, paths: Sequence[str], schema: str | T.StructType, aliases: dict[str, str] | None = None) -> DataFrame:
     """IO1, IO2, U1: sources whose columns drift, cleaned and cast to the contract, then united by name.
 
-    Paths of equal columns are one scan, so the plan grows with the number of layouts and not of days.
+    Paths of equal columns are one scan, so plan and driver work grow with the number of layouts and not of days.
     """
-    layouts: dict[str, list[str]] = {}
-    for path in paths:
-        layouts.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
     out = None
-    for same in layouts.values():
+    for same in path_layouts(spark, paths) if paths else []:
         x = conform(clean.apply_aliases(clean.normalize_names(spark.read.parquet(*same)), aliases or {}), schema)
         out = x if out is None else out.unionByName(x, allowMissingColumns=True)
     if out is None:
