@@ -220,12 +220,17 @@ def index_block(index: DataFrame, last: int = 30) -> DataFrame:
     )
 
 
-def vwap_board(vwap: DataFrame, far: float = 2.0) -> DataFrame:
-    """Each ticker's newest price, VWAPs and deviation in the newest session, its volume there, and how often it was far off, above and below."""
+def distinct_values(df: DataFrame, by: str, of: str, name: str) -> DataFrame:
+    """The sorted different values of a column for each key."""
+    return df.groupBy(by).agg(F.array_sort(F.collect_set(of)).alias(name))
+
+
+def vwap_board(vwap: DataFrame, far: float = 2.0, all_sessions: bool = False) -> DataFrame:
+    """Each ticker's newest price, VWAPs and deviation in the newest session, or in all of them, its volume there, and how often it was far off, above and below."""
     d = F.col("price_vs_session_vwap_pct")
     at = F.struct("minute_ts", "data_source")
     last = lambda c: F.max_by(c, at).alias(c)
-    x = newest_session(vwap)
+    x = vwap if all_sessions else newest_session(vwap)
     return x.groupBy("ticker").agg(
         *map(last, ("close", "vwap_1m", "session_vwap", "price_vs_session_vwap_pct", "minute_ts")), F.sum("volume").alias("volume"),
         F.count_if(F.abs(d) >= far).alias("far"), F.count_if(d > 0).alias("above"), F.count_if(d < 0).alias("below"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators import alerts, clean, dedup, facts, quality
+from tidemill.operators import alerts, clean, dedup, facts, marts, quality
 from tidemill.operators import indicators as ind
 
 from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
@@ -78,13 +78,13 @@ def d4_latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(TICKS, _STATES) + "select data_source, list_sort(list(distinct ticker)) as tickers from states group by 1")
 def a13_distinct_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hours(spark, sf_dir).groupBy("data_source").agg(F.array_sort(F.collect_set("ticker")).alias("tickers"))
+    return marts.distinct_values(_hours(spark, sf_dir), "data_source", "ticker", "tickers")
 
 
 @query(with_(TICKS, _STATES, _VWAP) + f"""select ticker, round(last({_DEV} order by minute_ts, data_source), 4) as deviation, count(*) filter (abs({_DEV}) >= 2) as far, count(*) filter ({_DEV} > 0) as above, count(*) filter ({_DEV} < 0) as below from vwap group by 1""")
 def m21_a10_vwap_board(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = F.col("price_vs_session_vwap_pct")
-    x = _vwap(spark, sf_dir).groupBy("ticker").agg(F.max_by(d, F.struct("minute_ts", "data_source")).alias("deviation"), F.count_if(F.abs(d) >= 2).alias("far"), F.count_if(d > 0).alias("above"), F.count_if(d < 0).alias("below"))
+    x = marts.vwap_board(_vwap(spark, sf_dir), all_sessions=True)
+    x = x.select("ticker", F.col("price_vs_session_vwap_pct").alias("deviation"), "far", "above", "below")
     return rounded(x, 4, "deviation")
 
 
@@ -95,8 +95,6 @@ def m21_a10_vwap_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     select ticker, ts as bucket_ts, close, volume, round(rsi, 4) as rsi_14, round(up, 4) as bb_upper, case when close > up then 'breakout' when close < lo then 'breakdown' when rsi > 70 then 'overbought' when rsi < 30 then 'oversold' else 'volume_spike' end as signal
     from f where rsi > 70 or rsi < 30 or close > up or close < lo or volume > 1.5 * vs""")
 def m23_intraday_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemill.operators import marts
-
     return rounded(marts.intraday_scan(_preferred(spark, sf_dir).withColumnRenamed("minute_ts", "bucket_ts")).select("ticker", "bucket_ts", "close", "volume", "rsi_14", "bb_upper", "signal"), 4, "rsi_14", "bb_upper")
 
 
