@@ -142,7 +142,9 @@ def judge_quality(
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") > most_repeat * F.col("n_words"))
     x = x.withColumn("base_failed", failed)
     found = template_words(docs, doc_id=doc_id, host=host, text=text, **limits)
-    x = x.join(found.select(F.col("key").alias("_key"), F.col("host_hash").alias("_host"), "n_template", F.col("found").alias("_found")), "_key", "left")
+    # Dealt by key at every size: what is found grows with the documents, so the plan shouldn't change on the way.
+    found = found.select(F.col("key").alias("_key"), F.col("host_hash").alias("_host"), "n_template", F.col("found").alias("_found"))
+    x = x.join(found.hint("merge"), "_key", "left")
     x = x.withColumn("n_template", F.coalesce("n_template", F.lit(0).cast("long")))
     kept = ~F.col("base_failed") & (F.col("n_words") - F.col("n_template") >= least_left * F.col("n_words"))
     # Only texts that lose lines go to Python.
