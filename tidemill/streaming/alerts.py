@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,23 +19,22 @@ from .ticks import _into
 
 #: What a cooldown is kept for: all alerts of a user on a ticker that watch for one thing and report one way.
 KEY = ["user_id", "ticker", "condition_type", "channel"]
-#: Conditions that a tick stream alone can decide; others need the daily context.
-CONDITIONS = ("PRICE_ABOVE", "PRICE_BELOW", "STOP_LOSS", "TAKE_PROFIT", "VWAP_DEVIATION", "VWAP_CROSS_UP", "VWAP_CROSS_DOWN")
-
 _EVENT = "user_id string, ticker string, condition_type string, channel string, alert_id string, triggered_us bigint, seq bigint, threshold_value double, actual_value double"
 _STATE = "day int, value double, volume double, previous double, fired bigint, pending string"
 _ROW = ["us", "seq", "day", "price", "volume", "alert_id", "threshold_value", "cooldown_us"]
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
 
-def _met(condition: str, price: np.ndarray, deviation: np.ndarray, previous: np.ndarray, threshold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each row meets the condition, and the value it is met by."""
-    with np.errstate(invalid="ignore"):
-        met = {
-            "PRICE_ABOVE": price > threshold, "PRICE_BELOW": price < threshold, "STOP_LOSS": price <= threshold, "TAKE_PROFIT": price >= threshold,
-            "VWAP_DEVIATION": np.abs(deviation) > threshold, "VWAP_CROSS_UP": (previous <= 0) & (deviation > 0), "VWAP_CROSS_DOWN": (previous >= 0) & (deviation < 0),
-        }.get(condition, np.zeros(len(price), bool))
-    return met, deviation if condition.startswith("VWAP") else price
+#: Whether a tick meets a condition (R2, R3): its price, deviation and the deviation before, and the rule's threshold.
+_MET: dict[str, Callable[[float, float | None, float | None, float], bool]] = {
+    "PRICE_ABOVE": lambda p, d, b, t: p > t, "PRICE_BELOW": lambda p, d, b, t: p < t, "STOP_LOSS": lambda p, d, b, t: p <= t, "TAKE_PROFIT": lambda p, d, b, t: p >= t,
+    "VWAP_DEVIATION": lambda p, d, b, t: d is not None and abs(d) > t,
+    "VWAP_CROSS_UP": lambda p, d, b, t: None not in (d, b) and b <= 0 < d, "VWAP_CROSS_DOWN": lambda p, d, b, t: None not in (d, b) and b >= 0 > d,
+}
+
+
+#: Conditions that a tick stream alone can decide; others need the daily context.
+CONDITIONS = tuple(_MET)
 
 
 class Watch:
@@ -43,65 +42,53 @@ class Watch:
 
     def __init__(self, state: tuple | None = None):
         self.day, self.value, self.volume, self.previous, self.fired, pending = state or (None, 0.0, 0.0, None, None, "[]")
-        self.pending = pd.DataFrame(json.loads(pending), columns=_ROW)
+        self.pending: list[list] = json.loads(pending)
 
     def state(self) -> tuple:
-        return self.day, self.value, self.volume, self.previous, self.fired, json.dumps(self.pending.values.tolist())
-
-    def deviations(self, ticks: pd.DataFrame) -> np.ndarray:
-        """Each tick's distance to its session's VWAP in percent, rounded to 6 digits; goes on from the sums and leaves them as they then are."""
-        out = np.empty(len(ticks))
-        day = ticks.day.to_numpy()
-        for d in pd.unique(day):
-            here = day == d
-            if d != self.day:
-                self.day, self.value, self.volume = int(d), 0.0, 0.0
-            price, volume = ticks.price.to_numpy(float)[here], ticks.volume.to_numpy(float)[here]
-            value = np.cumsum(np.append(self.value, price * volume))[1:]
-            total = np.cumsum(np.append(self.volume, volume))[1:]
-            self.value, self.volume = float(value[-1]), float(total[-1])
-            with np.errstate(all="ignore"):
-                vwap = np.where(total == 0, np.nan, value / total)
-                out[here] = np.round((price - vwap) / vwap * 100, 6)
-        return out
-
-    def advance(self, condition: str, upto: int | None) -> pd.DataFrame:
-        """Events of the pending rows up to a time, in order of time; those rows are done with."""
-        due = self.pending if upto is None else self.pending[self.pending.us <= upto]
-        self.pending = self.pending.iloc[:0] if upto is None else self.pending[self.pending.us > upto]
-        if not len(due):
-            return due.assign(actual_value=[])
-        due = due.sort_values(["us", "seq", "alert_id"], kind="stable")
-        ticks = due.drop_duplicates(["us", "seq"])
-        deviation = self.deviations(ticks)
-        before = np.append(np.nan if self.previous is None else self.previous, deviation[:-1])
-        self.previous = None if np.isnan(deviation[-1]) else float(deviation[-1])
-        at = np.cumsum(~due.duplicated(["us", "seq"]).to_numpy()) - 1
-        met, value = _met(condition, due.price.to_numpy(float), deviation[at], before[at], due.threshold_value.to_numpy(float))
-        due = due.assign(actual_value=value)[met]
-        keep = []
-        for (us, _), rows in due.groupby(["us", "seq"], sort=False).indices.items():
-            quiet = [i for i in rows if self.fired is None or self.fired < us - due.cooldown_us.iloc[i]]
-            if quiet:  # alerts of one tick don't hold each other back
-                self.fired = int(us)
-                keep += quiet
-        return due.iloc[keep]
+        return self.day, self.value, self.volume, self.previous, self.fired, json.dumps(self.pending)
+
+    def take(self, rows: pd.DataFrame) -> None:
+        self.pending += map(list, zip(*(rows[c].tolist() for c in _ROW), strict=True))
+
+    def deviation(self, day: int, price: float, volume: float) -> float | None:
+        """A tick's distance to its session's VWAP in percent, rounded to 6 digits; the sums then hold it."""
+        if day != self.day:
+            self.day, self.value, self.volume = day, 0.0, 0.0
+        self.value += price * volume
+        self.volume += volume
+        vwap = self.value / self.volume if self.volume else 0.0
+        return round((price - vwap) / vwap * 100, 6) if vwap else None
+
+    def advance(self, condition: str, upto: int) -> list[tuple]:
+        """Events (alert_id, us, seq, threshold, value) of the pending rows up to a time, in order; those rows are done with."""
+        due = sorted((r for r in self.pending if r[0] <= upto), key=lambda r: (r[0], r[1], r[5]))
+        self.pending = [r for r in self.pending if r[0] > upto]
+        met, events = _MET[condition], []
+        for (us, seq), rows in groupby(due, key=lambda r: (r[0], r[1])):
+            before, last = self.previous, self.fired
+            for k, (_, _, day, price, volume, alert, threshold, cooldown) in enumerate(rows):
+                if k == 0:
+                    self.previous = self.deviation(day, price, volume)
+                # Alerts of one tick don't hold each other back.
+                if met(price, self.previous, before, threshold) and (last is None or last < us - cooldown):
+                    events.append((alert, us, seq, threshold, self.previous if condition.startswith("VWAP") else price))
+                    self.fired = us
+        return events
 
 
 def _step(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     watch = Watch(state.get if state.exists else None)
     if not state.hasTimedOut:
-        watch.pending = pd.concat([watch.pending, *(r[_ROW] for r in rows)], ignore_index=True) if len(watch.pending) else pd.concat([r[_ROW] for r in rows], ignore_index=True)
+        for pdf in rows:
+            watch.take(pdf)
     mark = state.getCurrentWatermarkMs()
     events = watch.advance(key[2], mark * 1000)
     state.update(watch.state())
-    if len(watch.pending):
-        state.setTimeoutTimestamp(max(int(watch.pending.us.min()) // 1000 + 1, mark + 1))
-    if len(events):
-        yield pd.DataFrame({
-            **{k: [v] * len(events) for k, v in zip(KEY, key, strict=True)}, "alert_id": events.alert_id.to_numpy(), "triggered_us": events.us.to_numpy("int64"), "seq": events.seq.to_numpy("int64"),
-            "threshold_value": events.threshold_value.to_numpy(float), "actual_value": events.actual_value.to_numpy(float),
-        })
+    if watch.pending:
+        state.setTimeoutTimestamp(max(min(r[0] for r in watch.pending) // 1000 + 1, mark + 1))
+    if events:
+        found = pd.DataFrame(events, columns=["alert_id", "triggered_us", "seq", "threshold_value", "actual_value"])
+        yield pd.concat([pd.DataFrame([key] * len(found), columns=KEY), found], axis=1)
 
 
 def _micros(time: Column) -> Column:
@@ -111,7 +98,7 @@ def _micros(time: Column) -> Column:
 
 def _watched(ticks: DataFrame, rules: DataFrame) -> DataFrame:
     rules = rules.where(F.col("condition_type").isin(*CONDITIONS))
-    return ticks.join(rules, "ticker").select(
+    return ticks.where("price is not null and volume is not null and trade_ts is not null").join(rules, "ticker").select(
         *KEY, F.col("us"), F.col("seq").cast("long").alias("seq"), F.unix_date(F.to_date("trade_ts")).alias("day"), F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
         "alert_id", F.col("threshold_value").cast("double").alias("threshold_value"), (F.coalesce(F.col("cooldown_minutes"), F.lit(0)).cast("long") * 60_000_000).alias("cooldown_us"), *(["event_time"] if "event_time" in ticks.columns else []),
     )
@@ -154,7 +141,8 @@ def _cool(rows: pd.DataFrame) -> pd.DataFrame:
 
 def past_events(ticks: DataFrame, rules: DataFrame) -> DataFrame:
     """The same events from a table of ticks: metrics by windows over each ticker, conditions as columns, only fired rows grouped for their cooldown."""
-    x = ticks.withColumns({"us": _micros(F.col("trade_ts")), "trading_date": F.to_date("trade_ts"), "_value": F.col("price") * F.col("volume"), "_at": F.struct("trade_ts", "seq")})
+    x = ticks.where("price is not null and volume is not null and trade_ts is not null")
+    x = x.withColumns({"us": _micros(F.col("trade_ts")), "trading_date": F.to_date("trade_ts"), "_value": F.col("price") * F.col("volume"), "_at": F.struct("trade_ts", "seq")})
     x = ind.session_running(x, ["ticker", "trading_date"], "_at", "_value", "volume")
     vwap = F.try_divide("session_value", F.col("session_volume").cast("double"))
     x = x.withColumn("price_vs_session_vwap_pct", F.round(F.try_divide(F.col("price") - vwap, vwap) * 100, 6))
