@@ -17,7 +17,7 @@ from tidemill.streaming import alerts as watch
 from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
 from .continuous import _WATCHED, _recursive, _watch_rules
 from .layers import _CHECKS, _DETAIL, _detail
-from .prices import _EMA, _IND, _P
+from .prices import _EMA, _IND, _INDEX_P, _P
 from .realtime import _ALERTS, _DEV, _NOW, _STATES, _VWAP, _alert_inputs, _vwap
 from .registry import query
 
@@ -54,7 +54,6 @@ def m24_macd_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 _VN = """vn as (select i.ticker as index_id, i.date as trading_date, close as close_point, price_change as point_change, pct_change, volume as total_volume, value as total_value, b.a, b.d, b.u from i left join (
     select exchange as index_id, date, count(*) filter (close > open) as a, count(*) filter (close < open) as d, count(*) filter (close = open) as u from bars join profiles using (ticker) where exchange in ('ASIA', 'EUROPE') group by 1, 2) b
     on b.index_id = i.ticker and b.date = i.date)"""
-_INDEX_P = "p as (select index_code as ticker, date, open, high, low, close, volume from index_bars)"
 
 
 def _index_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
