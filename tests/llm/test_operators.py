@@ -314,6 +314,15 @@ def test_mixing(docs):
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 
+def test_mixing_of_more_sources_than_are_sent(docs):
+    """Tables of one row a source that are too many to be broadcast are joined by shuffles, with the same result."""
+    df, _ = docs
+    few, many = (mixing.mix_sources(df, quality=mixing.letter_share(F.col("text")), most_sent=n) for n in (10_000, 0))
+    assert "BroadcastExchange" not in many._jdf.queryExecution().sparkPlan().toString()
+    take = lambda x: Counter(map(tuple, x.select("doc_id", "source", "size", "source_size", "target", "taken").collect()))
+    assert take(many) == take(few)
+
+
 def test_mixing_prefers_quality(spark):
     df = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"), F.lit("w w w w w").alias("text"), F.when(F.col("id") % 4 < 2, 4.0).otherwise(1.0).alias("q"))
     x = mixing.mix_sources(df, quality=F.col("q"), weights=(1, 3)).where("source = 'a'").groupBy("q").agg(F.sum("taken").alias("t")).collect()
@@ -339,6 +348,15 @@ def test_quality(docs):
     assert quality.judge_quality(df.limit(0)).count() == 0
 
 
+def test_quality_replaces_columns_of_its_own_names(docs):
+    df, c = docs
+    other = df.withColumns({"cleaned": F.lit("x"), "kept": F.lit(3), "n_template": F.lit("y"), "base_failed": F.lit(None), "_key": F.lit(0), "host": F.lit("h"), "line": F.lit("l"), "whole": F.lit(1)})
+    got = quality.judge_quality(other)
+    assert len(got.columns) == len(set(got.columns)) and {"host", "line", "whole"} <= set(got.columns) and "_key" not in got.columns
+    take = lambda x: Counter(map(tuple, x.select("doc_id", "n_words", "n_template", "kept", "cleaned").collect()))
+    assert take(got) == take(quality.judge_quality(df)) and sum(take(got).values()) == len(c)
+
+
 def test_templates_deplete_but_copies_do_not(spark):
     r = random.Random(2)
     word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
@@ -489,6 +507,17 @@ def test_copies_of_a_page_make_no_template(spark):
     assert sorted(got) == sorted([(i, "Ta\ntext of page a") for i in (0, 0, 1, 2, 3)] + [(9, "Tb\ntext of page b")])
 
 
+def test_repeated_pages_count_once_and_all_return(spark):
+    """Rows that repeat whole, and rows of one id with different pages, each return once and change no count."""
+    page = lambda k: f"<body><div><p>the menu of all</p></div><p>own {'abcdefghij'[k]}</p></body>"
+    data = [(k, "http://h.org/", page(k)) for k in range(8)]
+    more = data + data[:3] * 4 + [(0, "http://h.org/", page(9)), (None, None, None), (None, None, None)]
+    read = lambda x: Counter((r.page_id, r.text) for r in pages.extract_text(spark.createDataFrame(x, "page_id long, url string, html string")).collect())
+    want = Counter((k, f"own {'abcdefghij'[k]}") for k, _, _ in data + data[:3] * 4)
+    want.update([(0, "own j"), (None, ""), (None, "")])
+    assert read(more) == want and read(data) == Counter((k, f"own {'abcdefghij'[k]}") for k in range(8))
+
+
 @pytest.mark.parametrize("values,marked", [
     ("market-share", False), ("ad-hoc", False), ("ad", True), ("ad-slot", True), ("cookie-notice", True), ("share-buttons", True), ("site_footer", True), ("article-header", False), ("shared", False), ("story comments", True), ("ad2", True), ("related", True), ("notice-of-works", False),
 ])
@@ -625,6 +654,17 @@ def test_words_and_model(docs, spark):
     assert ctw.score_texts(df.limit(0)).count() == 0
 
 
+def test_without_training_rows_every_bit_is_even(spark):
+    """Nothing learned: each of a text's bytes and its end costs what an untrained model says, the same for all."""
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:20]
+    df = spark.createDataFrame([(i, "ab cd" if k % 2 else "xy  zw") for k, i in enumerate(held)] + [(held[0], None), (held[1], "")], "doc_id long, text string")
+    out = ctw.score_texts(df).collect()
+    assert len(out) == 22
+    for r in out:
+        assert r.held_out and (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) and math.isfinite(r.score) and r.score < 0
+    assert len({round(r.score, 9) for r in out if r.text == "ab cd"}) == 1
+
+
 def kt(n0, n1):
     p, a, b = 0.0, 0, 0
     for bit in [0] * n0 + [1] * n1:
