@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, row_key, span_hashes, text_blocks, word_spans
+from .common import discard, materialize, pieces, row_key, span_hashes, text_blocks, word_spans
 
 _END = 0xFF  # no byte of UTF-8; pads the first contexts and ends each text
 
@@ -40,7 +40,7 @@ def _word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((span_hashes(flat, starts, ends), np.zeros(len(texts), np.uint64))), np.concatenate((of, np.arange(len(texts))))
 
 
-def count_codes(rows: DataFrame, codes_of: Callable, most: int = 2_000_000) -> DataFrame:
+def count_codes(rows: DataFrame, codes_of: Callable, most: int = 500_000) -> DataFrame:
     """(code, n, seen) from (text, held_out): how often each code is in rows that are not held out, and in all.
 
     A task adds up what it has counted, and hands it on whenever that comes to more than `most` different codes.
@@ -58,7 +58,7 @@ def count_codes(rows: DataFrame, codes_of: Callable, most: int = 2_000_000) -> D
 
     def count(batches):
         parts, size = [], 0
-        for batch in batches:
+        for batch in pieces(batches):
             out, texts = np.array(batch.column(1).to_pylist(), bool), [t or b"" for t in batch.column(0).to_pylist()]
             for held in (False, True):
                 for part in text_blocks([t for t, o in zip(texts, out, strict=True) if o == held]):
@@ -188,7 +188,7 @@ def tree_levels(grams: DataFrame, depth: int, top: int = 3, scratch: list[str] |
     top = min(top, depth)
 
     def climb(batches):
-        for t in _by_context(batches):
+        for t in _by_context(pieces(batches, 10_000)):
             levels, _ = _subtrees(t.column(1).to_numpy().view(np.uint64), t.column(2).to_numpy(), depth, top)
             for x in levels[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (x.name.view(np.int64), x.n0.astype(np.int64), x.n1.astype(np.int64), x.log_beta, x.log_pw)], ["node", "n0", "n1", "log_beta", "log_pw"])
@@ -234,7 +234,7 @@ def deep_values(codes: DataFrame, mixed: DataFrame, depth: int, top: int = 3) ->
     top = min(top, depth)
 
     def descend(batches):
-        for t in _by_context(batches):
+        for t in _by_context(pieces(batches, 10_000)):
             code, n, seen, one, acc, rem = (t.column(i).to_numpy() for i in range(1, 7))
             code, upper = code.view(np.uint64), seen < 0
             node, by = code[upper], np.argsort(code[upper])
@@ -341,7 +341,7 @@ def code_sums(docs: DataFrame, codes_of: Callable, values: DataFrame, otherwise:
 
     def look_up(batches):
         table = _Table(shared.value[0].view(np.uint64), *shared.value[1:])
-        for batch in batches:
+        for batch in pieces(batches):
             keys, texts = batch.column(0).to_numpy(), [t or b"" for t in batch.column(1).to_pylist()]
             start = 0
             for part in text_blocks(texts):
