@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemill.operators import clean, dedup, dims, facts
+from tidemill.operators import clean, dedup, dims, facts, marts
 from tidemill.operators import indicators as ind
 from tidemill.schemas import SILVER_OHLCV, ContractError, conform, may_overwrite, require_columns
 
@@ -77,6 +77,16 @@ def test_vwap_of_three_ticks(spark):
     assert [r[1:] for r in x] == [(107.5, 107.5, 100.0, 115.0, 2), (120.0, 115.0, 120.0, 120.0, 1)]
 
 
+def test_a_distance_from_a_vwap_of_zero_is_no_number(spark):
+    t = spark.createDataFrame([(k, dt.datetime(2024, 1, 1, h), p, v, "x") for k, h, p, v in (("A", 9, 0.0, 1), ("A", 10, 4.0, 3), ("B", 9, 5.0, 1), ("C", 9, 1.0, 0))], "ticker string, trade_ts timestamp_ntz, price double, volume long, data_source string")
+    v = facts.vwap(facts.merge_states(facts.minute_states(t, "hour")))
+    assert [(r[0], str(r[1])[:5]) for r in rows(v.select("ticker", "price_vs_session_vwap_pct"), "ticker", "minute_ts")] == [("A", "nan"), ("A", "33.33"), ("B", "0.0"), ("C", "None")]
+    assert rows(marts.vwap_board(v).select("ticker", "far", "above", "below"), "ticker") == [("A", 2, 2, 0), ("B", 0, 0, 0), ("C", 0, 0, 0)]
+    assert [r[0] for r in rows(marts.topped(v, 2, F.abs("price_vs_session_vwap_pct").desc(), "ticker").select("minute_ts"))] == [dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 1, 10)]
+    x = spark.createDataFrame([(1.0, 0.0), (-1.0, 0.0), (0.0, 0.0), (float("nan"), 0.0), (1.0, 2.0), (None, 0.0), (1.0, None)], "a double, b double")
+    assert [str(r[0]) for r in rows(x.select(ind.ratio(F.col("a"), F.col("b"))))] == ["inf", "-inf", "nan", "nan", "0.5", "None", "None"]
+
+
 def test_states_merge_in_any_split(spark):
     t = spark.createDataFrame([("A", dt.datetime(2024, 1, 1, 9, 0, s), float(p), 1, "x") for s, p in enumerate((5, 9, 2, 7))], "ticker string, trade_ts timestamp_ntz, price double, volume long, data_source string")
     whole = rows(facts.merge_states(facts.minute_states(t)))

@@ -38,6 +38,12 @@ def pct_change(value: str, w: WindowSpec) -> Column:
     return F.coalesce(F.try_divide(F.col(value) - before, before) * 100, F.lit(0.0))
 
 
+def ratio(a: Column, b: Column) -> Column:
+    """a / b as floating point has it, where Spark's own is null or fails: 0 / 0 is NaN, other numbers over 0 are infinite."""
+    over_zero = F.when(a > 0, F.when(F.isnan(a), a).otherwise(float("inf"))).when(a < 0, float("-inf")).when(a == 0, float("nan"))
+    return F.coalesce(F.try_divide(a, b), F.when(b == 0, over_zero))
+
+
 def rsi(delta: Column, w: WindowSpec, n: int = 14) -> Column:
     """M5: 100 - 100 / (1 + mean gain / mean loss) of the last n rows; 100 where there was no loss; null before n rows."""
     gain = F.avg(F.greatest(delta, F.lit(0.0))).over(last_rows(w, n))
