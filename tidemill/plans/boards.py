@@ -14,7 +14,7 @@ from tidemill.sources import tables
 from tidemill.storage import new_folder
 from tidemill.streaming import alerts as watch
 
-from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
+from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, _nudge, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
 from .continuous import _WATCHED, _recursive, _watch_rules
 from .layers import _CHECKS, _DETAIL, _detail
 from .prices import _EMA, _IND, _INDEX_P, _P
@@ -157,7 +157,7 @@ def k3_largest_deviations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r2_r5_past_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ticks at once: VWAP deviations and crossings, prices and cooldowns, by windows."""
     t = ticks(spark, sf_dir).select("ticker", "trade_ts", "seq", "price", "volume")
-    x = watch.past_events(t, _watch_rules(spark, t.select("ticker").distinct()))
+    x = watch.past_events(t, _watch_rules(spark, t.select("ticker").distinct()), float(_nudge(6)))
     return rounded(x.select("alert_id", "user_id", "ticker", "condition_type", "channel", "triggered_at", "seq", "threshold_value", "actual_value"), 4, "actual_value")
 
 

@@ -11,7 +11,7 @@ from tidemill.storage import materialize, new_folder
 from tidemill.streaming import alerts as watch
 from tidemill.streaming import ticks as streams
 
-from .adapters import BARS, TICKS, daily_bars, rounded, sql_rounds, table, ticks, with_
+from .adapters import BARS, TICKS, _nudge, daily_bars, rounded, sql_rounds, table, ticks, with_
 from .prices import _EMA, _IND, _P
 from .realtime import _DEV, _STATES, _VWAP
 from .registry import query
@@ -73,7 +73,7 @@ def r3_r5_stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = lambda days: span.select(F.lit("").alias("ticker"), (F.col("b") + F.make_dt_interval(F.lit(days))).alias("trade_ts"), F.lit(-1).cast("long").alias("seq"), F.lit(1.0).alias("price"), F.lit(1).cast("long").alias("volume"))
     for part in [*(parts.where(F.col("_part") == k).select(*t.columns) for k in range(3)), end(1), end(2)]:
         part.write.mode("append").parquet(source)
-        _run(watch.land_events(spark.readStream.schema(t.schema).parquet(source), rules, path, checkpoint, "1 hour"))
+        _run(watch.land_events(spark.readStream.schema(t.schema).parquet(source), rules, path, checkpoint, "1 hour", float(_nudge(6))))
     x = spark.read.parquet(path).select("alert_id", "user_id", "ticker", "condition_type", "channel", "triggered_at", "seq", "threshold_value", "actual_value")
     return rounded(x, 4, "actual_value")
 
