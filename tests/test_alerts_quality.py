@@ -105,3 +105,10 @@ def test_signal_precedence_and_session_status(spark):
     assert marts.signal_scan(s, order=marts.SNAPSHOT_ORDER).where("ticker = 'A'").first().signal == "overbought"
     for clock, want in (("2024-01-05 09:00", "OPEN"), ("2024-01-05 12:00", "LUNCH"), ("2024-01-05 14:50", "CLOSING"), ("2024-01-06 10:00", "CLOSED")):
         assert spark.range(1).select(marts.session_status(F.lit(clock).cast("timestamp"))).first()[0] == want
+
+
+def test_the_cycle_summary_reads_evaluated_rules_once(spark):
+    from tidemill.plans import realtime
+
+    x = realtime.r5_r9_cycle_summary(spark, "/root/testdata/sf0.001")
+    assert "lineitem" not in x._jdf.queryExecution().toString() and x.count() == 1

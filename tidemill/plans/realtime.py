@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import alerts, clean, dedup, facts, marts, quality
 from tidemill.operators import indicators as ind
+from tidemill.storage import materialize
 
 from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
 from .prices import _EMA, _IND, _P
@@ -277,7 +278,8 @@ def r1_r6_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def r5_r9_cycle_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third ticker had an event up to 50 minutes ago; cooldowns hold some of them back."""
     now = F.lit(_NOW).cast("timestamp_ntz")
-    evaluated = alerts.evaluate(*_alert_inputs(spark, sf_dir))
+    # Checked, fired and held back are all read from it, so it is worked out once: a row a rule and ticker.
+    evaluated = materialize(alerts.evaluate(*_alert_inputs(spark, sf_dir)), "evaluated")
     fired = evaluated.where("actual_value is not null")
     h = F.ascii("ticker") + F.length("ticker") + F.substring("ticker", 2, 9).cast("int")
     events = fired.where(h % 3 == 0).select("user_id", "ticker", "condition_type", "channel", (now - F.make_dt_interval(F.lit(0), F.lit(0), h % 50)).alias("triggered_at"))
