@@ -135,3 +135,26 @@ def test_pointers_go_up_by_one(spark, tmp_path):
         storage.switch_pointer(spark, root, 0, {"a": 2})
     storage.switch_pointer(spark, root, 1, ["ü"])
     assert storage.read_pointer(spark, root) == (2, ["ü"])
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+def test_a_state_moves_on_by_one_shuffle_without_a_join_or_windows_of_indicators(spark):
+    x = bars(spark)
+    state = storage.materialize(resume.advanced(resume.no_state(spark), x.where(F.col("date") < F.lit(D) + F.expr("interval 40 day"))), "state")
+    p = plan(resume.advanced(state, x))
+    assert p.count("Exchange") == 1 and "Join" not in p and "FlatMapGroups" not in p and "stddev" not in p and "MapInArrow" in p
+
+
+def test_folds_don_t_hang_on_where_batches_end(spark):
+    x = bars(spark).unionByName(bars(spark, 3).withColumn("ticker", F.lit(None).cast("string"))).dropDuplicates(["ticker", "date"])
+    first = x.where(F.col("date") < F.lit(D) + F.expr("interval 33 day"))
+    found = []
+    for n in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        state = storage.materialize(resume.advanced(resume.no_state(spark), first), "state")
+        found.append([sorted(map(str, d.collect())) for d in (ind.exponential_means(x), state, resume.resumed(state, x))])
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1] and len(found[0][0]) == x.count()

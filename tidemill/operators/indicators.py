@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,27 +77,67 @@ def price_indicators(bars: DataFrame, key: str = "ticker", time: str = "date") -
     })
 
 
-def exponential_means(bars: DataFrame, key: str = "ticker", time: str = "date", value: str = "close", keep: Sequence[str] = ()) -> DataFrame:
+def whole_keys(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Sorted batches as tables that hold each of their keys whole; what a batch ends in waits for the next one."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and held[0].column(key)[0].as_py() != batch.column(key)[0].as_py():
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        codes = batch.column(key).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        before = np.flatnonzero(codes != codes[-1])
+        if len(before):
+            cut = int(before[-1]) + 1
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+            held, batch = [], batch.slice(cut)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def runs(rows: pa.Table, key: str) -> np.ndarray:
+    """The number of each row's key, from 0, in a table that is sorted by it."""
+    codes = rows.column(key).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+    return np.concatenate([[0], np.cumsum(codes[1:] != codes[:-1])])
+
+
+def means_by_run(x: np.ndarray, run: np.ndarray, span: int) -> np.ndarray:
+    """The exponential mean of each run of rows, which begins with the run's first value."""
+    return pd.Series(x).groupby(run, sort=False).ewm(span=span, adjust=False).mean().to_numpy()
+
+
+def by_key(df: DataFrame, key: str, time: str) -> DataFrame:
+    """df with each key's rows in one partition, in order; after windows by the same key and time it costs nothing."""
+    return df.repartition(key).sortWithinPartitions(key, time)
+
+
+def exponential_means(bars: DataFrame, key: str = "ticker", time: str = "date", value: str = "close", keep: Sequence[str] = (), where: Column | None = None) -> DataFrame:
     """ema_12, ema_26, macd and macd_signal by the recursion y = a x + (1 - a) y before, y of the first row its x.
 
-    The recursion is the one indicator that a window frame can't hold; an entity's history (a row a session) is one
-    Arrow group. Further columns in keep pass through it, so that nothing has to be joined to them again; after
-    windows by the same key it needs no shuffle of its own.
+    The recursion is the one indicator that a window frame can't hold. Tasks fold batches of many keys at once; a key's
+    history (a row a session) has to fit in one of them. Further columns in keep pass through it, so that nothing has
+    to be joined to them again; after windows by the same key it needs no shuffle of its own. Only rows that satisfy
+    `where` come out, of means over all rows.
     """
     out = list(dict.fromkeys([key, time, *keep]))
     schema = T.StructType([*bars.select(*out).schema.fields, *ddl("ema_12 double, ema_26 double, macd double, macd_signal double").fields])
 
-    def fold(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by(time)
-        x = rows.column(value).to_pandas()
-        fast, slow = (x.ewm(span=n, adjust=False).mean() for n in (12, 26))
-        signal = (fast - slow).ewm(span=9, adjust=False).mean()
-        rows = rows.select(out)
-        for name, mean in (("ema_12", fast), ("ema_26", slow), ("macd", fast - slow), ("macd_signal", signal)):
-            rows = rows.append_column(name, pa.array(mean, pa.float64(), from_pandas=True))
-        return rows
-
-    return bars.select(*dict.fromkeys([*out, value])).groupBy(key).applyInArrow(fold, schema)
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_keys(batches, key):
+            run, x = runs(rows, key), rows.column(value).to_pandas().to_numpy(dtype=float, na_value=np.nan)
+            fast, slow = (means_by_run(x, run, n) for n in (12, 26))
+            means = (fast, slow, fast - slow, means_by_run(fast - slow, run, 9))
+            leave = None if where is None else rows.column("_out").combine_chunks()
+            rows = rows.select(out)
+            for name, mean in zip(("ema_12", "ema_26", "macd", "macd_signal"), means, strict=True):
+                rows = rows.append_column(name, pa.array(mean, pa.float64(), from_pandas=True))
+            yield from (rows if leave is None else rows.filter(leave)).to_batches()
+
+    x = bars if where is None else bars.withColumn("_out", F.coalesce(where, F.lit(False)))
+    x = x.select(*dict.fromkeys([*out, value]), *([] if where is None else ["_out"]))
+    return by_key(x, key, time).mapInArrow(fold, schema)
 
 
 def trailing_band(candles: DataFrame, key: str = "ticker", time: str = "minute_ts", n: int = 20) -> DataFrame:

@@ -11,12 +11,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier = ticker, ship date = session, unit price = trade price."""
+    """Supplier = ticker, ship date = session, unit price = trade price.
+
+    Rows go by ticker, not by ticker and date: what follows by ticker then needs no further shuffle or sort, and there
+    is about one row a bar, so tasks have nothing to add up before a shuffle.
+    """
     x = table(spark, sf_dir, "lineitem").select(
         F.concat(F.lit("S"), "l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("p"),
         F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("o"), "l_quantity",
     )
-    return x.groupBy("ticker", "date").agg(
+    return x.repartition("ticker").groupBy("ticker", "date").agg(
         F.min_by("p", "o").alias("open"), F.max("p").alias("high"), F.min("p").alias("low"), F.max_by("p", "o").alias("close"), F.sum("l_quantity").cast("long").alias("volume")
     )
 
