@@ -177,3 +177,18 @@ def test_lag_of_a_running_stream(spark, tmp_path, feed):
         spark.streams.removeListener(log)
     kafka = {"sources": [{"description": "KafkaV2[Subscribe[t]]", "endOffset": {"t": {"0": 5, "1": 7}}, "latestOffset": {"t": {"0": 9, "1": 7, "2": 4}}}]}
     assert st.offset_rows(kafka) == [("KafkaV2[Subscribe[t]]", "t-0", 9, 5), ("KafkaV2[Subscribe[t]]", "t-1", 7, 7), ("KafkaV2[Subscribe[t]]", "t-2", 4, None)]
+
+
+def test_candle_messages_are_written_compressed(spark):
+    from pathlib import Path
+
+    from tidemill import storage
+    from tidemill.plans import continuous
+
+    shared, d = Path(storage.shared_dir(spark).removeprefix("file:")), "/root/testdata/sf0.001"
+    before = set(shared.glob("candle-messages-*"))
+    n = continuous.t4_corrected_candles(spark, d).count()
+    (made,) = set(shared.glob("candle-messages-*")) - before
+    files = [f for f in made.iterdir() if f.name.startswith("part-")]
+    assert n == continuous.daily_bars(spark, d).count() and spark.read.text(str(made)).count() > 2 * n
+    assert files and sum(f.stat().st_size for f in files) < 75 * 2 * n  # a message has about 160 characters

@@ -123,14 +123,17 @@ def t2_t6_replayed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(BARS) + f"select ticker, cast(date as timestamp) + interval 7 hour as minute_ts, '1m' as resolution, {sql_rounds(4, 'open', 'high', 'low')}, round(close + case when volume % 2 = 0 then 1 else 0 end, 4) as close, volume from bars")
 def t4_corrected_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candles land in one run; those of even volume are corrected in a second, and messages of other resolutions go."""
+    """Candles land in one run; those of even volume are corrected in a second, and messages of other resolutions go.
+
+    Messages are most of what is written; compressed, a file is one task of the stream.
+    """
     source, path, checkpoint = (new_folder(spark, n) for n in ("candle-messages", "candles", "candle-checkpoint"))
     b = materialize(daily_bars(spark, sf_dir), "bars")
     fields = [F.col("ticker").alias("symbol"), "open", "high", "low", "close", F.col("volume").cast("double").alias("volume"), F.unix_seconds(F.to_timestamp("date")).cast("string").alias("time")]
     first = b.withColumn("resolution", F.explode(F.array(F.lit("1"), F.lit("5"))))
     second = b.where("volume % 2 = 0").withColumns({"resolution": F.lit("1m"), "close": F.col("close") + 1})
     for k, part in enumerate((first, second)):
-        part.select(F.to_json(F.struct(*fields, "resolution")).alias("value")).write.mode("append").text(source)
+        part.select(F.to_json(F.struct(*fields, "resolution")).alias("value")).write.mode("append").option("compression", "gzip").text(source)
         now = lambda k=k: F.lit(f"2024-01-0{k + 1} 00:00:00").cast("timestamp_ntz")
         _run(streams.land_candles(streams.parsed_candles(streams.message_stream(spark, source)), path, checkpoint, now))
     x = streams.newest_candles(spark, path).select("ticker", "minute_ts", "resolution", "open", "high", "low", "close", "volume")
