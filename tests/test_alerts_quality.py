@@ -112,3 +112,22 @@ def test_the_cycle_summary_reads_evaluated_rules_once(spark):
 
     x = realtime.r5_r9_cycle_summary(spark, "/root/testdata/sf0.001")
     assert "lineitem" not in x._jdf.queryExecution().toString() and x.count() == 1
+
+
+def test_layers_are_reconciled_in_one_aggregate_by_key(spark):
+    day = lambda n: f"2024-01-{n:02d}"
+    frame = lambda *v: spark.createDataFrame([(k, d) for k, d in v], "ticker string, d string").select("ticker", F.to_date("d").alias("date"))
+    raw, clean_ = frame(("a", day(1)), ("a", day(1)), ("b", day(2)), (None, day(2)), ("c", day(3))), frame(("a", day(1)), ("b", day(2)), (None, day(2)))
+    gold = frame(("a", day(1)), ("a", day(1)), (None, day(2)), ("z", day(4)))
+    x = quality.layer_counts(raw, clean_, gold, ["ticker", "date"], "date").first()
+    assert tuple(x)[:8] == (4, 3, 3, 4, 1, 1, 1, 1) and str(x.newest) == day(4)
+    assert tuple(quality.layer_counts(raw.limit(0), clean_.limit(0), gold.limit(0), ["ticker"], "date").first()) == (0,) * 8 + (None,)
+    index = raw.withColumnRenamed("ticker", "index_code")
+    pages = spark.createDataFrame([("1", "u", "T", "2024-01-03"), ("1", "u", "T", "2024-01-03"), ("2", None, "T", "2024-01-02")], "article_id string, url string, ticker string, published_at string")
+    r = quality.reconciliation((raw, clean_, gold), (index, index, index), (pages, pages.limit(0), pages), F.lit("2024-01-05").cast("date"))
+    got = {v.check: (v.value, v.success) for v in r.collect()}
+    assert got["bars_raw_to_clean"] == (0.25, False) and got["bars_same_count"] == (-1.0, False) and got["bars_same_keys"] == (2.0, False) and got["bars_keys_once"] == (1.0, False)
+    assert got["bars_fresh"] == (1.0, True) and got["index_same_keys"] == (0.0, True) and got["index_keys_once"] == (1.0, False)
+    assert got["articles_traceable"] == (1.0, False) and got["articles_keys_once"] == (1.0, False) and got["articles_fresh"] == (2.0, True) and len(got) == 14
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan

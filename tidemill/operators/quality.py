@@ -209,6 +209,31 @@ def cross_source_volume(a: DataFrame, b: DataFrame, key: Sequence[str], most: fl
     return x.withColumn("gap", F.coalesce(gap, F.lit(0.0))).withColumn("success", F.col("gap") <= most)
 
 
+def layer_counts(raw: DataFrame, clean_: DataFrame, gold: DataFrame, key: Sequence[str], date: str) -> DataFrame:
+    """One row of what reconciliation asks of three layers, from one aggregate by key that all of them go into once.
+
+    upstream and downstream: different raw and clean keys; clean and gold: rows; missing and extra: clean keys that gold
+    lacks and the reverse; untraced: extra keys without a null; surplus: gold rows beyond the first of their key; newest:
+    gold's last day. A null is a value of the key.
+    """
+    layers = {"_r": raw, "_c": clean_, "_g": gold}
+    day = lambda n, x: (F.col(date).cast("date") if n == "_g" else F.lit(None).cast("date")).alias("_day")
+    rows = None
+    for n, x in layers.items():
+        one = x.select(*key, day(n, x), *(F.lit(int(m == n)).cast("long").alias(m) for m in layers))
+        rows = one if rows is None else rows.unionByName(one)
+    x = rows.groupBy(*key).agg(*(F.sum(n).alias(n) for n in layers), F.max("_day").alias("_day"))
+    r, c, g = (F.col(n) > 0 for n in layers)
+    total = lambda column: F.coalesce(F.sum(column), F.lit(0))
+    known = F.lit(True)
+    for k in key:
+        known = known & F.col(k).isNotNull()
+    return x.agg(
+        F.count_if(r).alias("upstream"), F.count_if(c).alias("downstream"), total(F.col("_c")).alias("clean"), total(F.col("_g")).alias("gold"), F.count_if(c & ~g).alias("missing"), F.count_if(g & ~c).alias("extra"),
+        F.count_if(g & ~c & known).alias("untraced"), total(F.when(g, F.col("_g") - 1)).alias("surplus"), F.max("_day").alias("newest"),
+    )
+
+
 def reconciliation(bars: tuple[DataFrame, DataFrame, DataFrame], index: tuple[DataFrame, DataFrame, DataFrame], articles: tuple[DataFrame, DataFrame, DataFrame], as_of: Column, most_drop: float = 0.05, most_days: int = 2) -> DataFrame:
     """Q12: (check, value, success) of all 14 checks between the raw, clean and published layers of bars, index bars and articles.
 
@@ -216,27 +241,19 @@ def reconciliation(bars: tuple[DataFrame, DataFrame, DataFrame], index: tuple[Da
     surplus published keys; for articles the drop, published urls that the clean layer lacks, and surplus keys; and
     for each the newest published day, in business days but for articles. value is a ratio, a count or an age.
     """
-    out = []
-
-    def add(name: str, x: DataFrame, value: Column | str, ok: Column) -> None:
-        value = F.col(value) if isinstance(value, str) else value
-        out.append(x.select(F.lit(name).alias("check"), value.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("success")))
-
-    for what, (raw, clean_, gold), key in (("bars", bars, ("ticker", "date")), ("index", index, ("index_code", "date"))):
-        drop = drop_ratio(raw, clean_, key, most_drop)
-        add(f"{what}_raw_to_clean", drop, "drop_ratio", F.col("success"))
-        count = clean_.agg(F.count("*").alias("a")).crossJoin(F.broadcast(gold.agg(F.count("*").alias("b"))))
-        add(f"{what}_same_count", count, F.col("a") - F.col("b"), F.col("a") == F.col("b"))
-        apart = key_differences(clean_, gold, key).agg(F.sum("n").alias("n"))
-        add(f"{what}_same_keys", apart, "n", F.col("n") == 0)
-        add(f"{what}_keys_once", surplus(gold, key), "failed", F.col("failed") == 0)
-        add(f"{what}_fresh", freshness(gold, "date", as_of, most_days), "age", F.col("success"))
-    raw, clean_, gold = articles
-    add("articles_raw_to_clean", drop_ratio(raw, clean_, ["url"], most_drop), "drop_ratio", F.col("success"))
-    add("articles_traceable", orphans(gold, clean_, ["url"]).agg(F.count_distinct("url").alias("n")), "n", F.col("n") == 0)
-    add("articles_keys_once", surplus(gold, ["article_id", "ticker"]), "failed", F.col("failed") == 0)
-    add("articles_fresh", freshness(gold, "published_at", as_of, most_days, business=False), "age", F.col("success"))
-    whole = out[0]
-    for x in out[1:]:
-        whole = whole.unionByName(x)
-    return whole
+    one = lambda name, value, ok: F.struct(F.lit(name).alias("check"), value.cast("double").alias("value"), F.coalesce(ok, F.lit(False)).alias("success"))
+    c, whole = F.col, None
+    dropped = F.when(c("upstream") == 0, F.lit(0.0)).otherwise((c("upstream") - c("downstream")) / c("upstream"))
+    drop = lambda what: one(f"{what}_raw_to_clean", dropped, F.when(c("upstream") == 0, c("downstream") == 0).otherwise(dropped <= most_drop))
+    for what, layers, key in (("bars", bars, ("ticker", "date")), ("index", index, ("index_code", "date"))):
+        age = business_days(c("newest"), as_of)
+        x = layer_counts(*layers, key, "date").select(F.inline(F.array(
+            drop(what), one(f"{what}_same_count", c("clean") - c("gold"), c("clean") == c("gold")), one(f"{what}_same_keys", c("missing") + c("extra"), c("missing") + c("extra") == 0),
+            one(f"{what}_keys_once", c("surplus"), c("surplus") == 0), one(f"{what}_fresh", age, age <= most_days),
+        )))
+        whole = x if whole is None else whole.unionByName(x)
+    age = F.datediff(as_of, c("newest"))
+    x = layer_counts(*articles, ["url"], "published_at").crossJoin(F.broadcast(surplus(articles[2], ["article_id", "ticker"])))
+    return whole.unionByName(x.select(F.inline(F.array(
+        drop("articles"), one("articles_traceable", c("untraced"), c("untraced") == 0), one("articles_keys_once", c("failed"), c("failed") == 0), one("articles_fresh", age, age <= most_days),
+    ))))

@@ -49,9 +49,14 @@ PROFILES = """profiles as (
     from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"""
 
 
-def index_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates of all bars, one or more rows a bar: their newest is known without the bars."""
+    return table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
+
+
+def index_bars(spark: SparkSession, sf_dir: str, bars: DataFrame | None = None) -> DataFrame:
     """One index a region: mean open and close, extremes, summed volume and value of its tickers."""
-    x = daily_bars(spark, sf_dir).join(profiles(spark, sf_dir).select("ticker", F.col("exchange").alias("index_code")), "ticker")
+    x = (daily_bars(spark, sf_dir) if bars is None else bars).join(profiles(spark, sf_dir).select("ticker", F.col("exchange").alias("index_code")), "ticker")
     return x.groupBy("index_code", "date").agg(
         F.avg("open").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.avg("close").alias("close"), F.sum("volume").alias("volume"),
         F.sum(F.col("close") * F.col("volume")).alias("trading_value"),

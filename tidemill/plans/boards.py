@@ -11,10 +11,10 @@ from tidemill.operators import alerts, facts, labels, marts, quality
 from tidemill.operators import indicators as ind
 from tidemill.operators import news as nw
 from tidemill.sources import tables
-from tidemill.storage import new_folder
+from tidemill.storage import materialize, new_folder
 from tidemill.streaming import alerts as watch
 
-from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, _nudge, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
+from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, _nudge, daily_bars, index_bars, news, profiles, rounded, sessions, table, ticks, with_
 from .continuous import _WATCHED, _recursive, _watch_rules
 from .layers import _CHECKS, _DETAIL, _detail
 from .prices import _EMA, _IND, _INDEX_P, _P
@@ -223,7 +223,8 @@ def n23_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     select "check", cast(value as double) as value, case when "check" = 'bars_same_count' then value = 0 else success end as success from v""")
 def q12_repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published layers that hold some rows twice."""
-    bars, index, n = daily_bars(spark, sf_dir), index_bars(spark, sf_dir), news(spark, sf_dir)
+    bars, n = materialize(daily_bars(spark, sf_dir), "bars"), news(spark, sf_dir)
+    index = materialize(index_bars(spark, sf_dir, bars), "index-bars")
     kept = bars.where("volume >= 10")
     gold = n.where("category = 'en'").withColumn("ticker", F.col("source"))
     twice = (kept.unionByName(kept.where("volume >= 90")), index.unionByName(index.where("volume >= 900")))

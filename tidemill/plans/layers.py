@@ -10,7 +10,7 @@ from tidemill.operators import alerts, clean, dedup, dims, facts, labels, marts,
 from tidemill.operators import indicators as ind
 from tidemill.operators import news as nw
 from tidemill.sources import tables
-from tidemill.storage import new_folder
+from tidemill.storage import materialize, new_folder
 
 from .adapters import BARS, INDEX_BARS, NEWS, PROFILES, TICKS, daily_bars, index_bars, news, profiles, rounded, table, ticks, with_
 from .prices import _IND, _P
@@ -239,7 +239,8 @@ _BUSINESS = "(select case when date '2001-12-05' <= n then 0 else len(list_filte
     select "check", round(cast(value as double), 6) as value, value <= most and ("check" not like '%same_count' or value = 0) as success from v""")
 def q12_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published bars lack those without a range, clean ones those of little volume; published articles are the English ones."""
-    bars, index, n = daily_bars(spark, sf_dir), index_bars(spark, sf_dir), news(spark, sf_dir)
+    bars, n = materialize(daily_bars(spark, sf_dir), "bars"), news(spark, sf_dir)
+    index = materialize(index_bars(spark, sf_dir, bars), "index-bars")
     kept = bars.where("volume >= 10")
     gold = n.where("category = 'en'").withColumn("ticker", F.col("source"))
     x = quality.reconciliation((bars, kept, kept.where("high > low")), (index, index, index.where("high > low")), (n, n.where(F.length("content") >= 50), gold), F.lit("2001-12-05").cast("date"))
