@@ -141,3 +141,16 @@ def test_resample_and_band(spark):
     assert x == [(0.0, 6.0, -1.0, 5.0, 150), (5.0, 11.0, 4.0, 10.0, 400)]
     band = ind.trailing_band(c, n=3).first()
     assert (band.volume_avg, band.band_high, band.band_low, band.volume_ratio) == (80.0, 10.0, 5.0, 1.25)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_for_the_mart_work_out_no_windows(spark):
+    shares = spark.createDataFrame([("AAA", 100)], "ticker string, shares_outstanding long")
+    whole = facts.fact_daily_price(bars(spark, 40), shares)
+    thin = facts.fact_daily_price(bars(spark, 40), shares, columns=facts.MART_INPUTS)
+    assert "Window" not in _plan(thin) and thin.columns == facts.MART_INPUTS
+    marts_ = [facts.price_indicator_mart(facts.stage_daily_price(x)) for x in (whole, thin)]
+    assert rows(marts_[0], "date_id") == rows(marts_[1], "date_id") and marts_[1].columns == facts.DAILY_COLUMNS

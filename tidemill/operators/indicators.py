@@ -123,20 +123,21 @@ def exponential_means(bars: DataFrame, key: str = "ticker", time: str = "date",
     """
     out = list(dict.fromkeys([key, time, *keep]))
     schema = T.StructType([*bars.select(*out).schema.fields, *ddl("ema_12 double, ema_26 double, macd double, macd_signal double").fields])
+    every = where is None
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_keys(batches, key):
             run, x = runs(rows, key), rows.column(value).to_pandas().to_numpy(dtype=float, na_value=np.nan)
             fast, slow = (means_by_run(x, run, n) for n in (12, 26))
             means = (fast, slow, fast - slow, means_by_run(fast - slow, run, 9))
-            leave = None if where is None else rows.column("_out").combine_chunks()
+            leave = None if every else rows.column("_out").combine_chunks()
             rows = rows.select(out)
             for name, mean in zip(("ema_12", "ema_26", "macd", "macd_signal"), means, strict=True):
                 rows = rows.append_column(name, pa.array(mean, pa.float64(), from_pandas=True))
             yield from (rows if leave is None else rows.filter(leave)).to_batches()
 
-    x = bars if where is None else bars.withColumn("_out", F.coalesce(where, F.lit(False)))
-    x = x.select(*dict.fromkeys([*out, value]), *([] if where is None else ["_out"]))
+    x = bars if every else bars.withColumn("_out", F.coalesce(where, F.lit(False)))
+    x = x.select(*dict.fromkeys([*out, value]), *([] if every else ["_out"]))
     return by_key(x, key, time).mapInArrow(fold, schema)
 
 
