@@ -131,3 +131,12 @@ def test_layers_are_reconciled_in_one_aggregate_by_key(spark):
     assert got["articles_traceable"] == (1.0, False) and got["articles_keys_once"] == (1.0, False) and got["articles_fresh"] == (2.0, True) and len(got) == 14
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+
+
+def test_violations_work_the_mart_out_once(spark):
+    x = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 3.0), (None, 1, -1.0)], "ticker string, date_id int, v double")
+    mart = x.mapInArrow(lambda batches: batches, x.schema)
+    r = quality.violations(mart, (("positive", "v < 0"), ("key_not_null", "ticker is null")))
+    assert sorted(rows(r)) == [("key_not_null", 1), ("key_unique", 1), ("positive", 1)]
+    assert r._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("MapInArrow") == 1
+    assert sorted(rows(quality.violations(mart.where("v > 9"), (("positive", "v < 0"),)))) == [("key_unique", 0), ("positive", 0)]

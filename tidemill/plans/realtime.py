@@ -162,7 +162,8 @@ _MART = with_(BARS, PROFILES, _P, _IND, _EMA).replace("with ", "with recursive "
 @query(with_(BARS, _P, _IND) + """select 'bollinger_order' as rule, count(*) filter (bb_lower > sma_20 or sma_20 > bb_upper) as failed from i union all select 'rsi_range', count(*) filter (rsi_14 < 0 or rsi_14 > 100) from i
     union all select 'macd_difference', 0 union all select 'market_cap_product', 0 union all select 'key_not_null', 0 union all select 'key_unique', 0""")
 def q7_indicator_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.violations(facts.fact_daily_price(daily_bars(spark, sf_dir), profiles(spark, sf_dir)))
+    asked = {"ticker", "date_id", *(n for _, rule in quality.INDICATOR_INVARIANTS for n in quality.names_in(rule))}
+    return quality.violations(facts.fact_daily_price(daily_bars(spark, sf_dir), profiles(spark, sf_dir), columns=[c for c in facts.DAILY_COLUMNS if c in asked]))
 
 
 @query(with_(BARS) + """select *, (upstream - downstream) / upstream as drop_ratio, (upstream - downstream) / upstream <= 0.05 as success from (
