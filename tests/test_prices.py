@@ -154,3 +154,12 @@ def test_facts_for_the_mart_work_out_no_windows(spark):
     assert "Window" not in _plan(thin) and thin.columns == facts.MART_INPUTS
     marts_ = [facts.price_indicator_mart(facts.stage_daily_price(x)) for x in (whole, thin)]
     assert rows(marts_[0], "date_id") == rows(marts_[1], "date_id") and marts_[1].columns == facts.DAILY_COLUMNS
+
+
+def test_newest_facts_are_those_of_the_whole_history(spark):
+    shares = spark.createDataFrame([("AAA", 100)], "ticker string, shares_outstanding long")
+    x = bars(spark, 40).unionByName(bars(spark, 3, "BBB"))
+    since = x.agg(F.date_sub(F.max("date"), 5)).scalar()
+    newest = facts.fact_daily_price(x, shares, where=F.col("date") >= since)
+    want = facts.fact_daily_price(x, shares).where("trading_date >= date '2024-02-04'")
+    assert rows(newest, "date_id") == rows(want, "date_id") and newest.count() == 6

@@ -24,8 +24,10 @@ from .registry import query
 _DAILY = "daily as (select i.*, e12 as ema_12, e26 as ema_26, e12 - e26 as macd, sig as macd_signal from i join e using (ticker, date))"
 
 
-def _mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.fact_daily_price(daily_bars(spark, sf_dir), profiles(spark, sf_dir))
+def _recent_mart(spark: SparkSession, sf_dir: str, days: int = 35) -> DataFrame:
+    """The newest days of the mart; its windows and means are over all of history."""
+    since = sessions(spark, sf_dir).agg(F.date_sub(F.max("date"), days)).scalar()
+    return facts.fact_daily_price(daily_bars(spark, sf_dir), profiles(spark, sf_dir), where=F.col("date") >= since)
 
 
 # --- scans with MACD ------------------------------------------------------------------------------------------------
@@ -37,16 +39,14 @@ _SECOND = "when rsi_14 > 70 then 'overbought' when rsi_14 < 30 then 'oversold'"
 @query(_recursive(BARS, _P, _IND, _EMA, _DAILY) + f"""select ticker, trading_date, signal from (select ticker, date as trading_date, case {_FIRST} {_SECOND} when volume > 1.5 * coalesce(volume_sma_20, volume) then 'volume_spike'
     when macd > 0 and macd > macd_signal then 'macd_positive' end as signal from daily where date >= (select max(date) - 35 from bars)) where signal is not null""")
 def m22_macd_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = facts.since_watermark(_mart(spark, sf_dir), 35, among=daily_bars(spark, sf_dir).withColumn("trading_date", F.col("date")))
-    return marts.signal_scan(x).select("ticker", "trading_date", "signal")
+    return marts.signal_scan(_recent_mart(spark, sf_dir)).select("ticker", "trading_date", "signal")
 
 
 @query(_recursive(BARS, _P, _IND, _EMA, _DAILY) + f"""select ticker, trading_date, signal from (select ticker, date as trading_date, case {_SECOND} {_FIRST} when volume > 1.4 * coalesce(volume_sma_20, volume) then 'volume_spike'
     when macd > macd_signal then 'macd_positive' end as signal, m from (select *, abs(pct_change) as m from daily where date >= (select max(date) - 35 from bars) order by abs(pct_change) desc, ticker limit 80)) where signal is not null
     order by m desc, ticker limit 30""")
 def m24_macd_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = facts.since_watermark(_mart(spark, sf_dir), 35, among=daily_bars(spark, sf_dir).withColumn("trading_date", F.col("date")))
-    return marts.snapshot_scan(x).select("ticker", "trading_date", "signal")
+    return marts.snapshot_scan(_recent_mart(spark, sf_dir)).select("ticker", "trading_date", "signal")
 
 
 # --- boards ---------------------------------------------------------------------------------------------------------
