@@ -100,6 +100,34 @@ def test_chunks_give_the_tokenizers_ids():
         assert np.frombuffer(raw, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, text
 
 
+def test_runs_of_letters_go_to_the_model_alone():
+    """A new word skips the tokenizer's pattern and still gets its ids, also where known chunks are forgotten."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(PATH)
+    tok.encode_special_tokens = True
+
+    class Counted:
+        model, asked = tok.model, []
+
+        def encode(self, chunk, **kw):
+            self.asked.append(chunk)
+            return tok.encode(chunk, **kw)
+
+    r = random.Random(4)
+    texts = ["the Ünïcode straße ªº µ ȠɏA a  b", *(" ".join("".join(r.choice("abeinorstéêüßÀÖØöøɏµ") for _ in range(r.randint(1, 9))) for _ in range(60)) for _ in range(5))]
+    texts += ["".join(r.choice("ab é×÷ɐʰ日ж\u0301.'\n\u00ad\u00a0 ") for _ in range(80)) for _ in range(40)]
+    counted = Counted()
+    for most in (7, 100_000):
+        ids = packing.ChunkIds(counted, most)
+        for t in texts:
+            made = b"".join(map(ids.__getitem__, packing._CHUNK.findall(t)))
+            assert np.frombuffer(made, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+            assert len(ids) <= most and len(ids.older) <= most
+    letters = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏµªº]+")
+    assert counted.asked and not [c for c in counted.asked if letters.fullmatch(c)]
+
+
 def test_substrings(docs):
     df, c = docs
     first: dict = {}

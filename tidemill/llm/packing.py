@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,60 +23,66 @@ _LETTERS = "A-Za-z" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0xC0, 0xD6), (0
 #: ASCII character that is none; another run without white space; or a run of white space.
 _CHUNK = re.compile(f" ?[{_LETTERS}]++(?=[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]|$)| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Chunks in either half of a worker's cache.
-_CACHE_MOST = 150_000
-_tokenizers: dict[str, tuple] = {}
-
+_CACHE_MOST = 250_000
+#: Letters below this are letters to any version of Unicode.
+_KNOWN = "\u0250"
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SHIFTED = {b: chr(0x100 + i) for i, b in enumerate(sorted({*range(0x100)} - _PRINTED))}
+#: Characters as the byte-level model spells them: a character a byte, those that can't be printed from U+0100 on.
+_SPELLED = {c: chr(c).encode().decode("latin-1").translate(_SHIFTED) for c in range(ord(_KNOWN))}
+_SPACED = _SPELLED[0x20]
+_tokenizers: dict[str, ChunkIds] = {}
+
+
+class ChunkIds(dict):
+    """Ids of chunks, as little-endian unsigned 32-bit integers: what is asked for and not known is encoded.
+
+    A run of letters is one word to the model's merges, so it goes to the model alone; all else takes the tokenizer's
+    whole way. When `most` chunks are held, they become the older half, and what is not asked for again is forgotten.
+    """
 
-def _tokenizer(path: str):
-    """The tokenizer and its chunk cache, kept by this worker between tasks."""
+    def __init__(self, tokenizer, most: int | None = None):
+        super().__init__()
+        self.encode, self.model, self.most, self.older = tokenizer.encode, tokenizer.model, most or _CACHE_MOST, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        raw = self.older.get(chunk)
+        if raw is None:
+            word = chunk.removeprefix(" ")
+            if word.isalpha() and (word.isascii() or max(word) < _KNOWN):
+                spelled = chunk.translate(_SPELLED) if not word.isascii() else word if len(word) == len(chunk) else _SPACED + word
+                ids = [t.id for t in self.model.tokenize(spelled)]
+            else:
+                ids = self.encode(chunk, add_special_tokens=False).ids
+            raw = struct.pack(f"<{len(ids)}I", *ids)
+        if len(self) >= self.most:
+            self.older = self.copy()
+            self.clear()
+        self[chunk] = raw
+        return raw
+
+
+def _chunk_ids(path: str) -> ChunkIds:
+    """The tokenizer's chunks and ids, kept by this worker between tasks."""
     if path not in _tokenizers:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True
-        _tokenizers[path] = (tok, {}, {})
+        _tokenizers[path] = ChunkIds(tok)
     return _tokenizers[path]
 
 
-def _learn(tok, cache: dict[str, bytes], chunks: list[str]) -> None:
-    """Encode new chunks. Those without white space go together, a line feed between them: it is a token of its own."""
-    blank = [c for c in chunks if c.isspace() or "\n" in c]
-    for c in blank:
-        cache[c] = np.array(tok.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
-    rest = list(set(chunks) - set(blank))
-    feed = tok.encode("\n", add_special_tokens=False).ids[0]
-    parts = [rest[at : at + 64] for at in range(0, len(rest), 64)]
-    for part, made in zip(parts, tok.encode_batch_fast(["\n".join(p) for p in parts], add_special_tokens=False), strict=True):
-        ids = np.array(made.ids, "<u4")
-        ends = np.append(np.flatnonzero(ids == feed), len(ids)).tolist()
-        raw, start = ids.tobytes(), 0
-        for c, end in zip(part, ends, strict=True):
-            cache[c] = raw[4 * start : 4 * end]
-            start = end + 1
-
-
 def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
     """Each text's ids as little-endian unsigned 32-bit integers.
 
     White space, and the end of a run of letters, bound the tokenizer's merges; so ids of equal chunks are looked
     up, only chunks not seen before are encoded, and the ids equal those of encoding the whole text.
     """
-    tok, cache, older = _tokenizer(path)
-    chunked = [_CHUNK.findall(t) for t in texts]
-    fresh = {c for chunks in chunked for c in chunks}.difference(cache)
-    if len(cache) + len(fresh) > _CACHE_MOST:  # what was not used since the last time is forgotten
-        older.clear()
-        older.update(cache)
-        cache.clear()
-        fresh = {c for chunks in chunked for c in chunks}
-    for c in [c for c in fresh if c in older]:
-        cache[c] = older[c]
-        fresh.discard(c)
-    if fresh:
-        _learn(tok, cache, list(fresh))
-    for chunks in chunked:
-        yield b"".join(map(cache.__getitem__, chunks))
+    ids_of = _chunk_ids(path).__getitem__
+    for t in texts:
+        yield b"".join(map(ids_of, _CHUNK.findall(t)))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -91,16 +98,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end
         for batch in pieces(batches):
             ids, out = batch.column(0).to_pylist(), ([], [], [], [], [])
             texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 512):
-                for i, raw in zip(ids[at : at + 512], token_bytes(texts[at : at + 512], tokenizer_path), strict=True):
-                    raw += end
-                    n, start, piece = len(raw) // 4, 0, 0
-                    while start < n:
-                        length = (n - start) % capacity or capacity
-                        row = (i, piece, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]))
-                        for col, x in zip(out, row, strict=True):
-                            col.append(x)
-                        start, piece = start + length, piece + 1
+            for i, raw in zip(ids, token_bytes(texts, tokenizer_path), strict=True):
+                raw += end
+                n, start, piece = len(raw) // 4, 0, 0
+                while start < n:
+                    length = (n - start) % capacity or capacity
+                    row = (i, piece, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]))
+                    for col, x in zip(out, row, strict=True):
+                        col.append(x)
+                    start, piece = start + length, piece + 1
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
