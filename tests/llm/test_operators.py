@@ -264,6 +264,42 @@ def test_jaccard_follows_chains_that_have_no_hub(spark):
         assert {x.doc_id: x.component_id for x in jaccard.similar_documents(df, hot=(3, 8), rounds=rounds).collect()} == want
 
 
+def test_jaccard_brings_up_no_pair_again_that_was_met_in_vain(spark, monkeypatch):
+    """Pairs and families a little below 0.75 share most of their keys: each of these brought up what the rounds had met."""
+    r = random.Random(23)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for copies in [1] * 6 + [7, 7]:
+        base = [word() for _ in range(200)]
+        texts.append(" ".join(base))
+        for _ in range(copies):
+            at = r.randrange(10, 150)
+            texts.append(" ".join(base[:at] + [word() for _ in range(25)] + base[at + 25 :]))  # Jaccard 0.742
+    base = [word() for _ in range(200)]
+    texts += [" ".join(base), " ".join(base[:-20] + [word() for _ in range(20)])]
+    made, real = {}, jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, hint, scratch=None: made.setdefault(hint, []).append(real(df, hint, scratch)) or made[hint][-1])
+    monkeypatch.setattr(jaccard, "discard", lambda *a, **b: None)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in jaccard.similar_documents(df, hot=(3, 8)).collect()}
+    assert got == brute_components({i: shingle_set(t) for i, t in enumerate(texts)}) and len(set(got.values())) == len(texts) - 1
+    *rounds, last = [{(x.a, x.b) for x in s.select("a", "b").collect()} for s in made["screened"]]
+    before = set().union(*rounds)
+    assert len(before) >= 8 and not before & last
+    (left,) = made["left"]
+    by, met = defaultdict(list), {}
+    for x in left.collect():
+        by[x.segment].append((x.sid, x.label))
+        met[x.sid] = x.met
+    assert max(map(len, met.values())) ** 2 <= 2 * len(before)
+    again = 0
+    for held in by.values():
+        assert len({label for _, label in held}) > 1
+        again += sum((min(a, b), max(a, b)) in before and b not in met[a] and a not in met[b] for a, _ in held for b, _ in held)
+    assert again == 0
+    assert not met.keys() & {int(jaccard._name(x)[0]) for x in jaccard.shingles([t.encode() for t in texts[:12]])}  # each met its only partner
+
+
 def test_a_copy_keeps_a_key_that_its_large_family_holds():
     """Where all that a copy near 0.75 shares with its base is too common, it must not be able to leave all of it out."""
     r = np.random.default_rng(11)

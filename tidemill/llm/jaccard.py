@@ -204,11 +204,10 @@ def only(rows: DataFrame, keys: DataFrame, bits: int = 24) -> DataFrame:
     return rows.mapInArrow(keep, rows.schema)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int, scratch: list[str] | None = None) -> DataFrame:
-    """Of the screened pairs those whose sets reach the threshold, checked on the texts' own shingles: (a, b)."""
-    x = materialize(pairs, "screened", scratch)
-    texts = only(rows.select("key", "text"), x.select(F.explode(F.array("ka", "kb")).alias("key")))
-    x = x.join(texts.select(F.col("key").alias("kb"), F.col("text").alias("tb")), "kb").join(texts.select(F.col("key").alias("ka"), F.col("text").alias("ta")), "ka")
+def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int) -> DataFrame:
+    """Of the screened pairs, a table that is read twice, those whose sets reach the threshold on the texts' own shingles: (a, b)."""
+    texts = only(rows.select("key", "text"), pairs.select(F.explode(F.array("ka", "kb")).alias("key")))
+    x = pairs.join(texts.select(F.col("key").alias("kb"), F.col("text").alias("tb")), "kb").join(texts.select(F.col("key").alias("ka"), F.col("text").alias("ta")), "ka")
 
     def check(batches):
         last, of_last = None, None
@@ -227,16 +226,25 @@ def verified(pairs: DataFrame, rows: DataFrame, percent: int, width: int, scratc
     return x.select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
+def partners(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b), each at the end that has fewer of them: (sid, met). So no list is longer than the root of twice their number."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("c"))
+    x = pairs.join(ends.select(F.col("sid").alias("a"), F.col("c").alias("ca")), "a").join(ends.select(F.col("sid").alias("b"), F.col("c").alias("cb")), "b")
+    fewer = F.col("ca") <= F.col("cb")
+    x = x.select(F.when(fewer, F.col("a")).otherwise(F.col("b")).alias("sid"), F.when(fewer, F.col("b")).otherwise(F.col("a")).alias("other"))
+    return x.groupBy("sid").agg(F.collect_set("other").alias("met"))
+
+
 def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), rounds: int = 2, exact: bool = False, shares: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of docs with n_shingles, component_id and component_label: the smallest id reachable by links of Jaccard >= percent, and the component's own name, which null or repeated ids don't blur.
 
-    Equal sets are one node. Sets that share a segment key of their size band are candidates. Keys that many sets
-    hold are left out as far as a set has spare segments, by the lowest of the limits `hot` that they allow, and
-    kept where they don't.
+    Equal sets are one node. Sets that share a segment key of their size band are candidates. A set leaves out as many
+    keys as it has spare segments: first those that more sets hold than the highest of the limits `hot`, and so on.
     Candidates are compared in rounds. In the first, each set meets its key's hub. Each further round takes the keys
-    that still hold several components and lets all others meet the hub of what the first hub's component lacks.
-    After `rounds` of them, or one without a link, what still shares a key with another component meets all of it. So
-    a family of n near copies needs about n comparisons, and every link is still either checked or implied.
+    that still hold several components and lets all others meet the hub of what the first hub's component lacks. A
+    hub has met all of its key then and leaves it. After `rounds` of them, or one without a link, what still shares a
+    key with another component meets all of it that it hasn't met. So a family of n near copies needs about n
+    comparisons, and every link is still either checked or implied.
     Sets of 512 shingles and more are screened by samples with six standard deviations of slack (a link is lost at
     below 1 in 10^8); exact=True checks all of these candidates on their texts instead.
     The keys are dealt to `shares` shuffles, one after the other: each reads all texts, and the largest shuffle's space
@@ -262,21 +270,20 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
         seg = materialize(seg.withColumn("c", F.count("*").over(held)).where("c > 1"), "live", sent)
         live = seg if live is None else live.unionByName(seg)
         discard(docs.sparkSession, [])  # the segments' shuffle, the largest of all
-    # Each set leaves out keys above the lowest limit that its spare segments allow; of a pair, the set with the lower
-    # limit has a segment alike within it, which the other keeps too.
-    own_keys, spare = Window.partitionBy("sid", "tag"), F.col("tag") % _TAG - 1
-    limit = F.lit((1 << 62))
-    for h in sorted(hot, reverse=True):
-        limit = F.when(F.count_if(F.col("c") > h).over(own_keys) <= spare, F.lit(h)).otherwise(limit)
+    # Each set leaves out its last keys in one order of all keys. Of a pair, the set whose first key left out comes
+    # earlier has a segment alike before it, as more are alike than it leaves out; the other keeps that too.
+    grade = sum(((F.col("c") > h).cast("int") for h in hot), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("sid", "tag").orderBy(F.desc("grade"), F.desc("key")))
     # What a family's base holds, its copies hold too, while a copy's own changes are nobody else's: the set whose
     # keys are held most often, the hub, is like most of the others.
-    used = live.repartition("sid").withColumns({"limit": limit, "weight": F.sum("c").over(Window.partitionBy("sid"))}).where("c <= limit").select("key", "sid", "weight")
+    used = live.repartition("sid").withColumn("grade", grade).withColumns({"place": place, "weight": F.sum("c").over(Window.partitionBy("sid"))})
+    used = used.where(F.col("place") > F.col("tag") % _TAG - 1).select("key", "sid", "weight")
     at = F.struct("weight", "sid")
     used = used.withColumns({"c": F.count("*").over(held), "hub": F.max(at).over(held)["sid"]}).where("c > 1")
     here = materialize(used.select("key", "sid", "weight", "hub", F.col("sid").alias("name"), F.col("hub").alias("hub_name")), "used", old)
     discard(docs.sparkSession, sent)
 
-    links, spent = None, []
+    links, apart, spent = None, None, []
     for _ in range(rounds):
         made: list[str] = []
         pairs = here.where("name <> hub_name").select(F.least("sid", "hub").alias("a"), F.greatest("sid", "hub").alias("b")).distinct()
@@ -284,12 +291,16 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs", old)
         tried = pairs if links is None else tried.unionByName(pairs)
-        new = materialize(verified(screened(pairs, sets, percent, exact), rows, percent, width, spent), "links", old)
+        near = materialize(screened(pairs, sets, percent, exact), "screened", old)
+        new = materialize(verified(near, rows, percent, width), "links", old)
         links = new if links is None else links.unionByName(new)
+        unlike = near.select("a", "b").join(new, ["a", "b"], "left_anti")
+        apart = unlike if apart is None else apart.unionByName(unlike)
         label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "labels", made)
-        # Keys of one component alone have done their work, now and for all later components, which only grow. Of the
-        # others, the hub of what is not of the key's first hub's component meets all that are of other components than its own.
-        known = here.select("key", "sid", "weight").join(label, "sid", "left").withColumn("name", F.coalesce("label", "sid"))
+        # A hub has met all of its key but its own component. Keys of one component alone have done their work, now and
+        # for all later components, which only grow. Of the others, the hub of what is not of the key's first hub's
+        # component meets all that are of other components than its own.
+        known = here.where("sid <> hub").select("key", "sid", "weight").join(label, "sid", "left").withColumn("name", F.coalesce("label", "sid"))
         known = known.withColumns({"lo": F.min("name").over(held), "hi": F.max("name").over(held), "first": F.max_by("name", at).over(held)}).where("lo <> hi")
         known = known.withColumn("far", F.max(F.when(F.col("name") != F.col("first"), F.struct("weight", "sid", "name"))).over(held))
         here = known.select("key", "sid", "weight", "name", "first", F.col("far.sid").alias("hub"), F.col("far.name").alias("hub_name"))
@@ -300,16 +311,18 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
             break
 
     # What still shares a key with another component meets all of it but its own; the key's first hub's component is
-    # not compared with itself, and of two others one order is enough.
+    # not compared with itself, and of two others one order is enough. What a set met in vain in a round goes with it,
+    # else all of its keys would bring up those pairs again.
     left = here.select(F.col("key").alias("segment"), "sid", F.col("name").alias("label"), (F.col("name") == F.col("first")).alias("main"))
-    left = materialize(left.join(sets, "sid"), "left", old)
-    met = "a_segment = b_segment and a_label <> b_label and (b_main or a_sid < b_sid)"
+    left = left.join(sets, "sid").join(partners(apart), "sid", "left").withColumn("met", F.coalesce("met", F.array().cast("array<long>")))
+    left = materialize(left, "left", old)
+    met = "a_segment = b_segment and a_label <> b_label and (b_main or a_sid < b_sid) and not array_contains(a_met, b_sid) and not array_contains(b_met, a_sid)"
     more = _named(left.where("not main"), "a").join(_named(left, "b"), F.expr(f"{met} and {_may_link(percent, exact)}"))
     low = F.col("a_sid") < F.col("b_sid")
     pick = lambda c: (F.when(low, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")), F.when(low, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")))
     (a, b), (ka, kb) = pick("sid"), pick("key")
-    more = more.select(a.alias("a"), b.alias("b"), ka.alias("ka"), kb.alias("kb")).distinct().join(tried, ["a", "b"], "left_anti")
-    links = links.unionByName(verified(more, rows, percent, width, old))
+    more = more.select(a.alias("a"), b.alias("b"), ka.alias("ka"), kb.alias("kb")).distinct()
+    links = links.unionByName(verified(materialize(more, "screened", old), rows, percent, width))
     label = materialize(components(links).select(F.col("node").alias("sid"), "label"), "components")
     described = materialize(described.select("key", "doc_id", "n", "sid"), "described")
     discard(docs.sparkSession, [*old, *spent])
