@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -300,6 +301,65 @@ def test_jaccard_brings_up_no_pair_again_that_was_met_in_vain(spark, monkeypatch
     assert not met.keys() & {int(jaccard._name(x)[0]) for x in jaccard.shingles([t.encode() for t in texts[:12]])}  # each met its only partner
 
 
+def test_jaccard_compares_no_outsider_with_a_whole_family(spark, monkeypatch):
+    """Copies of one base beyond the threshold share keys with every copy within it, but hardly any can be linked with it."""
+    r = random.Random(24)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(404)]
+
+    def copy(w, changes):
+        w, at = list(w), r.randrange(5)
+        for i in r.sample(range(at, len(w) - 5, 6), changes):
+            w[i] = word()
+        return w
+
+    outsiders = [copy(base, 13) for _ in range(25)]  # Jaccard 0.720 to the base
+    texts = [base, *(copy(base, r.randint(2, 6)) for _ in range(40)), *outsiders, *(copy(w, 5) for w in outsiders[:3])]
+    texts += [[word() for _ in range(330)] + base[:90] for _ in range(5)]
+    texts = [" ".join(w) for w in texts]
+    r.shuffle(texts)
+    made, real = {}, jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", lambda df, hint, scratch=None: made.setdefault(hint, []).append(real(df, hint, scratch)) or made[hint][-1])
+    monkeypatch.setattr(jaccard, "discard", lambda *a, **b: None)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in jaccard.similar_documents(df, hot=(3, 8)).collect()}
+    assert got == brute_components({i: shingle_set(t) for i, t in enumerate(texts)}) and len(set(got.values())) > 25
+    assert made["left"][0].select("sid").distinct().count() > 50
+    assert made["screened"][-1].count() < 25
+
+
+def test_rare_tokens_lose_no_pair(spark):
+    """Every pair at the threshold or above shares one that is in place, whatever sizes and families the sets are of."""
+    r = random.Random(25)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for n in (6, 12, 40, 150):
+        base = [word() for _ in range(n)]
+        for _ in range(30):
+            w = base[: r.randint(n * 3 // 5, n)] + [word() for _ in range(r.randint(0, n // 6))]
+            if r.random() < 0.4:
+                w[r.randrange(len(w))] = word()
+            texts.append(" ".join(w))
+    texts = sorted(set(texts))
+    sets = {int(jaccard._name(x)[0]): set(x.tolist()) for x in jaccard.shingles([t.encode() for t in texts])}
+    keys = {int(jaccard._name(x)[0]): k for k, x in enumerate(jaccard.shingles([t.encode() for t in texts]))}
+    rows = spark.createDataFrame([(k, t.encode()) for k, t in enumerate(texts)] * 2, "key long, text binary")
+    left = spark.createDataFrame([(0, s, s, len(x), keys[s], [0]) for s, x in sets.items()], "segment long, sid long, label long, n long, key long, met array<long>")
+    at = {}
+    for x in jaccard.rare_tokens(left, rows, 75, 5, []).collect():
+        assert at.setdefault((x.token, x.sid), x.place) == x.place
+    by = defaultdict(dict)
+    for (token, s), place in at.items():
+        by[s][token] = place
+    alike = 0
+    for a, b in combinations(sets, 2):
+        both, n = len(sets[a] & sets[b]), len(sets[a]) + len(sets[b])
+        if 100 * both >= 75 * (n - both):
+            alike += 1
+            assert any(175 * min(by[a][k], by[b][k]) >= 75 * n for k in by[a].keys() & by[b].keys())
+    assert alike > 100 and len(at) < 0.6 * sum(map(len, sets.values()))
+
+
 def test_a_copy_keeps_a_key_that_its_large_family_holds():
     """Where all that a copy near 0.75 shares with its base is too common, it must not be able to leave all of it out."""
     r = np.random.default_rng(11)

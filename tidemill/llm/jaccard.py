@@ -235,6 +235,45 @@ def partners(pairs: DataFrame) -> DataFrame:
     return x.groupBy("sid").agg(F.collect_set("other").alias("met"))
 
 
+def tokens_of(sets: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """From sets (key, sid, label, need) and all rows (key, text) to (token, sid, label, need): each set's shingles once."""
+    texts = only(rows.select("key", "text"), sets.select("key")).dropDuplicates(["key"])
+
+    def send(batches):
+        for batch in pieces(batches, 100):
+            each = list(shingles(batch.column(3).to_pylist(), width))
+            n = [len(x) for x in each]
+            if sum(n):
+                cols = [np.concatenate(each).view(np.int64), *(np.repeat(batch.column(i).to_numpy(), n) for i in range(3))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["token", "sid", "label", "need"])
+
+    return texts.join(sets, "key").select("sid", "label", "need", "text").mapInArrow(send, "token long, sid long, label long, need long")
+
+
+def rare_tokens(left: DataFrame, rows: DataFrame, percent: int, width: int, scratch: list[str]) -> DataFrame:
+    """From what still shares a segment with another component to (token, sid, label, place, met, main): of each set its rarest
+    tokens, so many that it shares one with every set of another component that it may be linked with (prefix filter).
+
+    A set and its partner have at least `need` tokens in common, each held by both components. Of these the rarest is
+    preceded by need - 1 commoner ones in both sets. A family's own tokens are its commonest: a set that is not linked
+    with the family's hub has more others than it keeps, so it meets those alone that share its own changes. Tokens of
+    one component link nothing and count as the rarest. `place` counts a set's tokens from the commonest: what two sets
+    need in common must not exceed their token's place in either. `main` marks the component that most of a token's sets have.
+    """
+    n = f"greatest(min(least), (any_value(n) * {percent} + 99) div 100) + any_value(n)"
+    sets = left.withColumn("least", F.min("n").over(Window.partitionBy("segment"))).groupBy("sid")
+    sets = sets.agg(*(F.any_value(c).alias(c) for c in ("key", "label", "met")), F.expr(f"({percent} * ({n}) + {99 + percent}) div {100 + percent}").alias("need"))
+    sets = materialize(sets, "rest", scratch)
+    tokens = materialize(tokens_of(sets.select("key", "sid", "label", "need"), rows, width), "tokens", scratch)
+    common = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    place = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("c"), F.desc("token")))
+    kept = tokens.join(common.select("token", "c"), "token").withColumn("place", place).where("place >= need")
+    kept = materialize(kept.select("token", "sid", "label", "place"), "kept", scratch)
+    main = kept.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.count("*").alias("labels"), F.max(F.struct("c", "label"))["label"].alias("main"))
+    kept = kept.join(main.where("labels > 1").select("token", "main"), "token").join(sets.select("sid", "met"), "sid")
+    return kept.select("token", "sid", "label", "place", "met", (F.col("label") == F.col("main")).alias("main"))
+
+
 def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: tuple[int, ...] = (6, 24, 96), rounds: int = 2, exact: bool = False, shares: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows of docs with n_shingles, component_id and component_label: the smallest id reachable by links of Jaccard >= percent, and the component's own name, which null or repeated ids don't blur.
 
@@ -243,8 +282,8 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
     Candidates are compared in rounds. In the first, each set meets its key's hub. Each further round takes the keys
     that still hold several components and lets all others meet the hub of what the first hub's component lacks. A
     hub has met all of its key then and leaves it. After `rounds` of them, or one without a link, what still shares a
-    key with another component meets all of it that it hasn't met. So a family of n near copies needs about n
-    comparisons, and every link is still either checked or implied.
+    key with another component meets those of it that share one of its rarest tokens (`rare_tokens`). So a family of n
+    near copies needs about n comparisons, and every link is still either checked or implied.
     Sets of 512 shingles and more are screened by samples with six standard deviations of slack (a link is lost at
     below 1 in 10^8); exact=True checks all of these candidates on their texts instead.
     The keys are dealt to `shares` shuffles, one after the other: each reads all texts, and the largest shuffle's space
@@ -310,14 +349,16 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, hot: t
         if new.isEmpty():
             break
 
-    # What still shares a key with another component meets all of it but its own; the key's first hub's component is
-    # not compared with itself, and of two others one order is enough. What a set met in vain in a round goes with it,
-    # else all of its keys would bring up those pairs again.
-    left = here.select(F.col("key").alias("segment"), "sid", F.col("name").alias("label"), (F.col("name") == F.col("first")).alias("main"))
-    left = left.join(sets, "sid").join(partners(apart), "sid", "left").withColumn("met", F.coalesce("met", F.array().cast("array<long>")))
+    # What still shares a key with another component may be linked with it. What a set met in vain in a round goes with
+    # it, so that no such pair is brought up again.
+    left = here.select(F.col("key").alias("segment"), "sid", F.col("name").alias("label")).join(sets.select("sid", "n", "key"), "sid")
+    left = left.join(partners(apart), "sid", "left").withColumn("met", F.coalesce("met", F.array().cast("array<long>")))
     left = materialize(left, "left", old)
-    met = "a_segment = b_segment and a_label <> b_label and (b_main or a_sid < b_sid) and not array_contains(a_met, b_sid) and not array_contains(b_met, a_sid)"
-    more = _named(left.where("not main"), "a").join(_named(left, "b"), F.expr(f"{met} and {_may_link(percent, exact)}"))
+    # Of two others than a token's main component, one order is enough.
+    rare = materialize(rare_tokens(left, rows, percent, width, old).join(sets, "sid"), "rare", old)
+    enough = f"least(a_place, b_place) * {100 + percent} >= {percent} * (a_n + b_n)"
+    met = f"a_token = b_token and a_label <> b_label and {enough} and (b_main or a_sid < b_sid) and not array_contains(a_met, b_sid) and not array_contains(b_met, a_sid)"
+    more = _named(rare.where("not main"), "a").join(_named(rare, "b"), F.expr(f"{met} and {_may_link(percent, exact)}"))
     low = F.col("a_sid") < F.col("b_sid")
     pick = lambda c: (F.when(low, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")), F.when(low, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")))
     (a, b), (ka, kb) = pick("sid"), pick("key")
